@@ -19,35 +19,58 @@ from .schema import ENTITIES, SOURCE_STRUCTURED
 _RAW = "struct<start_pos:int,end_pos:int,rank:int,text:string>"
 
 
-def _raw(start: Column, end: Column, label: str, text: Column) -> Column:
+# The matches of one rule in one text, and the pieces of text between them.
+_HITS = "struct<rank:int,found:array<string>,gaps:array<string>>"
+
+
+def _raw(start: Column, end: Column, rank: Column, text: Column) -> Column:
     return F.struct(
         start.cast("int").alias("start_pos"),
         end.cast("int").alias("end_pos"),
-        F.lit(P.LABELS.index(label)).alias("rank"),
+        rank.alias("rank"),
         text.alias("text"),
     )
 
 
-def _scan_rule(text: Column, label: str) -> Column:
-    """All matches of one rule, left to right and without overlap."""
-    rule = P.RULES[label]
-
-    def locate(found: Column, gaps: Column) -> Column:
-        def step(pos: Column, i: Column) -> Column:
-            start = pos + F.length(F.get(gaps, i))
-            end = start + F.length(F.get(found, i))
-            return emit(F.array(_raw(start, end, label, F.get(found, i))), end)
+def _rank(label: str) -> Column:
+    return F.lit(P.LABELS.index(label))
 
-        return fold_emit(F.size(found), _RAW, F.lit(0), step)
 
+def _hits(text: Column, label: str) -> Column:
+    """All matches of one rule, left to right and without overlap."""
+    rule = P.RULES[label]
     return let(
         F.regexp_extract_all(text, F.lit(rule), F.lit(0)),
-        lambda found: F.when(
-            F.size(found) > 0, let(F.split(text, rule, -1), lambda gaps: locate(found, gaps))
-        ).otherwise(empty_array(_RAW)),
+        lambda found: F.struct(
+            _rank(label).alias("rank"),
+            found.alias("found"),
+            F.when(F.size(found) > 0, F.split(text, rule, -1)).alias("gaps"),
+        ),
     )
 
 
+def _hits_if(need: Column, text: Column, labels: list[str]) -> Column:
+    hits = F.array(*[_hits(text, label) for label in labels])
+    return F.when(need, hits).otherwise(empty_array(_HITS))
+
+
+def _place(hits: Column) -> Column:
+    """Spans of one rule's matches: each starts where the gaps and matches before it end."""
+
+    def step(pos: Column, i: Column) -> Column:
+        value = F.get(hits["found"], i)
+        start = pos + F.length(F.get(hits["gaps"], i))
+        end = start + F.length(value)
+        return let(end, lambda e: emit(F.array(_raw(start, e, hits["rank"], value)), e))
+
+    return fold_emit(F.size(hits["found"]), _RAW, F.lit(0), step)
+
+
+def _scan_rules(hits: Column) -> Column:
+    """Spans of several rules from an array of their matches."""
+    return F.flatten(F.transform(F.filter(hits, lambda h: F.size(h["found"]) > 0), _place))
+
+
 def _scan_email(text: Column) -> Column:
     """Addresses, found outward from each ``@``.
 
@@ -83,7 +106,7 @@ def _scan_email(text: Column) -> Column:
                     left.substr(start - carry["pos"] + 1, F.length(left)), F.lit("@"), domain
                 )
                 found = F.when(
-                    start.isNotNull(), F.array(_raw(start, end, "EMAIL", address))
+                    start.isNotNull(), F.array(_raw(start, end, _rank("EMAIL"), address))
                 ).otherwise(empty_array(_RAW))
                 taken = F.when(start.isNotNull(), end).otherwise(carry["taken"])
                 return emit(
@@ -108,20 +131,24 @@ def _scan_email(text: Column) -> Column:
 
 
 # What a text must hold for a label to be possible in it.
-_NEEDS = {
-    "EMAIL": lambda t: t.contains("@"),
-    "SECRET": lambda t: t.rlike("[:=]"),
-    "TOKEN": lambda t: t.rlike("[:=]"),
-}
+def _has_at(text: Column) -> Column:
+    return text.contains("@")
+
+
+def _has_separator(text: Column) -> Column:
+    return text.rlike("[:=]")
 
 
-def _needs(text: Column, label: str) -> Column:
-    need = _NEEDS.get(label, lambda t: t.rlike("[0-9]"))
-    return need(text)
+def _has_digit(text: Column) -> Column:
+    return text.rlike("[0-9]")
 
 
-def _scan(text: Column, label: str) -> Column:
-    return _scan_email(text) if label == "EMAIL" else _scan_rule(text, label)
+_KEYED = ["SECRET", "TOKEN"]
+_NUMERIC = ["PHONE", "SSN", "CREDIT_CARD", "IP_ADDRESS", "DATE", "ZIP_CODE"]
+
+
+def _emails(text: Column) -> Column:
+    return F.when(_has_at(text), _scan_email(text)).otherwise(empty_array(_RAW))
 
 
 def _entities(raw: Column) -> Column:
@@ -142,23 +169,19 @@ def _entities(raw: Column) -> Column:
 def detect(text: Column | str, label: str) -> Column:
     """Spans of one structured label, in text order."""
     col = F.col(text) if isinstance(text, str) else text
-    none = empty_array(_RAW)
-    return _entities(F.when(_needs(col, label), _scan(col, label)).otherwise(none))
+    if label == "EMAIL":
+        return _entities(_emails(col))
+    need = _has_separator(col) if label in _KEYED else _has_digit(col)
+    return _entities(_scan_rules(_hits_if(need, col, [label])))
 
 
 def detect_structured(text: Column | str) -> Column:
     """Spans of all nine structured labels by start, end, then detector order; overlaps stay."""
     col = F.col(text) if isinstance(text, str) else text
-    none = empty_array(_RAW)
-
-    def group(labels: list[str]) -> Column:
-        spans = F.concat(*[_scan(col, label) for label in labels])
-        return F.when(_needs(col, labels[0]), spans).otherwise(none)
-
-    keyed = ["EMAIL", "SECRET", "TOKEN"]
-    numeric = [x for x in P.LABELS if x not in keyed]
-    found = F.concat(group(["EMAIL"]), group(["SECRET", "TOKEN"]), group(numeric))
-    return _entities(F.array_sort(found))
+    hits = F.concat(
+        _hits_if(_has_separator(col), col, _KEYED), _hits_if(_has_digit(col), col, _NUMERIC)
+    )
+    return _entities(F.array_sort(F.concat(_emails(col), _scan_rules(hits))))
 
 
 def detect_email(text):

@@ -31,7 +31,7 @@ def texts_from(
     """
     given = {
         "record_id": record_id,
-        "channel": F.lit(channel) if channel in CHANNELS else channel,
+        "channel": F.lit(channel) if isinstance(channel, str) and channel in CHANNELS else channel,
         "session_id": session_id,
         "seq": seq,
         "ts": ts,
