@@ -79,7 +79,7 @@ SPAN_COLUMNS = "record_id, label, start_pos, end_pos, txt AS span_text, conf AS
 
 @query(
     "texts_from",
-    f"WITH {CORPUS} SELECT record_id, channel, session_id, seq, epoch(ts)::BIGINT AS at, tool_name, channel_id, length(text) AS n_chars FROM corpus",
+    f"WITH {CORPUS} SELECT record_id, channel, session_id, seq, floor(epoch(ts))::BIGINT AS at, tool_name, channel_id, length(text) AS n_chars FROM corpus",
 )
 def texts_from(spark, sf_dir):
     return corpus(spark, sf_dir).select(

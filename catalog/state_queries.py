@@ -9,6 +9,7 @@ from veiltext.operators import audit as G
 from veiltext.operators import lint as L
 from veiltext.operators import mapping as M
 from veiltext.operators import requests as R
+from veiltext.operators.shared import written
 from veiltext.plans import channels as C
 
 from . import corpus as X
@@ -100,7 +101,7 @@ def effective(spark, sf_dir):
 
 # --- F: map and requests -----------------------------------------------------
 
-EVENTS = """ev AS (SELECT CAST(user_id AS VARCHAR) AS session_id, event_id AS seq, ts, event_id % 4 AS m, k, event_type, props,
+EVENTS = """ev AS (SELECT CAST(user_id AS VARCHAR) AS session_id, event_id AS seq, ts, event_id % 4 AS m, k, event_type, props, value,
   CASE event_id % 4 WHEN 0 THEN '[EMAIL_' || (k % 5 + 1) || ']' WHEN 1 THEN '[EMAIL_' || (k % 6 + 1) || ']' END AS placeholder,
   CASE WHEN event_id % 4 = 0 THEN 'user' || event_id || '@example.com' END AS original,
   CASE k % 3 WHEN 0 THEN 'approve' WHEN 1 THEN 'deny' ELSE 'follow_up' END AS action,
@@ -175,10 +176,10 @@ def lookup_original(spark, sf_dir):
 @query(
     "clear_sessions",
     f"WITH {EVENTS} SELECT session_id, placeholder, arg_max(original, seq) AS original FROM ev WHERE m = 0 "
-    "AND session_id NOT IN (SELECT session_id FROM ev WHERE event_type = 'error') GROUP BY 1, 2",
+    "AND session_id NOT IN (SELECT session_id FROM ev WHERE event_type = 'purchase' AND value > 170) GROUP BY 1, 2",
 )
 def clear_sessions(spark, sf_dir):
-    ended = X.table(spark, sf_dir, "events").filter("event_type = 'error'").select(F.col("user_id").cast("string").alias("session_id"))
+    ended = X.table(spark, sf_dir, "events").filter("event_type = 'purchase' and value > 170").select(F.col("user_id").cast("string").alias("session_id"))
     kept = M.clear_sessions(M.merge_mapping(_writes(spark, sf_dir)), ended)
     return kept.select("session_id", "placeholder", "original")
 
@@ -221,7 +222,7 @@ def create_requests_capped(spark, sf_dir):
 
 def _replies(spark, sf_dir):
     ev = X.backlog_events(spark, sf_dir)
-    req = R.create_requests(ev)
+    req = written(R.create_requests(ev), "requests")
     return req, R.resolve_replies(ev, req)
 
 
@@ -256,7 +257,7 @@ def _table(spark, sf_dir) -> DataFrame:
 
 _VIEW = (
     "session_id, request_id, placeholder, reason, context, status, CASE WHEN status = 'approved' THEN original_text END AS original_text, "
-    "CASE WHEN status IN ('approved', 'denied') THEN epoch(resolved_at)::BIGINT END AS resolved_at, "
+    "CASE WHEN status IN ('approved', 'denied') THEN floor(epoch(resolved_at))::BIGINT END AS resolved_at, "
     "CASE WHEN status = 'denied' THEN response_message END AS response_message, CASE WHEN status = 'follow_up' THEN follow_up_message END AS follow_up_message"
 )
 
@@ -293,7 +294,7 @@ def get_requests(spark, sf_dir):
 @query("backlog_state_capped")
 def backlog_state(spark, sf_dir):
     ev = X.backlog_events(spark, sf_dir)
-    req = R.create_requests(ev, cap=3, max_mappings=4)
+    req = written(R.create_requests(ev, cap=3, max_mappings=4), "requests")
     return R.request_table(req, R.resolve_replies(ev, req)).drop("created_at", "resolved_at")
 
 

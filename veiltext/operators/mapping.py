@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .running import BUCKET_SPAN, asof_value
+from .shared import written
 
 # --- fixed value: placeholders a session keeps
 MAX_MAPPINGS = 10_000
@@ -87,7 +88,9 @@ def evict_fifo(writes: DataFrame, cap: int = MAX_MAPPINGS) -> DataFrame:
     run through an ordered pass that holds ``cap`` entries and no more.
     """
     merged = merge_mapping(writes)
-    crowded = _crowded(merged, cap)
+    crowded = written(_crowded(merged, cap), "crowded")
+    if crowded.isEmpty():
+        return merged
     plain = merged.join(crowded, "session_id", "left_anti")
     ordered = _in_session_order(
         writes.join(crowded, "session_id", "left_semi").select(
@@ -143,17 +146,13 @@ def snapshot_originals(
     As in ``evict_fifo`` only crowded sessions take the ordered pass.
     """
     keys = ["session_id", "placeholder"]
-    crowded = _crowded(writes.select(*keys).distinct(), cap)
+    crowded = written(_crowded(writes.select(*keys).distinct(), cap), "crowded")
     named = writes.select(*keys, "seq", "ord", F.col("original").alias("original_text"))
-    plain = asof_value(
-        requests.join(crowded, "session_id", "left_anti"),
-        named.join(crowded, "session_id", "left_anti"),
-        keys,
-        "seq",
-        "original_text",
-        ["ord"],
-        span,
-    )
+    asof = lambda r, w: asof_value(r, w, keys, "seq", "original_text", ["ord"], span)
+    if crowded.isEmpty():
+        return asof(requests, named)
+    calm = lambda df: df.join(crowded, "session_id", "left_anti")
+    plain = asof(calm(requests), calm(named))
     hot = requests.join(crowded, "session_id", "left_semi")
     rows = (
         writes.join(crowded, "session_id", "left_semi")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .mapping import MAX_MAPPINGS, snapshot_originals
 from .running import BUCKET_SPAN, running_sum
+from .shared import written
 
 # --- fixed values
 STATUSES = ("pending", "approved", "denied", "follow_up")
@@ -60,9 +61,15 @@ def _request_no(request_id: Column) -> Column:
 
 
 def number_requests(events: DataFrame, span: int = BUCKET_SPAN) -> DataFrame:
-    """Request events with ``request_no``, their number within the session, and no cap."""
-    requests = events.filter("kind = 'request'")
-    return running_sum(requests, "session_id", "seq", {"request_no": F.lit(1)}, span)
+    """Request events with ``request_no``, their number within the session, and no cap.
+
+    ``session_requests`` is how many the session has in all.
+    """
+    requests = events.filter("kind = 'request'").select(
+        "session_id", "seq", "ts", "placeholder", "entity_type", "reason", "context"
+    )
+    one = {"request_no": F.lit(1)}
+    return running_sum(requests, "session_id", "seq", one, span, total="session_requests")
 
 
 def _first_terminal(numbered: DataFrame, events: DataFrame) -> DataFrame:
@@ -123,14 +130,18 @@ def admit_requests(
     """Request events with ``request_no``; null where ``cap`` requests were open.
 
     Whether a request is admitted depends on all earlier decisions of its
-    session, but only once the cap is reached.  Sessions that never reach it
-    are numbered in parallel; the others are walked in order with a state of
-    one byte per request, over rows that hold no text.
+    session, but only once the cap is reached.  Sessions with no more requests
+    than the cap, and those in which it is never reached, are numbered in
+    parallel.  The others are walked in order with a state of one byte per
+    request, over rows that hold no text.
     """
-    numbered = number_requests(events, span)
-    capped = _capped_sessions(numbered, events, cap, span)
-    plain = numbered.join(capped, "session_id", "left_anti")
-    requests = events.filter("kind = 'request'").join(capped, "session_id", "left_semi")
+    numbered = written(number_requests(events, span), "numbered")
+    busy = numbered.filter(F.col("session_requests") > cap)
+    if busy.isEmpty():
+        return numbered.drop("session_requests")
+    capped = written(_capped_sessions(busy, events, cap, span), "capped")
+    plain = numbered.join(capped, "session_id", "left_anti").drop("session_requests")
+    requests = busy.join(capped, "session_id", "left_semi").drop("session_requests", "request_no")
     moves = requests.select(
         "session_id", "seq", F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("closes")
     ).unionByName(

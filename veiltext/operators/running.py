@@ -27,18 +27,23 @@ def running_sum(
     seq: str,
     values: dict[str, Column],
     span: int = BUCKET_SPAN,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add per name the sum of its value over the session's rows up to and with this one."""
+    """Add per name the sum of its value over the session's rows up to and with this one.
+
+    ``total`` names a further column, the number of rows of the session.
+    """
     base = df.withColumn("_b", bucket_of(seq, span))
     for name, value in values.items():
         base = base.withColumn(f"_v_{name}", value)
     earlier = Window.partitionBy(session).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = base.groupBy(session, "_b").agg(
-        *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values]
+        F.count("*").alias("_n"), *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values]
     )
     offsets = totals.select(
         session,
         "_b",
+        F.sum("_n").over(Window.partitionBy(session)).alias("_total"),
         *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in values],
     )
     inside = (
@@ -50,7 +55,9 @@ def running_sum(
         *df.columns, "_b", *[F.sum(f"_v_{n}").over(inside).alias(f"_i_{n}") for n in values]
     )
     return summed.join(offsets, [session, "_b"]).select(
-        *df.columns, *[(F.col(f"_i_{n}") + F.col(f"_o_{n}")).alias(n) for n in values]
+        *df.columns,
+        *[(F.col(f"_i_{n}") + F.col(f"_o_{n}")).alias(n) for n in values],
+        *([F.col("_total").alias(total)] if total else []),
     )
 
 
