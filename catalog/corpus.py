@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veiltext.sources.policies import policy_from
-from veiltext.sources.texts import texts_from, union_texts
+from veiltext.sources.texts import spread, texts_from, union_texts
 
 POLICY_CONFIG = {
     "guardrail_mode": "redact",
@@ -67,7 +67,7 @@ def order_notes(spark, sf_dir) -> DataFrame:
         F.when(k % 3 == 0, "inbound").when(k % 3 == 1, "outbound").otherwise("reply_payload")
     )
     return texts_from(
-        o,
+        spread(o),
         text=note,
         record_id=F.concat(F.lit("note-"), _s(k)),
         channel=channel,
@@ -86,7 +86,7 @@ def _at(n: Column) -> Column:
 def conversations(spark, sf_dir) -> DataFrame:
     role = F.col("role")
     return texts_from(
-        table(spark, sf_dir, "conversations"),
+        spread(table(spark, sf_dir, "conversations")),
         text="text",
         record_id=F.concat(F.lit("conv-"), _s("conv_id"), F.lit("-"), _s("turn")),
         channel=F.when(role == "user", "inbound")
@@ -102,7 +102,7 @@ def conversations(spark, sf_dir) -> DataFrame:
 
 def documents(spark, sf_dir) -> DataFrame:
     return texts_from(
-        table(spark, sf_dir, "documents"),
+        spread(table(spark, sf_dir, "documents")),
         text="text",
         record_id=F.concat(F.lit("doc-"), _s("doc_id")),
         channel="tool_result",
@@ -115,7 +115,7 @@ def documents(spark, sf_dir) -> DataFrame:
 
 def pages(spark, sf_dir) -> DataFrame:
     return texts_from(
-        table(spark, sf_dir, "pages"),
+        spread(table(spark, sf_dir, "pages")),
         text="html",
         record_id=F.concat(F.lit("page-"), _s("page_id")),
         channel="tool_result",

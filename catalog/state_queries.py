@@ -257,7 +257,7 @@ def _table(spark, sf_dir) -> DataFrame:
 
 _VIEW = (
     "session_id, request_id, placeholder, reason, context, status, CASE WHEN status = 'approved' THEN original_text END AS original_text, "
-    "CASE WHEN status IN ('approved', 'denied') THEN floor(epoch(resolved_at))::BIGINT END AS resolved_at, "
+    "CASE WHEN status IN ('approved', 'denied') THEN strftime(resolved_at, '%Y-%m-%d %H:%M:%S') END AS resolved_at, "
     "CASE WHEN status = 'denied' THEN response_message END AS response_message, CASE WHEN status = 'follow_up' THEN follow_up_message END AS follow_up_message"
 )
 
@@ -266,7 +266,7 @@ _VIEW = (
 def list_requests(spark, sf_dir):
     return R.list_requests(_table(spark, sf_dir)).select(
         "session_id", "request_id", "placeholder", "reason", "context", "status", "original_text",
-        F.unix_timestamp("resolved_at").alias("resolved_at"), "response_message", "follow_up_message",
+        F.date_format("resolved_at", "yyyy-MM-dd HH:mm:ss").alias("resolved_at"), "response_message", "follow_up_message",
     )
 
 

@@ -129,7 +129,7 @@ ATOMS = [
     "555-123-4567", "(555) 123-4567", "+44 20 7946 0958", "+1", "123-45-6789", "123456789", "000-12-3456",
     "4111111111111111", "3782 822463 10005", "password: ", "token=", "Bearer ", "abcDEF123456", "api_key:",
     "192.168.1.1", "256.1.2.3", "01/15/1990", "2024-03-15", "Jan 5, 2023", "90210", "90210-1234", " ", " ", " ",
-    "\n", "\u00a0", "\u00e9", "\U0001f600", "_", "-", "\"", "joe", "1", "42", "\u2028", ",", "secret", "=",
+    "\n", "\u00a0", "\u00e9", "\U0001f600", "_", "-", "\"", "joe", "\uffff", "1", "42", "\u2028", ",", "secret", "=",
 ]
 
 

@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 FOLD_BLOCK = 256
+_KNOWN: dict[tuple, Column] = {}
+
+
+def remembered(key: tuple, build: Callable[[], Column]) -> Column:
+    """An expression built once per application.
+
+    A detector is some thousand calls from Python into the JVM; its Column
+    names columns and no table, so every DataFrame can use the same one.
+    """
+    full = (SparkSession.active().sparkContext.applicationId, *key)
+    if full not in _KNOWN:
+        _KNOWN[full] = build()
+    return _KNOWN[full]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

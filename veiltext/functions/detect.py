@@ -19,8 +19,11 @@ from .schema import ENTITIES, SOURCE_STRUCTURED
 _RAW = "struct<start_pos:int,end_pos:int,rank:int,text:string>"
 
 
-# The matches of one rule in one text, and the pieces of text between them.
-_HITS = "struct<rank:int,found:array<string>,gaps:array<string>>"
+# A text cut at the matches of one rule: gap, match, gap, match, ..., gap.
+_CUTS = "struct<rank:int,pieces:array<string>>"
+# Set around each match to cut there; no character, and texts that hold it all
+# the same take another way.
+_MARK = chr(0xFFFF)
 
 
 def _raw(start: Column, end: Column, rank: Column, text: Column) -> Column:
@@ -36,39 +39,52 @@ def _rank(label: str) -> Column:
     return F.lit(P.LABELS.index(label))
 
 
-def _hits(text: Column, label: str) -> Column:
-    """All matches of one rule, left to right and without overlap."""
-    rule = P.RULES[label]
-    return let(
-        F.regexp_extract_all(text, F.lit(rule), F.lit(0)),
-        lambda found: F.struct(
-            _rank(label).alias("rank"),
-            found.alias("found"),
-            F.when(F.size(found) > 0, F.split(text, rule, -1)).alias("gaps"),
-        ),
-    )
+def _cut(text: Column, label: str) -> Column:
+    """The text cut at all matches of one rule, in a single search."""
+
+    def pieces(marked: Column) -> Column:
+        cut = F.when(marked.contains(_MARK), F.split(marked, _MARK, -1))
+        return F.struct(_rank(label).alias("rank"), cut.alias("pieces"))
+
+    return let(F.regexp_replace(text, P.RULES[label], f"{_MARK}$0{_MARK}"), pieces)
 
 
-def _hits_if(need: Column, text: Column, labels: list[str]) -> Column:
-    hits = F.array(*[_hits(text, label) for label in labels])
-    return F.when(need, hits).otherwise(empty_array(_HITS))
+def _cut_marked(text: Column, label: str) -> Column:
+    """``_cut`` for a text that holds the mark itself: matches and gaps from a search each."""
+    found = F.regexp_extract_all(text, F.lit(P.RULES[label]), F.lit(0))
+    gaps = F.split(text, P.RULES[label], -1)
+    pieces = F.flatten(F.zip_with(gaps, found, lambda g, f: F.array(g, f)))
+    return F.struct(_rank(label).alias("rank"), pieces.alias("pieces"))
+
+
+def _cuts(need: Column, text: Column, labels: list[str]) -> Column:
+    return (
+        F.when(~need, empty_array(_CUTS))
+        .when(text.contains(_MARK), F.array(*[_cut_marked(text, x) for x in labels]))
+        .otherwise(F.array(*[_cut(text, x) for x in labels]))
+    )
 
 
-def _place(hits: Column) -> Column:
-    """Spans of one rule's matches: each starts where the gaps and matches before it end."""
+def _place(cut: Column) -> Column:
+    """Spans of one rule's matches: each starts where the pieces before it end."""
+    pieces = cut["pieces"]
 
     def step(pos: Column, i: Column) -> Column:
-        value = F.get(hits["found"], i)
-        start = pos + F.length(F.get(hits["gaps"], i))
+        value = F.get(pieces, i * 2 + 1)
+        start = pos + F.length(F.get(pieces, i * 2))
         end = start + F.length(value)
-        return let(end, lambda e: emit(F.array(_raw(start, e, hits["rank"], value)), e))
+        return emit(F.array(_raw(start, end, cut["rank"], value)), end)
 
-    return fold_emit(F.size(hits["found"]), _RAW, F.lit(0), step)
+    # k matches make 2k + 1 pieces, or 2k + 2 with a null after the last gap.
+    n = F.floor((F.size(pieces) - 1) / 2).cast("int")
+    start, value = F.length(F.get(pieces, F.lit(0))), F.get(pieces, F.lit(1))
+    single = F.array(_raw(start, start + F.length(value), cut["rank"], value))
+    return F.when(n == 1, single).otherwise(fold_emit(n, _RAW, F.lit(0), step))
 
 
-def _scan_rules(hits: Column) -> Column:
-    """Spans of several rules from an array of their matches."""
-    return F.flatten(F.transform(F.filter(hits, lambda h: F.size(h["found"]) > 0), _place))
+def _scan_rules(cuts: Column) -> Column:
+    """Spans of several rules from the texts cut at their matches."""
+    return F.flatten(F.transform(F.filter(cuts, lambda c: F.size(c["pieces"]) > 2), _place))
 
 
 def _scan_email(text: Column) -> Column:
@@ -172,16 +188,16 @@ def detect(text: Column | str, label: str) -> Column:
     if label == "EMAIL":
         return _entities(_emails(col))
     need = _has_separator(col) if label in _KEYED else _has_digit(col)
-    return _entities(_scan_rules(_hits_if(need, col, [label])))
+    return _entities(_scan_rules(_cuts(need, col, [label])))
 
 
 def detect_structured(text: Column | str) -> Column:
     """Spans of all nine structured labels by start, end, then detector order; overlaps stay."""
     col = F.col(text) if isinstance(text, str) else text
-    hits = F.concat(
-        _hits_if(_has_separator(col), col, _KEYED), _hits_if(_has_digit(col), col, _NUMERIC)
+    cuts = F.concat(
+        _cuts(_has_separator(col), col, _KEYED), _cuts(_has_digit(col), col, _NUMERIC)
     )
-    return _entities(F.array_sort(F.concat(_emails(col), _scan_rules(hits))))
+    return _entities(F.array_sort(F.concat(_emails(col), _scan_rules(cuts))))
 
 
 def detect_email(text):

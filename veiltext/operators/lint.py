@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.arrays import empty_array, let
 from ..functions.labels import canonical_label
@@ -27,7 +28,7 @@ def _number(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-@F.pandas_udf("array<boolean>")
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
 def _compiles(patterns):
     """Per pattern whether it is a regular expression at all; a pattern list is short."""
     import re

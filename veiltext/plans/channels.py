@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import empty_array
+from ..functions.arrays import empty_array, remembered
 from ..functions.detect import detect_structured
 from ..functions.messages import extract_text, replace_text
 from ..functions.overlap import resolve_overlaps
@@ -68,16 +68,24 @@ def scan(texts: DataFrame, policy: Policy, ner: bool = False, resolve: bool = Tr
     Allowlisted spans go before overlaps are resolved, so that an allowed span
     never hides another one.
     """
-    found = drop_allowed_inline(detect_structured("text"), policy)
-    if ner:
-        confident = drop_allowed_inline(keep_confident(F.col("ner"), policy), policy)
-        found = F.concat(found, F.coalesce(confident, F.array().cast(ENTITIES)))
-    found = resolve_overlaps(found) if resolve else found
-    return fence(texts, "entities", found)
 
+    def found() -> Column:
+        spans = drop_allowed_inline(detect_structured("text"), policy)
+        if ner:
+            sure = drop_allowed_inline(keep_confident(F.col("ner"), policy), policy)
+            spans = F.concat(spans, F.coalesce(sure, F.array().cast(ENTITIES)))
+        return resolve_overlaps(spans) if resolve else spans
+
+    key = ("scan", repr(policy), ner, resolve)
+    return fence(texts, "entities", remembered(key, found))
+
+
+def _redacted(df: DataFrame, spans: str, strategy: Column | str) -> DataFrame:
+    def value() -> Column:
+        return redact("text", spans, strategy)
 
-def _redacted(df: DataFrame, spans: Column, strategy: Column | str) -> DataFrame:
-    out = fence(df, "_r", redact(F.col("text"), spans, strategy))
+    named = isinstance(strategy, str)
+    out = fence(df, "_r", remembered(("redact", spans, strategy), value) if named else value())
     return (
         out.withColumn("redacted_text", F.col("_r.redacted_text"))
         .withColumn("mapping", F.col("_r.mapping"))
@@ -109,7 +117,7 @@ def _enforce(
     found = scan(texts, policy, resolve=resolve)
     if changed_only:
         found = found.filter(F.size("entities") > 0)
-    return _counted(_redacted(found, F.col("entities"), policy.redact_strategy)).drop("text")
+    return _counted(_redacted(found, "entities", policy.redact_strategy)).drop("text")
 
 
 def outbound_redact(texts: DataFrame, policy: Policy, changed_only: bool = True) -> DataFrame:
@@ -242,7 +250,7 @@ def inbound_advisory(
     df = scanned.withColumn("plan", plan_of("entities", policy)).withColumn(
         "summary", summary_of("plan")
     )
-    df = _redacted(df, F.col("plan.redacted"), policy.redact_strategy)
+    df = _redacted(df, "plan.redacted", policy.redact_strategy)
     return df.withColumn(
         "notice", guardrail_notice(F.col("summary"), F.col("redacted_text"), tag)
     ).drop("text", "plan", "redacted_text", "ner")
@@ -264,7 +272,7 @@ def preview_report(
 ) -> DataFrame:
     """What the policy would do to each record; nothing is kept for later lookup."""
     how = policy.redact_strategy if strategy is None else strategy
-    df = _redacted(_planned(texts, policy, ner), F.col("plan.redacted"), how)
+    df = _redacted(_planned(texts, policy, ner), "plan.redacted", how)
     name = F.lit(how) if isinstance(how, str) else how
     return df.withColumn("strategy", name).drop("text", "plan", "mapping", "ner")
 
@@ -277,7 +285,8 @@ def preview_policies(
     The text is searched once; each candidate filters and resolves the same
     spans inside the row, so nothing is joined and nothing shuffled.
     """
-    raw = fence(texts, "_raw", detect_structured("text"))
+    structured = remembered(("structured",), lambda: detect_structured("text"))
+    raw = fence(texts, "_raw", structured)
 
     def candidate(name: str, p: Policy) -> Column:
         es = drop_allowed_inline(F.col("_raw"), p)
@@ -297,7 +306,7 @@ def preview_policies(
     for name, p in policies.items():
         actions = F.when(F.col("policy_id") == name, plan_of("entities", p)).otherwise(actions)
     df = fence(df, "plan", actions).withColumn("summary", summary_of("plan"))
-    df = _redacted(df, F.col("plan.redacted"), F.col("strategy"))
+    df = _redacted(df, "plan.redacted", F.col("strategy"))
     return df.drop("text", "plan", "mapping", "entities")
 
 
@@ -309,7 +318,7 @@ def redact_report(
     ``mapping`` goes to the restricted map, never to the reader of the report.
     """
     how = policy.redact_strategy if strategy is None else strategy
-    df = _redacted(scan(texts, policy, ner), F.col("entities"), how)
+    df = _redacted(scan(texts, policy, ner), "entities", how)
     return (
         df.withColumn("entities_found", F.size("entities"))
         .withColumn("placeholders", placeholders("mapping"))
