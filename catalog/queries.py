@@ -543,13 +543,37 @@ def tool_result(spark, sf_dir):
     return _enforced(C.tool_result_redact(corpus(spark, sf_dir, "tool_result"), POLICY))
 
 
-@query("tool_result_redact_messages")
+_MESSAGE_SQL = (
+    f"WITH {CORPUS}, texts AS (SELECT record_id, text || CASE WHEN seq % 3 = 0 THEN chr(1) || 'mail me at u' || seq || '@x.org' ELSE '' END AS text "
+    f"FROM corpus WHERE starts_with(record_id, 'conv-')), {found('texts')}, "
+    f"kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT {ALLOWED}), {resolved('kept')}, {labels_of()}, {replaced()} "
+    "SELECT record_id, n AS entity_count, labels, replace(redacted_text, chr(1), '<NUL>') AS extracted FROM red JOIN labs USING (record_id)"
+)
+
+
+@query("tool_result_redact_messages", _MESSAGE_SQL)
 def tool_result_messages(spark, sf_dir):
     df = C.tool_result_redact(_messages(spark, sf_dir), POLICY, message="message")
-    return df.select("record_id", long("entity_count").alias("entity_count"), "message")
+    return df.select(
+        "record_id", long("entity_count").alias("entity_count"), names("labels").alias("labels"),
+        F.replace(extract_text("message"), F.lit("\0"), F.lit("<NUL>")).alias("extracted"),
+    )
+
+
+_SPLICE_SQL = (
+    f"WITH {CORPUS}, {found()}, kept AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY start_pos, end_pos, rank) AS ord FROM found WHERE NOT {ALLOWED}), "
+    "named AS (SELECT *, '[' || label || '_' || row_number() OVER (PARTITION BY record_id, label ORDER BY start_pos DESC, ord) || ']' AS ph FROM kept), "
+    "steps AS (SELECT record_id, text AS txt, 0::BIGINT AS s, 0::BIGINT AS e, '' AS ph, 0 AS k, 0::BIGINT AS ord FROM corpus WHERE record_id IN (SELECT record_id FROM kept) "
+    "UNION ALL SELECT record_id, '', start_pos, end_pos, ph, 1, ord FROM named), "
+    "folded AS (SELECT record_id, list_reduce(list({'txt': txt, 's': s, 'e': e, 'ph': ph} ORDER BY k, s DESC, ord), "
+    "lambda a, x: {'txt': left(a.txt, x.s) || x.ph || substr(a.txt, x.e + 1), 's': x.s, 'e': x.e, 'ph': x.ph}) AS r FROM steps GROUP BY record_id), "
+    "labs AS (SELECT record_id, sum(n)::BIGINT AS n, string_agg(label, ', ' ORDER BY first) AS labels FROM "
+    "(SELECT record_id, label, count(*) AS n, min(ord) AS first FROM kept GROUP BY record_id, label) GROUP BY record_id) "
+    "SELECT record_id, n AS entity_count, labels, r.txt AS redacted_text FROM folded JOIN labs USING (record_id)"
+)
 
 
-@query("tool_result_redact_splice")
+@query("tool_result_redact_splice", _SPLICE_SQL)
 def tool_result_splice(spark, sf_dir):
     return _enforced(C.tool_result_redact(corpus(spark, sf_dir), POLICY, overlap_mode="splice"))
 

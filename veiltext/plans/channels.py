@@ -245,7 +245,7 @@ def inbound_advisory(
     """
     base = nonempty(texts)
     if not policy.enabled:
-        base = base.limit(0)
+        base = base.filter(F.lit(False))
     scanned = scan(base, policy, ner).filter(F.size("entities") > 0)
     df = scanned.withColumn("plan", plan_of("entities", policy)).withColumn(
         "summary", summary_of("plan")
