@@ -200,21 +200,39 @@ def create_requests(spark, sf_dir):
     )
 
 
-@query(
-    "create_requests_capped",
-    f"""WITH {EVENTS}, {ASKED}, moves AS (
+# Admission under a cap of 3, as a fold over each session's requests and decisions.
+ADMITTED = """moves AS (
       SELECT session_id, -1::BIGINT AS seq, 0 AS kind, []::BIGINT[] AS ids FROM ev GROUP BY session_id
       UNION ALL SELECT session_id, seq, 1, []::BIGINT[] FROM ev WHERE m = 1
       UNION ALL SELECT session_id, seq, 2, list(no ORDER BY pos) FROM asked WHERE action <> 'follow_up' GROUP BY session_id, seq),
-    folded AS (SELECT session_id, list_reduce(list({{'seq': seq, 'kind': kind, 'ids': ids, 'n': 0::BIGINT, 'open': []::BIGINT[],
-        'out': []::STRUCT(seq BIGINT, no BIGINT)[]}} ORDER BY seq), lambda a, x: {{'seq': x.seq, 'kind': x.kind, 'ids': x.ids,
+    folded AS (SELECT session_id, list_reduce(list({'seq': seq, 'kind': kind, 'ids': ids, 'n': 0::BIGINT, 'open': []::BIGINT[],
+        'out': []::STRUCT(seq BIGINT, no BIGINT)[]} ORDER BY seq), lambda a, x: {'seq': x.seq, 'kind': x.kind, 'ids': x.ids,
         'n': CASE WHEN x.kind = 1 AND len(a.open) < 3 THEN a.n + 1 ELSE a.n END,
         'open': CASE WHEN x.kind = 2 THEN list_filter(a.open, lambda y: NOT list_contains(x.ids, y)) WHEN len(a.open) < 3 THEN list_append(a.open, a.n + 1) ELSE a.open END,
-        'out': CASE WHEN x.kind = 1 THEN list_append(a.out, {{'seq': x.seq, 'no': CASE WHEN len(a.open) < 3 THEN a.n + 1 END}}) ELSE a.out END}}) AS st
-      FROM moves GROUP BY session_id)
-    SELECT session_id, o.seq AS seq, 'REQ-' || o.no AS request_id,
-      CASE WHEN o.no IS NULL THEN 'Maximum pending requests reached (3). Resolve existing requests before submitting new ones.' END AS error
-    FROM (SELECT session_id, unnest(st.out) AS o FROM folded)""",
+        'out': CASE WHEN x.kind = 1 THEN list_append(a.out, {'seq': x.seq, 'no': CASE WHEN len(a.open) < 3 THEN a.n + 1 END}) ELSE a.out END}) AS st
+      FROM moves GROUP BY session_id),
+    admitted AS (SELECT session_id, o.seq AS seq, o.no AS no FROM (SELECT session_id, unnest(st.out) AS o FROM folded))"""
+
+# What a map of 4 placeholders holds at each request, as a fold over writes and requests.
+HELD = """held AS (SELECT session_id, o.seq AS seq, o.v AS original_text FROM (SELECT session_id, unnest(st.out) AS o FROM (
+    SELECT session_id, list_reduce(list({'seq': seq, 'm': m, 'p': placeholder, 'v': original, 'map': []::STRUCT(p VARCHAR, v VARCHAR)[],
+        'out': []::STRUCT(seq BIGINT, v VARCHAR)[]} ORDER BY seq), lambda a, x: {'seq': x.seq, 'm': x.m, 'p': x.p, 'v': x.v,
+        'map': CASE WHEN x.m <> 0 THEN a.map
+          WHEN len(list_filter(a.map, lambda y: y.p = x.p)) > 0 THEN list_transform(a.map, lambda y: CASE WHEN y.p = x.p THEN {'p': y.p, 'v': x.v} ELSE y END)
+          WHEN len(a.map) >= 4 THEN list_append(a.map[2:len(a.map)], {'p': x.p, 'v': x.v}) ELSE list_append(a.map, {'p': x.p, 'v': x.v}) END,
+        'out': CASE WHEN x.m = 1 THEN list_append(a.out, {'seq': x.seq, 'v': list_filter(a.map, lambda y: y.p = x.p)[1].v}) ELSE a.out END}) AS st
+    FROM (SELECT session_id, seq, m, placeholder, original FROM ev WHERE m IN (0, 1)
+      UNION ALL SELECT session_id, -1, -1, NULL, NULL FROM ev GROUP BY session_id) GROUP BY session_id)))"""
+
+CAPPED_REQUESTS = """req AS (SELECT e.session_id, e.seq, e.ts, a.no, 'REQ-' || a.no AS request_id, e.placeholder, e.event_type AS reason,
+    CASE WHEN e.k % 2 = 0 THEN e.props END AS context, h.original_text
+  FROM ev e JOIN admitted a USING (session_id, seq) JOIN held h USING (session_id, seq) WHERE a.no IS NOT NULL)"""
+
+
+@query(
+    "create_requests_capped",
+    f"WITH {EVENTS}, {ASKED}, {ADMITTED} SELECT session_id, seq, 'REQ-' || no AS request_id, CASE WHEN no IS NULL THEN "
+    "'Maximum pending requests reached (3). Resolve existing requests before submitting new ones.' END AS error FROM admitted",
 )
 def create_requests_capped(spark, sf_dir):
     return R.create_requests(X.backlog_events(spark, sf_dir), cap=3).select("session_id", "seq", "request_id", "error")
@@ -291,7 +309,11 @@ def get_requests(spark, sf_dir):
     return R.get_requests(_table(spark, sf_dir), users).select("session_id", "request_id", "status")
 
 
-@query("backlog_state_capped")
+@query(
+    "backlog_state_capped",
+    f"WITH {EVENTS}, {ASKED}, {ADMITTED}, {HELD}, {CAPPED_REQUESTS}, {REPLIES}, {TABLE} SELECT session_id, request_id, no AS request_no, placeholder, "
+    "'EMAIL' AS entity_type, original_text, reason, context, status, follow_up_message, response_message FROM tab",
+)
 def backlog_state(spark, sf_dir):
     ev = X.backlog_events(spark, sf_dir)
     req = written(R.create_requests(ev, cap=3, max_mappings=4), "requests")

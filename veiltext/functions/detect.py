@@ -152,7 +152,7 @@ def _has_at(text: Column) -> Column:
 
 
 def _has_separator(text: Column) -> Column:
-    return text.rlike("[:=]")
+    return text.contains(":") | text.contains("=")
 
 
 def _has_digit(text: Column) -> Column:
