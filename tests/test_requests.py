@@ -81,7 +81,7 @@ def _event(seq, kind, **kw):
     base = dict.fromkeys(
         "placeholder original entity_type reason context request_id request_ids action message".split()
     )
-    return dict(session_id="s", seq=seq, ts=dt.datetime(2024, 1, 1, 0, seq), kind=kind, **{**base, **kw})
+    return dict(session_id="s", seq=seq, ts=dt.datetime(2024, 1, 1) + dt.timedelta(minutes=seq), kind=kind, **{**base, **kw})
 
 
 def test_lifecycle_replies_and_masks(spark):
@@ -121,3 +121,50 @@ def test_lifecycle_replies_and_masks(spark):
     assert view["REQ-3"].original_text is None and view["REQ-3"].resolved_at is not None
     bad = R.list_requests(R.request_table(req, rep), "open").collect()
     assert "Invalid status filter" in bad[0].error
+
+
+def test_evictions_without_returns_stay_parallel(spark):
+    """Placeholders that are written for a while and never again after they left the map."""
+    rng = random.Random(11)
+    rows = []
+    for s in range(3):
+        for i in range(200):
+            base = i // 5
+            kind = "mapping" if i % 5 < 3 else "request"
+            n = base if i % 5 == 0 else rng.randint(max(0, base - 2), base)
+            rows.append({**_event(i, kind, placeholder=f"[P_{n}]", entity_type="P"), "session_id": f"s{s}",
+                         "ts": dt.datetime(2024, 1, 1), "original": f"v{i}" if kind == "mapping" else None})
+    ev = spark.createDataFrame(rows, R.EVENTS)
+    sessions, made, _ = model.run(rows, 10_000, 4)
+    writes = R.mapping_events(ev)
+    _, returning = M._queue(M.merge_mapping(writes), 4, 64)
+    assert returning.isEmpty()
+    got = {}
+    for r in M.evict_fifo(writes, 4, span=64).orderBy("first_seq", "first_ord").collect():
+        got.setdefault(r.session_id, []).append((r.placeholder, r.original))
+    assert got == {s: list(x.map.items()) for s, x in sessions.items()}
+    req = R.create_requests(ev, cap=10_000, max_mappings=4, span=64).collect()
+    assert {(r.session_id, r.seq): r.original_text for r in req} == {
+        k: sessions[k[0]].requests[rid]["original_text"] for k, rid in made.items()
+    }
+
+
+@pytest.mark.parametrize("reach", [2, 30])
+def test_eviction_settles_per_record(spark, reach):
+    """Several placeholders per record; with a short reach none returns, with a long one many do."""
+    rng = random.Random(reach)
+    rows, sessions = [], {}
+    for s in range(4):
+        x = sessions.setdefault(f"s{s}", model.Session(max_mappings=6))
+        for seq in range(120):
+            top = seq + 1
+            names = rng.sample(range(max(0, top - reach), top + 2), min(3, reach + 1))
+            pairs = [(f"[P_{n}]", f"v{s}-{seq}-{n}") for n in names]
+            rows += [(f"s{s}", seq, i, p, v) for i, (p, v) in enumerate(pairs)]
+            x.write(pairs)
+    writes = spark.createDataFrame(rows, M.WRITES).repartition(4)
+    assert M._queue(M.merge_mapping(writes), 6, 32)[1].isEmpty() == (reach == 2)
+    got = {}
+    for r in M.evict_fifo(writes, 6, span=32).orderBy("first_seq", "first_ord").collect():
+        got.setdefault(r.session_id, []).append((r.placeholder, r.original))
+    assert got == {s: list(x.map.items()) for s, x in sessions.items()}

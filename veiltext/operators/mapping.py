@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .running import BUCKET_SPAN, asof_value
+from .running import BUCKET_SPAN, asof_value, running_sum
 from .shared import written
 
 # --- fixed value: placeholders a session keeps
@@ -59,6 +59,35 @@ def _crowded(merged: DataFrame, cap: int) -> DataFrame:
     ).select("session_id")
 
 
+def _queue(merged: DataFrame, cap: int, span: int) -> tuple[DataFrame, DataFrame] | None:
+    """The eviction queue of crowded sessions, and the sessions in which a placeholder returns to it.
+
+    Suppose that no evicted placeholder is ever written again.  Then each one
+    enters the queue at its first write, and the one of rank r leaves with the
+    record in which that of rank r + cap enters.  If all last writes come no
+    later than that, the supposition holds and the queue is exact; else the
+    session is one of those returned second.
+    """
+    crowded = written(_crowded(merged, cap), "crowded")
+    if crowded.isEmpty():
+        return None
+    ranked = running_sum(
+        merged.join(crowded, "session_id", "left_semi").drop("original"),
+        "session_id",
+        "first_seq",
+        {"rank": F.lit(1)},
+        span,
+        total="total",
+        order=("first_ord",),
+    )
+    successors = ranked.select(
+        "session_id", (F.col("rank") - cap).alias("rank"), F.col("first_seq").alias("evicted_at")
+    )
+    queue = written(ranked.join(successors, ["session_id", "rank"], "left"), "queue")
+    returning = queue.filter(F.col("last_seq") > F.col("evicted_at")).select("session_id").distinct()
+    return queue, written(returning, "returning")
+
+
 class FifoMap:
     """A session's map under its cap: all writes of one record, then the oldest go."""
 
@@ -79,21 +108,30 @@ def _in_session_order(df: DataFrame, *order: str) -> DataFrame:
     return df.repartition("session_id").sortWithinPartitions("session_id", *order)
 
 
-def evict_fifo(writes: DataFrame, cap: int = MAX_MAPPINGS) -> DataFrame:
-    """``merge_mapping`` where a session keeps its ``cap`` oldest-inserted-last placeholders.
+def evict_fifo(
+    writes: DataFrame, cap: int = MAX_MAPPINGS, span: int = BUCKET_SPAN
+) -> DataFrame:
+    """``merge_mapping`` where each session keeps the ``cap`` placeholders that came last.
 
-    A session that never held more than ``cap`` placeholders evicts nothing;
-    its map is the plain aggregate.  Only in the others does the outcome depend
-    on the order of all writes (an evicted placeholder can come back): those
-    run through an ordered pass that holds ``cap`` entries and no more.
+    A session with no more than ``cap`` placeholders evicts nothing.  In one
+    with more, the last ``cap`` to be first written stay, unless an evicted
+    placeholder came back: only then does the outcome depend on the order of
+    all writes, and the session runs through an ordered pass that holds ``cap``
+    entries and no more.
     """
     merged = merge_mapping(writes)
-    crowded = written(_crowded(merged, cap), "crowded")
-    if crowded.isEmpty():
+    found = _queue(merged, cap, span)
+    if found is None:
         return merged
-    plain = merged.join(crowded, "session_id", "left_anti")
+    queue, returning = found
+    out = queue.filter(F.col("rank") <= F.col("total") - cap)
+    gone = out.select("session_id", "placeholder")
+    plain = merged.join(gone, ["session_id", "placeholder"], "left_anti")
+    if returning.isEmpty():
+        return plain
+    plain = plain.join(returning, "session_id", "left_anti")
     ordered = _in_session_order(
-        writes.join(crowded, "session_id", "left_semi").select(
+        writes.join(returning, "session_id", "left_semi").select(
             "session_id", "seq", "ord", "placeholder", "original"
         ),
         "seq",
@@ -143,19 +181,33 @@ def snapshot_originals(
 ) -> DataFrame:
     """Add ``original_text``: what the session's map held for the placeholder at ``seq``; null if nothing.
 
-    As in ``evict_fifo`` only crowded sessions take the ordered pass.
+    As in ``evict_fifo`` only sessions in which a placeholder returned take the
+    ordered pass.
     """
     keys = ["session_id", "placeholder"]
-    crowded = written(_crowded(writes.select(*keys).distinct(), cap), "crowded")
     named = writes.select(*keys, "seq", "ord", F.col("original").alias("original_text"))
     asof = lambda r, w: asof_value(r, w, keys, "seq", "original_text", ["ord"], span)
-    if crowded.isEmpty():
+    found = _queue(merge_mapping(writes), cap, span)
+    if found is None:
         return asof(requests, named)
-    calm = lambda df: df.join(crowded, "session_id", "left_anti")
-    plain = asof(calm(requests), calm(named))
-    hot = requests.join(crowded, "session_id", "left_semi")
+    queue, returning = found
+
+    def until_evicted(df: DataFrame) -> DataFrame:
+        ends = queue.filter("evicted_at is not null").select(*keys, "evicted_at")
+        held = F.coalesce(F.col("seq") <= F.col("evicted_at"), F.lit(True))
+        return (
+            df.join(ends, keys, "left")
+            .withColumn("original_text", F.when(held, F.col("original_text")))
+            .select(*df.columns)
+        )
+
+    if returning.isEmpty():
+        return until_evicted(asof(requests, named))
+    calm = lambda df: df.join(returning, "session_id", "left_anti")
+    plain = until_evicted(asof(calm(requests), calm(named)))
+    hot = requests.join(returning, "session_id", "left_semi")
     rows = (
-        writes.join(crowded, "session_id", "left_semi")
+        writes.join(returning, "session_id", "left_semi")
         .select("session_id", "seq", "ord", "placeholder", "original")
         .unionByName(
             hot.select(

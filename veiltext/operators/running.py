@@ -28,10 +28,12 @@ def running_sum(
     values: dict[str, Column],
     span: int = BUCKET_SPAN,
     total: str | None = None,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add per name the sum of its value over the session's rows up to and with this one.
 
-    ``total`` names a further column, the number of rows of the session.
+    ``total`` names a further column, the number of rows of the session;
+    ``order`` sorts rows of equal ``seq``.
     """
     base = df.withColumn("_b", bucket_of(seq, span))
     for name, value in values.items():
@@ -48,7 +50,7 @@ def running_sum(
     )
     inside = (
         Window.partitionBy(session, "_b")
-        .orderBy(seq)
+        .orderBy(seq, *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = base.select(
