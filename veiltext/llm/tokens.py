@@ -9,71 +9,91 @@ import numpy as np
 import regex
 
 #: Words kept by a worker; beyond that the cache starts anew, which changes the time and not the ids.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_TAILS = b".,;:!?"
 
 
 class WordEncoder:
-    """Ids of a tokenizer that drops white space and marks the ends of its pieces, so that words stand alone.
+    """Ids of a tokenizer that drops white space, lower-cases and marks the ends of its pieces, so that words stand alone.
 
-    Each different word is encoded once: many new words are encoded as one text and its ids are cut where
-    pieces end. The pieces of a word are counted by the tokenizer's own split rule; where the counts do not
-    agree (special tokens, rare characters) the words are encoded one by one.
+    Each different word is encoded once. Words of letters are one piece each: many new ones are encoded as one text
+    that is split at blanks, and its ids are cut where pieces end. A sign at the end of such a word is a piece of its own.
+    In other words the pieces are counted by the tokenizer's own split rule; where counts do not agree (special
+    tokens, rare characters) the words are encoded one by one.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.zeros(size, dtype=bool)
         for token, at in self.tokenizer.get_vocab().items():
             self.ends[at] = token.endswith("</w>")
+        self._reset()
+
+    def _reset(self) -> None:
         self.known: dict[bytes, bytes] = {}
+        self._alone([_TAILS[k : k + 1] for k in range(len(_TAILS))])
 
     def _alone(self, words: list[bytes]) -> None:
         for word in words:
             ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
             self.known[word] = np.array(ids, dtype=self.dtype).tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
-        plain, counts, odd = [], [], []
-        for word in words:
-            text = word.decode()
-            if "<|" in text:
-                odd.append(word)
-                continue
-            if not text.isalpha():
-                text = unicodedata.normalize("NFC", text).lower()
-                counts.append(1 if text.isalpha() else len(_PIECES.findall(text)))
-            else:
-                counts.append(1)
-            plain.append(word)
-        for at in range(0, len(plain), 512):
-            some, count = plain[at : at + 512], np.array(counts[at : at + 512])
-            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, dtype=self.dtype)
+    def _together(self, words: list[bytes], counts: list[int], tokenizer) -> None:
+        for at in range(0, len(words), 512):
+            some, count = words[at : at + 512], np.array(counts[at : at + 512])
+            joined = b" ".join(some).decode()
+            ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=self.dtype)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != count.sum() or (len(ids) and ends[-1] != len(ids)):
                 self._alone(some)
                 continue
-            last = np.concatenate([[0], ends])[np.cumsum(count)]
+            raw = ids.tobytes()
+            last = (np.concatenate([[0], ends])[np.cumsum(count)] * self.dtype.itemsize).tolist()
             begin = 0
-            for word, end in zip(some, last.tolist(), strict=True):
-                self.known[word] = ids[begin:end].tobytes()
+            for word, end in zip(some, last, strict=True):
+                self.known[word] = raw[begin:end]
                 begin = end
-        self._alone(odd)
+
+    def _learn(self, words: set[bytes]) -> None:
+        letters, tailed, odd, counts, special = set(), [], [], [], []
+        for word in words:
+            stem = word[:-1] if word[-1] in _TAILS else word
+            if stem.isalpha():  # ASCII
+                one = True
+            else:
+                text = unicodedata.normalize("NFC", stem.decode()).lower()
+                one = text.isalpha()
+            if one:
+                if stem not in self.known:
+                    letters.add(stem)
+                if stem is not word:
+                    tailed.append(word)
+            elif b"<|" in word:
+                special.append(word)
+            else:
+                odd.append(word)
+                counts.append(len(_PIECES.findall(unicodedata.normalize("NFC", word.decode()).lower())))
+        self._together(list(letters), [1] * len(letters), self.plain)
+        self._together(odd, counts, self.tokenizer)
+        self._alone(special)
+        for word in tailed:
+            self.known[word] = self.known[word[:-1]] + self.known[word[-1:]]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        out = []
         if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        split = [text.split() for text in texts]
+            self._reset()
+        # special tokens are told by their case, all else is lower-cased by the tokenizer anyway
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
         new = set().union(*split).difference(self.known)
-        self._learn(list(new))
-        for words in split:
-            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=self.dtype))
-        return out
+        if new:
+            self._learn(new)
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=self.dtype) for words in split]
 
 
 @lru_cache(maxsize=2)
