@@ -87,11 +87,12 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
 def clusters(docs: DataFrame, work: Work, radius: int = 3) -> DataFrame:
     """row_key, doc_id, fp, component_id of keyed documents."""
     table = work.save(docs.select("row_key", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprints, "row_key long, doc_id long, fp long"))
-    groups = work.save(table.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("least_row")))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    groups = work.save(table.groupBy("fp").agg(F.min(place).alias("place")))
     labels = components(links(groups.select("fp"), radius), work)
     named = groups.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    ids = named.groupBy("label").agg(F.min("least").alias("component_id"), F.min(F.struct(F.col("least").isNull(), "least", "least_row")).alias("first"))
-    found = work.save(named.join(ids, "label").select("fp", "component_id", F.col("first.least_row").alias("keep_row")))
+    firsts = named.groupBy("label").agg(F.min("place").alias("first"))
+    found = work.save(named.join(firsts, "label").select("fp", F.col("first.doc_id").alias("component_id"), F.col("first.row_key").alias("keep_row")))
     return table.join(found, "fp")
 
 
