@@ -65,51 +65,69 @@ def rule_statistics(c: np.ndarray) -> np.ndarray:
     words, chars, symbols, dup, repeat, size, lines, upper, digits, stops, distinct = c.T.astype(float)
     return np.column_stack(
         [
-            (chars + 55) / (words + 10),
-            np.log((symbols + 0.1) / (chars + 10)),
-            dup / (lines + 3),
+            np.sqrt(symbols / (chars + 20)),
+            np.sqrt((upper + 0.4) / (chars + 20)),
+            np.sqrt(digits / (chars + 20)),
             repeat / (words + 10),
-            (upper + 0.2) / (chars + 10),
-            digits / (chars + 10),
+            dup / (lines + 3),
             (stops + 1.5) / (words + 10),
-            np.log((lines + 1) / (words + 30)),
+            (chars + 110) / (words + 20),
         ]
     )
 
 
+def informative(x: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """How well each statistic alone tells labels apart (rank statistic, to the fourth power), as shares; equal ones without labels."""
+    n, m = int(good.sum()), int((~good).sum())
+    if not n or not m:
+        return np.full(x.shape[1], 1 / x.shape[1])
+    out = []
+    for column in x.T:
+        _, at, count = np.unique(column, return_inverse=True, return_counts=True)
+        rank = (np.cumsum(count) - (count - 1) / 2)[at]
+        out.append(abs(2 * (rank[good].sum() - n * (n + 1) / 2) / (n * m) - 1) ** 4 + 1e-6)
+    return np.array(out) / sum(out)
+
+
 class Forest:
-    """Isolation trees of random splits, stored as arrays: a leaf holds the path length to expect there."""
+    """Isolation trees of random splits, stored as arrays: a leaf holds the path length to expect there.
+
+    A tree splits the box that holds `within`, by a statistic drawn with the given shares at a place drawn evenly from the
+    node's box, whether or not rows lie on both sides: where the sample has no rows a path ends at once.
+    """
 
-    def __init__(self, x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 11):
+    def __init__(self, x: np.ndarray, within: np.ndarray, shares: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.sample = min(sample, max(2, len(x)))
-        self.depth = int(np.ceil(np.log2(self.sample)))
+        self.depth = int(np.ceil(np.log2(self.sample))) + 2
         nodes = 2 << self.depth
         self.feature = np.full((trees, nodes), -1, np.int8)
         self.split = np.zeros((trees, nodes))
         self.path = np.zeros((trees, nodes))
+        self.shares = shares
         for tree in range(trees if len(x) else 0):
-            self._grow(tree, 1, x[rng.choice(len(x), self.sample, replace=len(x) < self.sample)], 0, rng)
+            drawn = x[rng.choice(len(x), self.sample, replace=len(x) < self.sample)]
+            self._grow(tree, 1, drawn, within.min(axis=0), within.max(axis=0), 0, rng)
 
     @staticmethod
     def expected(n: float) -> float:
         """Mean path of an unsuccessful search among n."""
         return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
 
-    def _grow(self, tree: int, node: int, x: np.ndarray, depth: int, rng: np.random.Generator) -> None:
-        spread = np.flatnonzero(np.ptp(x, axis=0) > 0) if len(x) > 1 else []
-        if depth >= self.depth or not len(spread):
+    def _grow(self, tree: int, node: int, x: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int, rng: np.random.Generator) -> None:
+        shares = np.where(high > low, self.shares, 0)
+        if depth >= self.depth or len(x) < 2 or not shares.sum():
             self.path[tree, node] = depth + self.expected(len(x))
             return
-        f = int(rng.choice(spread))
-        at = rng.uniform(x[:, f].min(), x[:, f].max())
+        f = int(rng.choice(len(shares), p=shares / shares.sum()))
+        at = rng.uniform(low[f], high[f])
         self.feature[tree, node], self.split[tree, node] = f, at
-        left = x[:, f] < at
-        self._grow(tree, 2 * node, x[left], depth + 1, rng)
-        self._grow(tree, 2 * node + 1, x[~left], depth + 1, rng)
+        left, middle = x[:, f] < at, np.arange(len(low)) == f
+        self._grow(tree, 2 * node, x[left], low, np.where(middle, at, high), depth + 1, rng)
+        self._grow(tree, 2 * node + 1, x[~left], np.where(middle, at, low), high, depth + 1, rng)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        """2 ** -(mean path / expected path): near 1 odd, below a half ordinary."""
+        """2 ** -(mean path / expected path): near 1 odd, lower the more ordinary."""
         total, rows = np.zeros(len(x)), np.arange(len(x))
         for tree in range(len(self.feature)):
             node = np.ones(len(x), np.int64)
@@ -148,9 +166,10 @@ def quality_rules(
 ) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, anomaly of every row.
 
-    Counts are taken over every whole text. The forest's trees draw from at most `sample` documents that pass the base
-    rule (those of the smallest id hashes); its threshold is set on the scores of at most `max_labels` labelled documents so
-    that at most `most_lost` of the good ones go. kept: the base rule passed and the score is not above the threshold.
+    Counts are taken over every whole text. At most `max_labels` labelled documents and `sample` others that pass the
+    base rule (those of the smallest id hashes) set up the forest: its boxes hold all of them, its trees are grown on the
+    labelled good ones (without any, on the others), a statistic is drawn the more often the better it tells labels apart,
+    and the threshold loses at most `most_lost` of the good ones. kept: the base rule passed and the score is not above it.
 
     Null or empty text: no words, hence base_failed. Null ids and repeated rows: judged like any other. No labels or labels of
     one kind: the forest drops nothing. No rows: none.
@@ -161,14 +180,14 @@ def quality_rules(
     table = work.save(texts.mapInArrow(_counted, "doc_id long, " + ", ".join(f"{c} long" for c in [*COUNTS, *MORE])))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     drawn = table.where(~failed).orderBy(F.xxhash64("doc_id"), *COUNTS).limit(sample).toPandas()
-    forest = Forest(rule_statistics(drawn[[*COUNTS, *MORE]].to_numpy()), trees)
     picked = (
         labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
     )
-    marked = table.where(~failed).join(F.broadcast(picked), "doc_id").select(*COUNTS, *MORE, "y").toPandas()
-    threshold = float("inf")
-    if len(marked):
-        threshold = calibrate(forest.scores(rule_statistics(marked[[*COUNTS, *MORE]].to_numpy())), marked["y"].to_numpy() == 1, most_lost)
+    marked = table.where(~failed).join(F.broadcast(picked), "doc_id").select(*COUNTS, *MORE, "y").orderBy(*COUNTS, *MORE, "y").toPandas()
+    x, known = (rule_statistics(rows[[*COUNTS, *MORE]].to_numpy(dtype=np.float64)) for rows in (drawn, marked))
+    good = marked["y"].to_numpy() == 1
+    forest = Forest(known[good] if good.any() else x, np.vstack([x, known]), informative(known, good), trees)
+    threshold = calibrate(forest.scores(known), good, most_lost)
     judged = table.mapInArrow(
         partial(_judge, forest=spark.sparkContext.broadcast(forest), threshold=threshold), "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", anomaly double"
     )
