@@ -196,14 +196,14 @@ def test_lm_sums_to_one_and_learns():
     seen, meant = np.zeros((2, FEATURES, CLASSES))
     observed(block, seen)
     expected(weights, block, meant)
-    assert seen[0].sum() == len(block.ids) and math.isclose(meant[0].sum(), len(block.ids), rel_tol=1e-5)
+    assert seen[0].sum() == len(block.target) and math.isclose(meant[0].sum(), len(block.target), rel_tol=1e-5)
     one = np.zeros((FEATURES, CLASSES))
     for f, t in zip(block.features, block.target, strict=True):
         one[[0, *f], t] += 1
     assert np.array_equal(one, seen)
-    before = logits(weights, block.features)[np.arange(len(block.ids)), block.target].sum()
+    before = logits(weights, block.features)[np.arange(len(block.target)), block.target].sum()
     weights = (weights + 0.5 * (seen - meant) / (np.maximum(seen, meant) + 4)).astype(np.float32)
-    assert logits(weights, block.features)[np.arange(len(block.ids)), block.target].sum() > before
+    assert logits(weights, block.features)[np.arange(len(block.target)), block.target].sum() > before
 
 
 def test_lm_awkward(spark):

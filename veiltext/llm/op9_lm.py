@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -13,83 +12,136 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veiltext.llm.common import Work, batches, fold, replayed
+from veiltext.llm.common import Work, batches, fold, replayed, word_hashes
 
 #: Word classes (the last one is that of the end), buckets of each kind of context, features of a place besides the constant.
-CLASSES, BUCKETS, KINDS = 64, 4096, 3
+CLASSES, BUCKETS, KINDS = 32, 4096, 3
 FEATURES = 1 + KINDS * BUCKETS
 END = b"\n"  # no word can hold it
 #: Text bytes of a block, the unit in which words are counted and texts are scored.
 BLOCK_BYTES = 16 << 20
+_SLICE = 2 << 20
 
 
 def word_class(word: bytes) -> int:
     """By the word's last two bytes, so that unseen words have a class as well."""
-    return CLASSES - 1 if word == END else zlib.crc32(word[-2:]) % (CLASSES - 1)
+    last = word[-1] * 256 + (word[-2] if len(word) > 1 else 0)
+    return CLASSES - 1 if word == END else int(_MIX[last])
 
 
-def bucket(word: bytes) -> int:
-    """1 and up; 0 stands for what is before a text."""
-    return zlib.crc32(word) % (BUCKETS - 1) + 1
+#: Classes of all pairs of last bytes.
+_MIX = ((np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(CLASSES - 1)).astype(np.int32)
+
+
+def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in runs of about _SLICE bytes, to bound what arrays over bytes and lists of words take."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text) + 1
+        if size >= _SLICE:
+            yield texts[begin : i + 1]
+            begin, size = i + 1, 0
+    if begin < len(texts):
+        yield texts[begin:]
 
 
 class Block:
-    """The tokens of some texts as numbers: words, classes, and the three context features of each place."""
-
-    def __init__(self, texts: list[bytes]):
-        split = [t.lower().split() for t in texts]
-        number: dict[bytes, int] = {END: 0}
-        for words in split:
-            for w in words:
-                number.setdefault(w, len(number))
-        self.words = list(number)
-        lengths = np.array([len(w) + 1 for w in split], dtype=np.int64)
-        self.bounds = np.concatenate([[0], np.cumsum(lengths)])
-        self.ids = np.zeros(int(self.bounds[-1]), np.int64)
-        for words, at in zip(split, self.bounds[:-1].tolist(), strict=True):
-            self.ids[at : at + len(words)] = list(map(number.__getitem__, words))
-        self.classes = np.array([word_class(w) for w in self.words], dtype=np.int64)
-        buckets = np.array([bucket(w) for w in self.words], dtype=np.int64)[self.ids]
-        before, skipped = np.zeros(len(self.ids), np.int64), np.zeros(len(self.ids), np.int64)
-        before[1:], skipped[2:] = buckets[:-1], buckets[:-2]
-        starts = self.bounds[:-1]
-        before[starts] = skipped[starts] = 0
-        second = starts[lengths > 1] + 1
-        skipped[second] = 0
-        self.features = np.column_stack([1 + before, 1 + BUCKETS + skipped, 1 + 2 * BUCKETS + (before * 31337 + skipped * 7919) % BUCKETS])
-        self.target = self.classes[self.ids]
+    """The tokens of some texts as numbers: classes, context features and word hashes of each place and, if `named`, the words.
+
+    A context bucket is a word's hash, 1 and up; 0 stands for what is before a text.
+    """
+
+    def __init__(self, texts: list[bytes], named: bool = True):
+        places, hashed, spelled, targets, features, lengths = [], [], [], [], [], []
+        for some in _slices(texts):
+            hashes, first, starts, ends = word_hashes(some)
+            n = np.diff(first)
+            lengths.append(n + 1)
+            place = np.arange(len(hashes)) + np.repeat(np.arange(len(some)), n)  # one end for each text before
+            size = len(hashes) + len(some)
+            whole = np.frombuffer(b"\n".join(some).lower() + b"\n", dtype=np.uint8).astype(np.int32)
+            target = np.full(size, CLASSES - 1, np.int32)
+            target[place] = _MIX[whole[ends - 1] * 256 + np.where(ends - starts > 1, whole[np.maximum(ends - 2, 0)], 0)]
+            bucket = np.zeros(size, np.int32)  # of an end: 0
+            bucket[place] = (hashes % np.uint64(BUCKETS - 1)).astype(np.int32) + 1
+            before, skipped = np.zeros(size, np.int32), np.zeros(size, np.int32)
+            before[1:], skipped[2:] = bucket[:-1], bucket[:-2]
+            begun = np.cumsum(np.concatenate([[0], n + 1]))[:-1]
+            skipped[begun] = 0
+            skipped[begun[n > 0] + 1] = 0
+            features.append(np.column_stack([1 + before, 1 + BUCKETS + skipped, 1 + 2 * BUCKETS + (before * 31337 + skipped * 7919) % BUCKETS]))
+            targets.append(target)
+            places.append(place + sum(map(len, targets[:-1])))
+            hashed.append(hashes)
+            if named:
+                spelled.append((b"\n".join(some).lower(), starts, ends))
+        self.bounds = np.cumsum(np.concatenate([[0], *lengths]))
+        self.target = np.concatenate(targets)
+        self.features = np.concatenate(features)
+        self.places, self.hashes = np.concatenate(places), np.concatenate(hashed)  # of the words; the other places are ends
+        if named:
+            self._name(hashed, spelled)
+
+    def _name(self, hashed: list[np.ndarray], spelled: list) -> None:
+        """words, and ids: which word stands at each place (0: the end). Words of a block are told apart by 64-bit hashes."""
+        _, first, inverse = np.unique(self.hashes, return_index=True, return_inverse=True)
+        self.words = [END]
+        slices = np.cumsum([0, *map(len, hashed)])
+        which = np.searchsorted(slices, first, side="right") - 1
+        for k, at in zip(which.tolist(), (first - slices[which]).tolist(), strict=True):
+            text, starts, ends = spelled[k]
+            self.words.append(text[starts[at] : ends[at]])
+        self.ids = np.zeros(len(self.target), np.int32)
+        self.ids[self.places] = inverse + 1
+
+    def counts(self, words: list[bytes], c: np.ndarray) -> np.ndarray:
+        """Of each place the count of its word, from a table of words; 0 for words that it lacks."""
+        out = np.zeros(len(self.target))
+        ends = np.array([w == END for w in words], dtype=bool)
+        if ends.any():
+            out[:] = c[ends][0]
+            out[self.places] = 0
+        if not ends.all():
+            known = word_hashes([b" ".join(w for w in words if w != END)])[0]
+            order = np.argsort(known)
+            at = np.minimum(np.searchsorted(known[order], self.hashes), len(known) - 1)
+            out[self.places] = np.where(known[order][at] == self.hashes, c[~ends][order][at], 0)
+        return out
 
 
 def logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Log probabilities of the classes at each place: a sparse sum of weight rows."""
-    x = weights[0] + weights[features[:, 0]]
+    x = weights[features[:, 0]]
     for k in range(1, KINDS):
         x += weights[features[:, k]]
+    x += weights[0]
     x -= x.max(axis=1, keepdims=True)
     x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
     return x
 
 
-def observed(block: Block, into: np.ndarray) -> None:
-    """Adds how often each feature and class occur together."""
-    into[0] += np.bincount(block.target, minlength=CLASSES)
+def observed(block: Block, into: np.ndarray, keep: np.ndarray | slice = slice(None)) -> None:
+    """Adds how often each feature and class occur together (in the places to keep)."""
+    target, features = block.target[keep], block.features[keep]
+    into[0] += np.bincount(target, minlength=CLASSES)
     for k in range(KINDS):
         low = 1 + k * BUCKETS
-        cell = (block.features[:, k] - low) * CLASSES + block.target
+        cell = (features[:, k] - low) * CLASSES + target
         into[low : low + BUCKETS] += np.bincount(cell, minlength=BUCKETS * CLASSES).reshape(BUCKETS, CLASSES)
 
 
-def expected(weights: np.ndarray, block: Block, into: np.ndarray, rows: int = 1 << 14) -> None:
+def expected(weights: np.ndarray, block: Block, into: np.ndarray, rows: int = 1 << 15) -> None:
     """Adds how often the model expects them to."""
-    for at in range(0, len(block.ids), rows):
+    for at in range(0, len(block.target), rows):
         features = block.features[at : at + rows]
         p = np.exp(logits(weights, features))
         into[0] += p.sum(axis=0)
+        by_class = np.ascontiguousarray(p.T, dtype=np.float64)
         for k in range(KINDS):
-            order = np.argsort(features[:, k], kind="stable")
-            own = features[order, k]
-            first = np.flatnonzero(np.diff(own, prepend=-1))
-            into[own[first]] += np.add.reduceat(p[order], first, axis=0)
+            low = 1 + k * BUCKETS
+            own = (features[:, k] - low).astype(np.intp)
+            for c in range(CLASSES):
+                into[low : low + BUCKETS, c] += np.bincount(own, weights=by_class[c], minlength=BUCKETS)
 
 
 def _blocks(columns) -> Iterator[tuple[int, list[bytes], pa.RecordBatch]]:
@@ -124,15 +176,15 @@ def _counted(columns):
     for number, texts, batch in _blocks(columns):
         train = batch.column("train").to_numpy(zero_copy_only=False)
         every = Block(texts)
+        classes = np.array([word_class(w) for w in every.words], dtype=np.int32)
         in_train = np.repeat(train, np.diff(every.bounds))
         n = np.bincount(every.ids[in_train], minlength=len(every.words))
-        if train.any():
-            observed(every if train.all() else Block([t for t, keep in zip(texts, train.tolist(), strict=True) if keep]), cells)
+        observed(every, cells, in_train)
         for at in range(0, len(n), 100_000):
             some = slice(at, at + 100_000)
             words = pa.array(every.words[some], pa.binary())
             yield row_batch(
-                len(words), block=pa.array(np.full(len(words), number)), word=words, n=pa.array(n[some]), **{"class": pa.array(every.classes[some].astype(np.int32))}
+                len(words), block=pa.array(np.full(len(words), number)), word=words, n=pa.array(n[some]), **{"class": pa.array(classes[some])}
             )
     used = np.flatnonzero(cells.any(axis=1))
     if len(used):
@@ -143,7 +195,7 @@ def _both(columns, weights):
     """Observed and expected cells of a task's texts, joined: one row for each feature that occurs."""
     cells, model = np.zeros((2, FEATURES, CLASSES)), weights.value
     for _, texts, _ in _blocks(columns):
-        block = Block(texts)
+        block = Block(texts, named=False)
         observed(block, cells[0])
         expected(model, block, cells[1])
     used = np.flatnonzero(cells[0].any(axis=1))
@@ -189,18 +241,17 @@ def _first_weights(cells: np.ndarray) -> np.ndarray:
 
 def _answers(key, docs: pd.DataFrame, known: pd.DataFrame, weights, classes, totals) -> pd.DataFrame:
     """Scores of one block's documents, from its texts and the counts of its words."""
-    block = Block([bytes(t) for t in docs["text"]])
-    found = dict(zip(map(bytes, known["word"]), known["c"].tolist(), strict=True))
-    c = np.array([found.get(w, 0) for w in block.words], dtype=np.float64)
+    block = Block([bytes(t) for t in docs["text"]], named=False)
+    c = block.counts([bytes(w) for w in known["word"]], known["c"].to_numpy(dtype=np.float64))
     n, v = totals
-    base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))[block.ids]
-    own = classes.value[block.classes]
-    inside = np.log10((c + 0.5) / (own[:, 0] + 0.5 * (own[:, 1] + 1)))[block.ids]
-    model, outside = weights.value, np.empty(len(block.ids))
-    for at in range(0, len(block.ids), 1 << 14):
+    base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+    own = classes.value[block.target]
+    inside = np.log10((c + 0.5) / (own[:, 0] + 0.5 * (own[:, 1] + 1)))
+    model, outside = weights.value, np.empty(len(block.target))
+    for at in range(0, len(block.target), 1 << 14):
         p = logits(model, block.features[at : at + (1 << 14)])
         outside[at : at + (1 << 14)] = p[np.arange(len(p)), block.target[at : at + (1 << 14)]] / np.log(10)
-    sums = [np.add.reduceat(x, block.bounds[:-1]) for x in ((c > 0)[block.ids].astype(np.int64), base, inside + outside)]
+    sums = [np.add.reduceat(x, block.bounds[:-1]) for x in ((c > 0).astype(np.int64), base, inside + outside)]
     return pd.DataFrame(
         {"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": np.diff(block.bounds), "n_known": sums[0], "base_score": sums[1], "score": sums[2]}
     )
