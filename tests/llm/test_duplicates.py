@@ -100,7 +100,11 @@ def normal(line):
 
 
 def line_shingles(line):
-    return {line[i : i + 10] for i in range(len(line)) if not line[i].isspace() and (i == 0 or line[i - 1].isspace() or (i >= 10 and not re.search(r"\s", line[i - 10 : i])))}
+    out = set()
+    for word in re.finditer(r"[^ \t\n\x0b\f\r]+", line):
+        for i in range(word.start(), max(word.start() + 1, word.end() - 9)):
+            out.add(line[i : i + 10])
+    return out
 
 
 def plain_line_dedup(rows, similarity=0.8):

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veiltext.llm.common import Work
@@ -19,32 +17,38 @@ def bands_for(similarity: float, rows: int, recall: float) -> int:
     return bands
 
 
-def similar(bands: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Work, similarity: float) -> DataFrame:
-    """node, label: the component of every item that has a similar other item.
-
-    bands: node, band (a saved table; it is removed). sets_of(wanted nodes) gives node and set (an array of different
-    hashes) for them. Items that meet in a band are verified by the Jaccard similarity of their sets. In a band all
-    items are first compared with its smallest one, which is one row each; what then lies in one component needs no
-    more comparing, and only items of one band that are still in different components are compared with each other.
-    """
+def meetings(items: DataFrame, work: Work) -> DataFrame:
+    """band, node, head of the items (node, bands) in bands of two and more; head is the band's smallest node."""
+    bands = items.select("node", F.explode("bands").alias("band")).repartition("band")  # one shuffle for both sides
     heads = bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last").select("band", "head")
-    met = work.save(bands.join(heads, "band").select("band", "node", "head"))
-    work.drop(bands)
-    sets = work.save(sets_of(met.select("node").distinct()))
+    return work.save(bands.join(heads, "band").select("band", "node", "head"))
+
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        left, right = (sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
-        shared = F.size(F.array_intersect("set_a", "set_b"))
-        close = shared >= similarity * (F.size("set_a") + F.size("set_b") - shared)
-        return pairs.join(right, "b").join(left, "a").where(close).select("a", "b")
+def _close(a: str, b: str, similarity: float) -> Column:
+    """Whether two sets are similar; the sizes are looked at first."""
+    n, m = F.size(a), F.size(b)
+    shared = F.size(F.array_intersect(a, b))
+    return (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
 
-    edges = work.save(verified(met.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()))
+
+def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float) -> DataFrame:
+    """node, label: the component of every item that has a similar other item.
+
+    met: from meetings(). sets: node, set (an array of different hashes) of its nodes. In a band all items are first
+    compared with its smallest one, which is one row each; what then lies in one component needs no more comparing, and
+    only items of one band that are still in different components are compared with each other. The sets travel
+    with the rows of a band, not with its pairs, and a pair becomes a row only if it is similar.
+    """
+    own = sets.withColumnRenamed("set", "own")
+    heads = sets.select(F.col("node").alias("head"), F.col("set").alias("other"))
+    pairs = met.where("node <> head").select("node", "head").distinct().join(own, "node").join(heads, "head")
+    edges = work.save(pairs.where(_close("own", "other", similarity)).select(F.col("head").alias("a"), F.col("node").alias("b")))
     labels = components(edges, work)
     placed = met.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     open_ = placed.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("band")
-    rest = work.save(placed.join(open_, "band"))
-    left, right = (rest.select("band", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-    crossing = left.join(right, "band").where("label_a < label_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = work.save(verified(crossing.join(edges, ["a", "b"], "left_anti")))
-    work.drop(met, sets, rest)
+    rest = work.save(placed.join(open_, "band").join(sets, "node"))
+    left, right = (rest.select("band", F.col("node").alias(x), F.col("label").alias(f"label_{x}"), F.col("set").alias(f"set_{x}")) for x in "ab")
+    apart = (left.band == right.band) & (F.col("label_a") < F.col("label_b"))
+    more = work.save(left.join(right, apart & _close("set_a", "set_b", similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    work.drop(rest)
     return components(edges.union(more), work) if more.limit(1).count() else labels

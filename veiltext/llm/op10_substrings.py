@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veiltext.llm.banding import bands_for, similar
+from veiltext.llm.banding import bands_for, meetings, similar
 from veiltext.llm.common import Work, batches, keyed, mixed, replayed, shingle_hashes, word_hashes
 
 SHINGLE, ROWS, RECALL = 5, 2, 0.995
@@ -129,16 +129,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     schema = "row_key long, doc_id long, paragraph int, start_word long, n_words long, c1 long, c2 long"
     table = work.save(texts.mapInArrow(partial(_paragraphs, bands=count, min_words=min_words), schema + ", bands array<long>"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "paragraph")
-    node = F.concat(F.lpad(F.hex("c1"), 16, "0"), F.lpad(F.hex("c2"), 16, "0"))
-    contents = work.save(table.groupBy("c1", "c2").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("bands").alias("bands")).withColumn("node", node))
-
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        wanted = contents.select("node", "c1", "c2").join(wanted, "node")
-        bits = spark.sparkContext.broadcast(_bitmap(wanted))
-        found = texts.mapInArrow(partial(_sets, bitmap=bits, min_words=min_words), "c1 long, c2 long, set array<long>")
-        return found.join(wanted, ["c1", "c2"]).dropDuplicates(["node"]).select("node", "set")
-
-    labels = similar(work.save(contents.select("node", F.explode("bands").alias("band"))), sets_of, work, similarity)
+    whole = table.groupBy("c1", "c2").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("bands").alias("bands"))
+    contents = work.save(whole.withColumn("node", F.monotonically_increasing_id()))
+    met = meetings(contents.select("node", "bands"), work)
+    wanted = work.save(contents.select("node", "c1", "c2").join(met.select("node").distinct(), "node"))
+    bits = spark.sparkContext.broadcast(_bitmap(wanted))
+    found = texts.mapInArrow(partial(_sets, bitmap=bits, min_words=min_words), "c1 long, c2 long, set array<long>")
+    sets = work.save(found.join(wanted, ["c1", "c2"]).dropDuplicates(["node"]).select("node", "set"))
+    labels = similar(met, sets, work, similarity)
     named = contents.join(labels, "node", "left").where("n > 1 or label is not null").select("c1", "c2", "place", F.coalesce("label", "node").alias("label"))
     keep = named.groupBy("label").agg(F.min("place").alias("keep"))
     groups = work.save(named.join(keep, "label").select("c1", "c2", "keep"))
