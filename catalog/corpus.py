@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veiltext.sources.policies import policy_from
-from veiltext.sources.texts import spread, texts_from, union_texts
+from veiltext.sources.texts import texts_from, union_texts
 
 POLICY_CONFIG = {
     "guardrail_mode": "redact",
@@ -67,7 +67,7 @@ def order_notes(spark, sf_dir) -> DataFrame:
         F.when(k % 3 == 0, "inbound").when(k % 3 == 1, "outbound").otherwise("reply_payload")
     )
     return texts_from(
-        spread(o),
+        o,
         text=note,
         record_id=F.concat(F.lit("note-"), _s(k)),
         channel=channel,
@@ -86,7 +86,7 @@ def _at(n: Column) -> Column:
 def conversations(spark, sf_dir) -> DataFrame:
     role = F.col("role")
     return texts_from(
-        spread(table(spark, sf_dir, "conversations")),
+        table(spark, sf_dir, "conversations"),
         text="text",
         record_id=F.concat(F.lit("conv-"), _s("conv_id"), F.lit("-"), _s("turn")),
         channel=F.when(role == "user", "inbound")
@@ -102,7 +102,7 @@ def conversations(spark, sf_dir) -> DataFrame:
 
 def documents(spark, sf_dir) -> DataFrame:
     return texts_from(
-        spread(table(spark, sf_dir, "documents")),
+        table(spark, sf_dir, "documents"),
         text="text",
         record_id=F.concat(F.lit("doc-"), _s("doc_id")),
         channel="tool_result",
@@ -115,7 +115,7 @@ def documents(spark, sf_dir) -> DataFrame:
 
 def pages(spark, sf_dir) -> DataFrame:
     return texts_from(
-        spread(table(spark, sf_dir, "pages")),
+        table(spark, sf_dir, "pages"),
         text="html",
         record_id=F.concat(F.lit("page-"), _s("page_id")),
         channel="tool_result",
@@ -133,23 +133,25 @@ def corpus(spark, sf_dir, channel: str | None = None) -> DataFrame:
 
 
 def ner_table(spark, sf_dir) -> DataFrame:
-    """Spans as a model would give them: three per short text, chained so that neighbours overlap."""
-    short = corpus(spark, sf_dir, "inbound").filter(F.length("text") >= 24)
-    key = F.col("seq")
+    """Spans as a model would give them: up to three per text, anywhere in it, chained so that neighbours overlap."""
+    key, n = F.col("seq"), F.length("text")
+    some = corpus(spark, sf_dir).filter(n >= 3)
+    some = some.withColumn("at", ((key * 7919 + 13) % F.greatest(n - 19, F.lit(1))).cast("int"))
     spans = [(0, 8, "person", 37), (5, 14, "org", 53), (11, 20, "date of birth", 71)]
     rows = [
         F.struct(
             F.lit(i).alias("ord"),
-            F.substring("text", s + 1, e - s).alias("text"),
+            F.col("text").substr(F.col("at") + (s + 1), F.lit(e - s)).alias("text"),
             F.lit(None).cast("string").alias("span_text"),
             F.lit(label).alias("label"),
             ((key * m + i * 29) % 101 / F.lit(100.0)).alias("score"),
-            F.lit(s).alias("start_pos"),
-            F.lit(e).alias("end_pos"),
+            (F.col("at") + s).alias("start_pos"),
+            (F.col("at") + e).alias("end_pos"),
+            n.alias("n"),
         )
         for i, (s, e, label, m) in enumerate(spans)
     ]
-    return short.select("record_id", F.inline(F.array(*rows)))
+    return some.select("record_id", F.inline(F.array(*rows))).filter("end_pos <= n").drop("n")
 
 
 def backlog_events(spark, sf_dir) -> DataFrame:

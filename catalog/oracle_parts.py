@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# --- fixed values: the rules must find the same strings as the detectors. RE2 has no look-around, so
+# what stands before a span is group 1 and what follows it is consumed.
 WS = r"\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 MONTH = (
@@ -30,6 +32,7 @@ RE2 = {
     rf"|{MONTH}[{WS}]+(?:0?[1-9]|[12][0-9]|3[01]),[{WS}]+(?:19|20)[0-9]{{2}})\b",
     "ZIP_CODE": r"()\b([0-9]{5}(?:-[0-9]{4})?)\b",
 }
+# ---
 LABELS = list(RE2)
 
 
@@ -127,21 +130,23 @@ def structured(policy: bool, channel: str | None = None) -> str:
     )
 
 
-NER_TABLE = """nspans AS (SELECT record_id, rank, label, s::BIGINT AS start_pos, e::BIGINT AS end_pos,
-    substr(text, s + 1, e - s) AS txt, ((seq * m + rank * 29) % 101) / 100.0::DOUBLE AS score
-  FROM (SELECT * FROM corpus WHERE channel = 'inbound' AND length(text) >= 24),
-    (VALUES (0, 0, 8, 'PERSON', 37), (1, 5, 14, 'ORGANIZATION', 53), (2, 11, 20, 'DATE OF BIRTH', 71)) v(rank, s, e, label, m))"""
+NER_TABLE = """nspans AS (SELECT record_id, rank, label, (base + s)::BIGINT AS start_pos, (base + e)::BIGINT AS end_pos,
+    substr(text, base + s + 1, e - s) AS txt, ((seq * m + rank * 29) % 101) / 100.0::DOUBLE AS score
+  FROM (SELECT *, (seq * 7919 + 13) % greatest(length(text) - 19, 1) AS base FROM corpus WHERE length(text) >= 3),
+    (VALUES (0, 0, 8, 'PERSON', 37), (1, 5, 14, 'ORGANIZATION', 53), (2, 11, 20, 'DATE OF BIRTH', 71)) v(rank, s, e, label, m)
+  WHERE length(text) >= base + e)"""
 
 CONFIDENT = "score >= CASE label WHEN 'PERSON' THEN 0.6 WHEN 'ORGANIZATION' THEN 0.2 ELSE 0.4 END"
 
 
-def full(channel: str = "inbound") -> str:
+def full(channel: str | None = None) -> str:
     """CTEs up to ``ents``: structured and NER spans under the policy, resolved."""
+    where = f" WHERE channel = {q(channel)}" if channel else ""
     return (
-        f"WITH {CORPUS}, texts AS (SELECT * FROM corpus WHERE channel = {q(channel)}), {found('texts')}, {NER_TABLE}, "
+        f"WITH {CORPUS}, texts AS (SELECT * FROM corpus{where}), {found('texts')}, {NER_TABLE}, "
         f"kept AS (SELECT record_id, label, rank, start_pos, end_pos, txt, 1.0::DOUBLE AS conf, 0 AS src FROM found "
         f"WHERE NOT {ALLOWED} UNION ALL SELECT record_id, label, rank, start_pos, end_pos, txt, score, 1 AS src "
-        f"FROM nspans WHERE {CONFIDENT} AND NOT {ALLOWED}), {resolved('kept')}"
+        f"FROM nspans WHERE {CONFIDENT} AND NOT {ALLOWED} AND record_id IN (SELECT record_id FROM texts)), {resolved('kept')}"
     )
 
 

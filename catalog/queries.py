@@ -79,12 +79,11 @@ SPAN_COLUMNS = "record_id, label, start_pos, end_pos, txt AS span_text, conf AS
 
 @query(
     "texts_from",
-    f"WITH {CORPUS} SELECT record_id, channel, session_id, seq, floor(epoch(ts))::BIGINT AS at, tool_name, channel_id, length(text) AS n_chars FROM corpus",
+    f"WITH {CORPUS} SELECT record_id, channel, session_id, seq, floor(epoch(ts))::BIGINT AS at, tool_name, channel_id, text FROM corpus",
 )
 def texts_from(spark, sf_dir):
     return corpus(spark, sf_dir).select(
-        "record_id", "channel", "session_id", "seq", F.unix_timestamp("ts").alias("at"), "tool_name", "channel_id",
-        long(F.length("text")).alias("n_chars"),
+        "record_id", "channel", "session_id", "seq", F.unix_timestamp("ts").alias("at"), "tool_name", "channel_id", "text"
     )
 
 
@@ -141,7 +140,7 @@ def replace(spark, sf_dir):
 
 def _detector(label: str):
     def run(spark, sf_dir):
-        return spans_of(corpus(spark, sf_dir).withColumn("entities", detect("text", label)))
+        return spans_of(C.fence(corpus(spark, sf_dir), "entities", detect("text", label)))
 
     sql = f"WITH {CORPUS} SELECT record_id, label, start_pos, end_pos, txt AS span_text, 1.0::DOUBLE AS confidence FROM ({label_spans(label, 'corpus')})"
     query(f"detect_{label.lower()}", sql)(run)
@@ -168,8 +167,8 @@ def structured_spans(spark, sf_dir):
     )
 
 
-def _with_ner(spark, sf_dir) -> DataFrame:
-    return N.attach_ner(corpus(spark, sf_dir, "inbound"), X.ner_table(spark, sf_dir), POLICY)
+def _with_ner(spark, sf_dir, channel: str | None = None) -> DataFrame:
+    return N.attach_ner(corpus(spark, sf_dir, channel), X.ner_table(spark, sf_dir), POLICY)
 
 
 @query(
@@ -180,14 +179,16 @@ def attach_ner(spark, sf_dir):
     return spans_of(_with_ner(spark, sf_dir), "ner")
 
 
-def _load_capitals():
-    """A stand-in for a model: the first capitalised word of a text is a person."""
+def _load_capitals(broken: bool = False):
+    """A stand-in for a model: the first capitalised word of a text is a person; ``broken``: it fails on texts with a colon."""
     import re
 
-    first = re.compile(r"\b[A-Z][a-z]{2,}\b")
+    first = re.compile(r"\b[A-Z][a-z]{2,}\b", re.ASCII)
 
     def model(texts, labels, floor):
-        hits = [first.search(t) if t.isascii() else None for t in texts]
+        if broken and any(":" in t for t in texts):
+            raise ValueError("a text with a colon")
+        hits = [first.search(t) for t in texts]
         return [
             [{"text": m.group(), "label": labels[0], "score": 0.9, "start": m.start(), "end": m.end()}]
             if m
@@ -198,21 +199,32 @@ def _load_capitals():
     return model
 
 
-@query(
-    "run_ner_model",
-    f"WITH {CORPUS}, m AS (SELECT record_id, text, regexp_extract(text, '\\b([A-Z][a-z]{{2,}})\\b', 1) AS w FROM corpus "
-    "WHERE channel = 'inbound' AND strlen(text) = length(text)) SELECT record_id, 'PERSON' AS label, w AS span_text, 0.9::DOUBLE AS confidence "
-    "FROM m WHERE w <> ''",
-)
-def run_ner(spark, sf_dir):
-    texts = corpus(spark, sf_dir, "inbound").select("record_id", "text")
+def _capitals_sql(where: str = "TRUE") -> str:
     return (
-        N.run_ner(texts, _load_capitals, ["person"], POLICY)
-        .select("record_id", F.inline("ner"))
-        .select("record_id", "label", F.col("text").alias("span_text"), "confidence")
+        f"WITH {CORPUS}, m AS (SELECT record_id, text, regexp_extract(text, '(?s)^(.*?)\\b([A-Z][a-z]{{2,}})\\b', ['pre', 'w']) AS g FROM corpus WHERE {where}) "
+        "SELECT record_id, 'PERSON' AS label, g.w AS span_text, length(g.pre)::BIGINT AS start_pos, (length(g.pre) + length(g.w))::BIGINT AS end_pos, 0.9::DOUBLE AS confidence FROM m WHERE g.w <> ''"
     )
 
 
+def _model_spans(df: DataFrame) -> DataFrame:
+    return df.select("record_id", F.inline("ner")).select(
+        "record_id", "label", F.col("text").alias("span_text"), long("start_pos").alias("start_pos"), long("end_pos").alias("end_pos"), "confidence"
+    )
+
+
+@query("run_ner_model", _capitals_sql())
+def run_ner(spark, sf_dir):
+    texts = corpus(spark, sf_dir).select("record_id", "text")
+    return _model_spans(N.run_ner(texts, _load_capitals, ["person"], POLICY))
+
+
+@query("run_ner_model_failing", _capitals_sql("NOT contains(text, ':')"))
+def run_ner_failing(spark, sf_dir):
+    """A model that fails on some texts: only those go without its spans."""
+    texts = corpus(spark, sf_dir).select("record_id", "text")
+    return _model_spans(N.run_ner(texts, lambda: _load_capitals(True), ["person"], POLICY))
+
+
 @query(
     "ner_labels",
     "SELECT p_partkey, 'person, organization, location, address, date of birth, medical record number, account number, passport number'"
@@ -225,13 +237,13 @@ def labels_for_model(spark, sf_dir):
 
 @query(
     "degrade_to_structured",
-    structured(True, "inbound") + f" SELECT {SPAN_COLUMNS} FROM ents",
+    structured(True) + f" SELECT {SPAN_COLUMNS} FROM ents",
 )
 def degrade(spark, sf_dir):
     def broken():
         raise RuntimeError("no model here")
 
-    texts = N.run_ner(corpus(spark, sf_dir, "inbound"), broken, ["person"], POLICY)
+    texts = N.run_ner(corpus(spark, sf_dir), broken, ["person"], POLICY)
     return spans_of(C.scan(texts, POLICY, ner=True))
 
 
@@ -279,8 +291,8 @@ def _allow(name: str, rule, condition: str):
     """Spans of the corpus that one part of the allowlist suppresses."""
 
     def run(spark, sf_dir):
-        df = corpus(spark, sf_dir).withColumn("found", detect_structured("text"))
-        return spans_of(df.withColumn("entities", F.filter("found", lambda e: rule(e, POLICY))))
+        df = C.fence(corpus(spark, sf_dir), "found", detect_structured("text"))
+        return spans_of(C.fence(df, "entities", F.filter("found", lambda e: rule(e, POLICY))))
 
     query(
         name,
@@ -359,13 +371,13 @@ def action(spark, sf_dir):
 
 
 def _planned(spark, sf_dir) -> DataFrame:
-    df = C.scan(_with_ner(spark, sf_dir), POLICY, ner=True).filter(F.size("entities") > 0)
+    df = C.scan(_with_ner(spark, sf_dir, "inbound"), POLICY, ner=True).filter(F.size("entities") > 0)
     return df.withColumn("plan", P.plan_of("entities", POLICY))
 
 
 @query(
     "guardrail_plan",
-    full() + f" SELECT record_id, {ACTION} AS action, label, start_pos FROM ents",
+    full("inbound") + f" SELECT record_id, {ACTION} AS action, label, start_pos FROM ents",
 )
 def plan(spark, sf_dir):
     def part(name, action_):
@@ -395,7 +407,7 @@ def _summary_columns(s="summary"):
     ]
 
 
-@query("plan_summary", full() + _SUMMARY_CTES + f" SELECT record_id, {_SUMMARY_COLUMNS} FROM {_SUMMARY_JOIN}")
+@query("plan_summary", full("inbound") + _SUMMARY_CTES + f" SELECT record_id, {_SUMMARY_COLUMNS} FROM {_SUMMARY_JOIN}")
 def summary(spark, sf_dir):
     df = _planned(spark, sf_dir).withColumn("summary", P.summary_of("plan"))
     return df.select("record_id", *_summary_columns())
@@ -405,8 +417,8 @@ _GATE_SQL = (
     structured(True, "inbound")
     + ", "
     + labels_of(f"({ACTION}) = 'block'", name="lb")
-    + " SELECT t.record_id, CASE WHEN n > 0 THEN 'block' ELSE 'pass' END AS outcome, 'blocked entity types detected: ' || labels AS reason, "
-    "'Message blocked: it contains sensitive information (' || labels || '). Rephrase without sensitive data.' AS message, "
+    + " SELECT t.record_id, CASE WHEN n > 0 THEN 'block' ELSE 'pass' END AS outcome, " + q(C.BLOCK_REASON) + " || labels AS reason, "
+    + q(C.BLOCK_MESSAGE[0]) + " || labels || " + q(C.BLOCK_MESSAGE[1]) + " AS message, "
     "CASE WHEN n > 0 THEN 'pii' END AS category FROM texts t LEFT JOIN lb USING (record_id)"
 )
 
@@ -418,24 +430,27 @@ def gate(spark, sf_dir):
 
 
 _REDACTED_PART = "rpart AS (SELECT * FROM ents WHERE " + f"({ACTION}) = 'redact')"
-_NOTICE = (
-    "concat_ws(chr(10) || chr(10), "
-    "'[' || 'GUARDRAIL — BLOCKED] The user''s message contains sensitive information (' || lb.labels || "
-    "'). Do NOT process or repeat this information. Ask the user to rephrase without sensitive data.', "
-    "'[GUARDRAIL NOTICE] PII detected in user message: ' || lw.labels || '. Handle with care.', "
-    "'[GUARDRAIL NOTICE] The user''s message contains sensitive data (' || lr.labels || '). Do not repeat these values in replies, "
-    "tool calls, or outbound messages — refer to them by placeholder instead. Redaction is enforced on tool results and outbound delivery.', "
-    "'[GUARDRAIL] Placeholder reference for the sensitive values (use these instead of the originals):' || chr(10) || red.redacted_text)"
+def _tagged(words: tuple[str, str], labels: str) -> str:
+    return f"{q('[' + C.NOTICE_TAG + words[0])} || {labels} || {q(words[1])}"
+
+
+_NOTICE = "concat_ws(chr(10) || chr(10), " + ", ".join(
+    [
+        _tagged(C.NOTICE_BLOCKED, "lb.labels"),
+        _tagged(C.NOTICE_WARNED, "lw.labels"),
+        _tagged(C.NOTICE_REDACTED, "lr.labels"),
+        q("[" + C.NOTICE_TAG + C.NOTICE_REFERENCE) + " || red.redacted_text)",
+    ]
 )
 
 
 @query(
     "guardrail_notice",
-    full() + _SUMMARY_CTES + ", " + _REDACTED_PART + ", " + replaced("rpart")
+    full("inbound") + _SUMMARY_CTES + ", " + _REDACTED_PART + ", " + replaced("rpart")
     + f" SELECT record_id, {_NOTICE} AS notice FROM {_SUMMARY_JOIN} LEFT JOIN red USING (record_id)",
 )
 def notice(spark, sf_dir):
-    return C.inbound_advisory(_with_ner(spark, sf_dir), POLICY, ner=True).select("record_id", "notice")
+    return C.inbound_advisory(_with_ner(spark, sf_dir, "inbound"), POLICY, ner=True).select("record_id", "notice")
 
 
 # --- D: redaction ------------------------------------------------------------
@@ -474,7 +489,7 @@ def _mapping_sql(strategy: str) -> str:
 
 def _mapping(strategy: str):
     def run(spark, sf_dir):
-        df = C.redact_report(corpus(spark, sf_dir), PLAIN, strategy)
+        df = C.redacted_records(corpus(spark, sf_dir), PLAIN, strategy)
         return M.mapping_rows(df).select("record_id", long("ord").alias("ord"), "placeholder", "original")
 
     query(f"mapping_rows_{strategy}", _mapping_sql(strategy))(run)
@@ -519,11 +534,11 @@ def inbound_gate(spark, sf_dir):
 
 @query(
     "inbound_advisory",
-    full() + _SUMMARY_CTES + ", " + _REDACTED_PART + ", " + replaced("rpart")
+    full("inbound") + _SUMMARY_CTES + ", " + _REDACTED_PART + ", " + replaced("rpart")
     + f" SELECT record_id, {_SUMMARY_COLUMNS}, {_NOTICE} AS notice FROM {_SUMMARY_JOIN} LEFT JOIN red USING (record_id)",
 )
 def inbound_advisory(spark, sf_dir):
-    df = C.inbound_advisory(_with_ner(spark, sf_dir), POLICY, ner=True)
+    df = C.inbound_advisory(_with_ner(spark, sf_dir, "inbound"), POLICY, ner=True)
     return df.select("record_id", *_summary_columns(), "notice")
 
 
@@ -583,6 +598,26 @@ def outbound(spark, sf_dir):
     return _enforced(C.outbound_redact(corpus(spark, sf_dir, "outbound"), POLICY))
 
 
+_LONG_LIST = (
+    f"WITH {CORPUS}, texts AS (SELECT * FROM corpus WHERE channel = 'outbound'), {found('texts')}, "
+    "kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT " + ALLOWED + " AND lower(trim(txt)) NOT IN "
+    "(SELECT 'user.' || c_custkey || '@corp.example.org' FROM customer WHERE c_custkey % 2 = 0) AND NOT (label = 'ZIP_CODE' AND txt IN "
+    "(SELECT lpad(CAST(p_partkey * 7 + i AS VARCHAR), 5, '0') FROM part, range(7) r(i))))"
+    f", {resolved('kept')}, {labels_of()}, {replaced()} SELECT record_id, n AS entity_count, labels, redacted_text FROM red JOIN labs USING (record_id)"
+)
+
+
+@query("outbound_redact_long_allowlist", _LONG_LIST)
+def outbound_long_list(spark, sf_dir):
+    """Allowlists that are tables: half of all customers' addresses, and seven codes per part."""
+    values = X.table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(
+        F.concat(F.lit(" User."), F.col("c_custkey").cast("string"), F.lit("@CORP.example.org")).alias("value")
+    )
+    codes = X.table(spark, sf_dir, "part").select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.col("p_partkey") * 7 + i)).alias("n"))
+    by_label = codes.select(F.lit("zip").alias("label"), F.lpad(F.col("n").cast("string"), 5, "0").alias("value"))
+    return _enforced(C.outbound_redact(corpus(spark, sf_dir, "outbound"), POLICY, allow=P.AllowTables(values, by_label)))
+
+
 @query("reply_payload_redact", _enforced_sql("reply_payload").replace("labels, redacted_text FROM", "labels, redacted_text, 'm-' || record_id AS media FROM"))
 def reply_payload(spark, sf_dir):
     df = corpus(spark, sf_dir, "reply_payload")
@@ -626,19 +661,22 @@ def preview(spark, sf_dir):
 _WHAT_IF = {"current": POLICY, "plain": PLAIN}
 
 
-@query(
-    "preview_policies",
-    "SELECT 'current' AS policy_id, * FROM (" + structured(True, "outbound") + ", a AS (SELECT record_id, count(*) AS total, "
-    f"count(*) FILTER (({ACTION}) = 'block') AS blocked, count(*) FILTER (({ACTION}) = 'warn') AS warned FROM ents GROUP BY record_id) "
-    "SELECT record_id, coalesce(total, 0) AS total, coalesce(blocked, 0) AS blocked, coalesce(warned, 0) AS warned FROM texts LEFT JOIN a USING (record_id)) "
-    "UNION ALL SELECT 'plain', * FROM (" + structured(False, "outbound") + ", a AS (SELECT record_id, count(*) AS total FROM ents GROUP BY record_id) "
-    "SELECT record_id, coalesce(total, 0), 0, 0 FROM texts LEFT JOIN a USING (record_id))",
-)
+def _what_if_sql(name: str, policy: bool) -> str:
+    part = _REDACTED_PART if policy else "rpart AS (SELECT * FROM ents)"
+    counts = f"count(*) FILTER (({ACTION}) = 'block') AS blocked, count(*) FILTER (({ACTION}) = 'warn') AS warned" if policy else "0 AS blocked, 0 AS warned"
+    return (
+        f"SELECT {q(name)} AS policy_id, * FROM (" + structured(policy) + f", a AS (SELECT record_id, count(*) AS total, {counts} FROM ents GROUP BY record_id), "
+        + part + ", " + replaced("rpart") + " SELECT record_id, coalesce(total, 0) AS total, coalesce(blocked, 0) AS blocked, coalesce(warned, 0) AS warned, "
+        "coalesce(redacted_text, text) AS redacted_text FROM texts LEFT JOIN a USING (record_id) LEFT JOIN red USING (record_id))"
+    )
+
+
+@query("preview_policies", _what_if_sql("current", True) + " UNION ALL " + _what_if_sql("plain", False))
 def preview_many(spark, sf_dir):
-    df = C.preview_policies(corpus(spark, sf_dir, "outbound"), _WHAT_IF)
+    df = C.preview_policies(corpus(spark, sf_dir), _WHAT_IF)
     s = F.col("summary")
     return df.select(
-        "policy_id", "record_id", *[long(s[x]).alias(x) for x in ("total", "blocked", "warned")]
+        "policy_id", "record_id", *[long(s[x]).alias(x) for x in ("total", "blocked", "warned")], "redacted_text"
     )
 
 

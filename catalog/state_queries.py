@@ -16,6 +16,8 @@ from . import corpus as X
 from .corpus import PLAIN, POLICY, corpus
 from .oracle_parts import ACTION, labels_of, q, replaced, structured
 from .queries import (
+    _NOTICE,
+    _REDACTED_PART,
     _SUMMARY_COLUMNS,
     _SUMMARY_CTES,
     _SUMMARY_JOIN,
@@ -42,17 +44,23 @@ def tenant_policies(spark, sf_dir) -> DataFrame:
         F.when(c % 3 == 0, '"(a+)+"'),
         F.when(c % 11 == 0, F.concat(F.lit('"'), F.repeat(F.lit("x"), 513), F.lit('"'))),
         F.when(c % 6 == 0, '"["'),
+        F.when(c % 12 == 5, '"(?P<y>a)"'),
+        F.when(c % 12 == 7, r'"(?<y>\\d)\\p{L}"'),
         F.when(c % 10 == 0, "7"),
     )
+    ssn = F.concat(F.lit('"ssn":"'), pick("block", "mask"), F.lit('"'))
+    long_ssn = F.lit('"social_security_number":"warn"')
     config = F.concat(
-        F.lit('{"guardrail_mode":"'), pick("redact", "block", "warn", "drop"),
+        F.when(c % 14 == 0, '{"auditEnabled":null,').otherwise("{"),
+        F.lit('"guardrail_mode":"'), pick("redact", "block", "warn", "drop"),
         F.lit('","confidence_threshold":'), tenth(c % 13),
         F.lit(',"maxPendingRequests":'), s(c % 7 - 1),
         F.lit(',"enabled":'), F.when(c % 5 == 0, '"yes"').otherwise("true"),
-        F.lit(',"entityActions":{"ssn":"'), pick("block", "mask"),
-        F.lit('","social_security_number":"warn"},"entityConfidenceThresholds":{"person":'), tenth(c % 17),
-        F.lit('},"allowlist":{"values":["a"," a ","'), s(c % 3), F.lit('"'), F.when(c % 9 == 0, ",5").otherwise(""),
-        F.lit('],"patterns":['), patterns, F.lit("]}}"),
+        F.lit(',"entityActions":{'), F.when(c % 8 < 4, F.concat(ssn, F.lit(','), long_ssn)).otherwise(F.concat(long_ssn, F.lit(','), ssn)),
+        F.lit('},"entityConfidenceThresholds":{"zip":0.9,"person":'), tenth(c % 17), F.lit(',"ZIP_CODE":0.25'),
+        F.when(c % 3 == 1, ',"per":0.75').otherwise(""),
+        F.lit('},"custom_entities":["badge"],"allowlist":{"values":["a"," a ","'), s(c % 3), F.lit('"'), F.when(c % 9 == 0, ",5").otherwise(""),
+        F.lit('],"entities":{"org":["x"," y "],"per":["p"],"PERSON":["q","q"]},"patterns":['), patterns, F.lit("]}}"),
     )
     config = F.when(c % 50 == 0, F.lit("{not json")).otherwise(config)
     return X.table(spark, sf_dir, "customer").select(c.alias("policy_id"), config.alias("config"))
@@ -70,6 +78,8 @@ _RULES = [
     ("c % 3 = 0", "allowlist.patterns", "nested_quantifier"),
     ("c % 11 = 0", "allowlist.patterns", "pattern_too_long"),
     ("c % 6 = 0", "allowlist.patterns", "invalid_regex"),
+    ("c % 12 = 5", "allowlist.patterns", "invalid_regex"),
+    ("c % 14 = 0", "auditEnabled", "not_boolean"),
 ]
 
 
@@ -82,20 +92,35 @@ def policy_lint(spark, sf_dir):
     return L.policy_lint(tenant_policies(spark, sf_dir)).select("policy_id", "path", "rule")
 
 
+def _broken(value: str, otherwise: str) -> str:
+    return f"CASE WHEN c % 50 = 0 THEN {otherwise} ELSE {value} END"
+
+
 @query(
     "effective_policies",
-    "SELECT c_custkey AS policy_id, CASE WHEN c_custkey % 50 = 0 THEN 'redact' ELSE (['redact', 'block', 'warn', 'drop'])[c_custkey % 4 + 1] END AS guardrail_mode, "
-    "'token' AS redact_strategy, CASE WHEN c_custkey % 50 = 0 THEN 0.5 ELSE (c_custkey % 13) / 10.0 END::DOUBLE AS confidence_threshold, "
-    "CASE WHEN c_custkey % 50 = 0 THEN 50 ELSE c_custkey % 7 - 1 END::BIGINT AS max_pending, "
-    "CASE WHEN c_custkey % 50 = 0 THEN '' ELSE 'SSN=' || CASE WHEN c_custkey % 2 = 1 THEN 'x' ELSE 'x' END END AS actions, "
-    "CASE WHEN c_custkey % 50 = 0 THEN '' ELSE 'a, ' || (c_custkey % 3) END AS allow_values FROM customer",
+    "WITH t AS (SELECT c_custkey AS c FROM customer) SELECT c AS policy_id, "
+    + _broken("(['redact', 'block', 'warn', 'drop'])[c % 4 + 1]", "'redact'") + " AS guardrail_mode, 'token' AS redact_strategy, "
+    + _broken("(c % 13) / 10.0", "0.5") + "::DOUBLE AS confidence_threshold, " + _broken("c % 7 - 1", "50") + "::BIGINT AS max_pending, "
+    + _broken("'SSN=' || CASE WHEN c % 8 < 4 THEN 'warn' WHEN c % 2 = 1 THEN 'mask' ELSE 'block' END", "''") + " AS actions, "
+    + _broken("CASE WHEN c % 3 = 1 THEN 'ZIP_CODE=25, PERSON=75' ELSE 'PERSON=' || (c % 17 * 10) || ', ZIP_CODE=25' END", "''") + " AS thresholds, "
+    + _broken("'a, ' || (c % 3)", "''") + " AS allow_values, " + _broken("'ORGANIZATION=x+y, PERSON=q'", "''") + " AS allow_entities, "
+    + _broken("'a+b' || CASE WHEN c % 3 = 0 THEN ' (a+)+' ELSE '' END || CASE WHEN c % 11 = 0 THEN ' ' || repeat('x', 513) ELSE '' END || "
+    "CASE WHEN c % 6 = 0 THEN ' [' ELSE '' END || CASE WHEN c % 12 = 5 THEN ' (?P<y>a)' ELSE '' END || "
+    "CASE WHEN c % 12 = 7 THEN ' (?<y>\\d)\\p{L}' ELSE '' END", "''") + " AS allow_patterns, "
+    + _broken("'badge'", "''") + " AS custom_entities, true AS enabled FROM t",
 )
 def effective(spark, sf_dir):
     df = L.effective_policies(tenant_policies(spark, sf_dir))
-    shown = F.transform("entity_actions", lambda e: F.concat(e["label"], F.lit("="), F.lit("x")))
+
+    def pairs(column, value):
+        return names(F.transform(column, lambda e: F.concat(e["label"], F.lit("="), value(e["value"]))))
+
     return df.select(
         "policy_id", "guardrail_mode", "redact_strategy", "confidence_threshold",
-        long("max_pending").alias("max_pending"), names(shown).alias("actions"), names("allow_values").alias("allow_values"),
+        long("max_pending").alias("max_pending"), pairs("entity_actions", lambda v: v).alias("actions"),
+        pairs("entity_thresholds", lambda v: F.round(v * 100).cast("int").cast("string")).alias("thresholds"),
+        names("allow_values").alias("allow_values"), pairs("allow_entities", lambda v: F.array_join(v, "+")).alias("allow_entities"),
+        F.array_join("allow_patterns", " ").alias("allow_patterns"), names("custom_entities").alias("custom_entities"), "enabled",
     )
 
 
@@ -142,7 +167,7 @@ _TO_TAB = f"WITH {EVENTS}, {ASKED}, {REQUESTS}, {REPLIES}, {TABLE} "
     "SELECT session_id, placeholder, arg_max(txt, seq) AS original, min(seq) AS first_seq, max(seq) AS last_seq FROM w GROUP BY 1, 2",
 )
 def merge_mapping(spark, sf_dir):
-    rows = M.mapping_rows(C.redact_report(corpus(spark, sf_dir), PLAIN))
+    rows = M.mapping_rows(C.redacted_records(corpus(spark, sf_dir), PLAIN))
     return M.merge_mapping(rows).drop("first_ord")
 
 
@@ -325,10 +350,10 @@ def backlog_state(spark, sf_dir):
 
 @query(
     "audit_guardrail_scan",
-    full() + _SUMMARY_CTES + f" SELECT 'guardrail_scan' AS event, 'prompt' AS source, record_id, {_SUMMARY_COLUMNS} FROM {_SUMMARY_JOIN}",
+    full("inbound") + _SUMMARY_CTES + f" SELECT 'guardrail_scan' AS event, 'prompt' AS source, record_id, {_SUMMARY_COLUMNS} FROM {_SUMMARY_JOIN}",
 )
 def audit_guardrail_scan(spark, sf_dir):
-    df = G.audit_guardrail_scan(C.inbound_advisory(_with_ner(spark, sf_dir), POLICY, ner=True), POLICY)
+    df = G.audit_guardrail_scan(C.inbound_advisory(_with_ner(spark, sf_dir, "inbound"), POLICY, ner=True), POLICY)
     return df.select(
         "event", "source", "record_id", long("total_entities").alias("total"),
         *[long(x).alias(x) for x in ("blocked", "warned", "redacted")],
@@ -394,7 +419,7 @@ def audit_request_resolved(spark, sf_dir):
 
 
 _FACTS = (
-    structured(True) + f", facts AS (SELECT record_id, channel, ts, label, {ACTION} AS action, left(sha256(txt), 12) AS digest FROM ents JOIN texts USING (record_id))"
+    structured(True) + f", facts AS (SELECT record_id, channel, ts, label, {ACTION} AS action, sha256(txt) AS digest FROM ents JOIN texts USING (record_id))"
 )
 
 
@@ -419,3 +444,76 @@ def audit_rollup(spark, sf_dir):
 def audit_hourly(spark, sf_dir):
     df = G.audit_hourly(_facts(spark, sf_dir))
     return df.withColumn("hour", F.unix_timestamp("hour"))
+
+
+# --- A: sinks ----------------------------------------------------------------
+
+
+def _spans_and_map(event: str) -> str:
+    return (
+        f" UNION ALL SELECT 'entities', {q(event)}, record_id, row_number() OVER (PARTITION BY record_id ORDER BY start_pos) - 1, txt, label FROM ents"
+        f" UNION ALL SELECT 'mapping', {q(event)}, record_id, row_number() OVER (PARTITION BY record_id ORDER BY start_pos DESC) - 1, txt, placeholder FROM red_r"
+    )
+
+
+def _enforced_sinks(channel: str, event: str) -> str:
+    return (
+        structured(True, channel) + ", " + labels_of() + ", " + replaced()
+        + f" SELECT 'redacted' AS sink, {q(event)} AS event, record_id, 0::BIGINT AS idx, redacted_text AS value, NULL::VARCHAR AS label FROM red"
+        + _spans_and_map(event)
+        + f" UNION ALL SELECT 'audit', {q(event)}, record_id, n, labels, NULL FROM labs"
+    )
+
+
+_ADVISED_SINKS = (
+    full("inbound") + _SUMMARY_CTES + ", " + _REDACTED_PART + ", " + replaced("rpart")
+    + f", s AS (SELECT record_id, {_SUMMARY_COLUMNS}, {_NOTICE} AS notice FROM {_SUMMARY_JOIN} LEFT JOIN red USING (record_id))"
+    " SELECT 'redacted' AS sink, 'guardrail_scan' AS event, record_id, 0::BIGINT AS idx, notice AS value, NULL::VARCHAR AS label FROM s"
+    + _spans_and_map("guardrail_scan")
+    + " UNION ALL SELECT 'audit', 'guardrail_scan', record_id, total, blocked_labels || ';' || warned_labels || ';' || redacted_labels, 'prompt' FROM s"
+)
+_GATED_SINKS = (
+    structured(True, "inbound") + ", " + labels_of(f"({ACTION}) = 'block'", name="lb")
+    + " SELECT 'redacted' AS sink, 'run_blocked' AS event, record_id, 0::BIGINT AS idx, CASE WHEN n > 0 THEN 'block' ELSE 'pass' END AS value, "
+    f"{q(C.BLOCK_REASON)} || labels AS label FROM texts LEFT JOIN lb USING (record_id) UNION ALL SELECT 'audit', 'run_blocked', record_id, n, labels, NULL FROM lb"
+)
+_CHANNEL_SINKS = [
+    _enforced_sinks("outbound", "outbound_scan"), _enforced_sinks("reply_payload", "reply_payload_redacted"),
+    _enforced_sinks("tool_result", "tool_result_scan"), _ADVISED_SINKS, _GATED_SINKS,
+]
+
+
+@query("sink_rows_all_channels", " UNION ALL ".join(f"SELECT * FROM ({s})" for s in _CHANNEL_SINKS))
+def all_sinks(spark, sf_dir):
+    """What every channel job hands to the sinks; tool results and payloads as rewritten messages and payloads."""
+    from veiltext.functions.messages import extract_text
+    from veiltext.sources.sinks import sink_rows
+
+    tools = corpus(spark, sf_dir, "tool_result")
+    content = F.to_json(F.struct(F.lit("tool").alias("role"), F.col("text").alias("content")))
+    replies = corpus(spark, sf_dir, "reply_payload").withColumn("payload", F.struct("text")).drop("text")
+    jobs = {
+        "outbound_scan": C.outbound_redact(corpus(spark, sf_dir, "outbound"), POLICY),
+        "reply_payload_redacted": C.reply_payload_redact(replies, POLICY),
+        "tool_result_scan": C.tool_result_redact(tools.withColumn("raw", content).drop("text"), POLICY, message="raw"),
+        "guardrail_scan": C.inbound_advisory(_with_ner(spark, sf_dir, "inbound"), POLICY, ner=True),
+        "run_blocked": C.inbound_gate(corpus(spark, sf_dir, "inbound"), POLICY),
+    }
+    out = None
+    for event, df in jobs.items():
+        rows = sink_rows(df, event, message="raw")
+        parts = F.concat_ws(";", *[F.array_join(f"{x}_labels", ", ") for x in ("blocked", "warned", "redacted")])
+        labels = F.when(F.lit(event == "guardrail_scan"), parts).when(F.lit(event == "run_blocked"), names("blocked_labels")).otherwise(names("labels"))
+        delivered = F.coalesce(
+            F.when(F.lit(event == "run_blocked"), F.col("outcome")), "redacted_text", F.when(F.col("message").isNotNull(), extract_text("message")), F.get_json_object("payload", "$.text"), "notice", "outcome"
+        )
+        is_ = lambda s: F.col("sink") == s
+        got = rows.select(
+            "sink", F.lit(event).alias("event"), "record_id",
+            F.when(is_("audit"), F.coalesce("total_entities", "blocked")).when(is_("redacted"), 0).otherwise(F.col("idx")).cast("bigint").alias("idx"),
+            F.when(is_("redacted"), delivered).when(is_("entities"), F.col("text")).when(is_("mapping"), F.col("original")).otherwise(labels).alias("value"),
+            F.when(is_("redacted"), F.col("reason")).when(is_("entities"), F.col("label")).when(is_("mapping"), F.col("placeholder"))
+            .when(F.lit(event == "guardrail_scan"), F.col("source")).alias("label"),
+        )
+        out = got if out is None else out.unionByName(got)
+    return out

@@ -1,5 +1,7 @@
 """Policies, their effect on spans, and the channel jobs under them."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,13 +33,34 @@ from veiltext.sources.policies import Policy, PolicyError, load_policy, policy_f
         {"maxPendingRequests": 0},
         {"maxPendingRequests": 1.5},
         {"confidence_threshold": -0.1},
+        {"enabled": None},
+        {"guardrail_mode": None},
+        {"redactStrategy": None},
+        {"maxPendingRequests": None},
+        {"allowlist": {"patterns": ["(?P<y>a)"]}},
+        {"allowlist": {"entities": {"ssn": None}}},
     ],
 )
-def test_bad_policies_are_refused(bad):
+def test_bad_policies_are_refused(spark, bad):
     with pytest.raises(PolicyError):
         policy_from(bad)
 
 
+def test_policy_follows_document_order_and_jvm_patterns(spark):
+    for config in (
+        '{"entityActions":{"ssn":"block","social_security_number":"warn"},"entityConfidenceThresholds":{"zip":0.1,"ZIP_CODE":0.9}}',
+        '{"entityActions":{"social_security_number":"warn","ssn":"block"},"entityConfidenceThresholds":{"ZIP_CODE":0.9,"zip":0.1}}',
+        '{"confidence_threshold":null,"allowlist":{"values":null,"patterns":["(?<y>[0-9]{4})","\\\\p{L}+"]}}',
+    ):
+        p = policy_from(json.loads(config))
+        df = spark.createDataFrame([("t", config)], "policy_id string, config string")
+        row = L.effective_policies(df).head()
+        assert {e.label: e.value for e in row.entity_actions} == p.entity_actions
+        assert {e.label: e.value for e in row.entity_thresholds} == p.entity_thresholds
+        assert (row.confidence_threshold, tuple(row.allow_patterns)) == (p.confidence_threshold, p.allow_patterns)
+        assert L.policy_lint(df).collect() == []
+
+
 def test_policy_from_file(spark, tmp_path):
     path = tmp_path / "policy.json"
     path.write_text(
@@ -175,6 +198,7 @@ def test_lint_of_odd_policies(spark):
     bad = [
         ("a", "[1]"), ("b", '{"allowlist":{"values":"x","entities":{"PERSON":"y","ORG":[1,"z"]}}}'),
         ("c", '{"entityActions":[],"confidence_threshold":"0.5","maxPendingRequests":2.5,"redactStrategy":null}'), ("d", "{}"),
+        ("e", '{"enabled":null,"guardrail_mode":null,"maxPendingRequests":null,"confidence_threshold":null,"allowlist":{"patterns":["(?P<y>a)","(?<y>a)"],"values":null}}'),
     ]
     df = spark.createDataFrame(bad, "policy_id string, config string")
     got = sorted((r.policy_id, r.path, r.rule) for r in L.policy_lint(df).collect())
@@ -186,6 +210,11 @@ def test_lint_of_odd_policies(spark):
         ("c", "confidence_threshold", "not_number"),
         ("c", "entityActions", "not_object"),
         ("c", "maxPendingRequests", "not_positive_integer"),
+        ("c", "redactStrategy", "bad_enum"),
+        ("e", "allowlist.patterns", "invalid_regex"),
+        ("e", "enabled", "not_boolean"),
+        ("e", "guardrail_mode", "bad_enum"),
+        ("e", "maxPendingRequests", "not_positive_integer"),
     ]
 
 

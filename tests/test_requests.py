@@ -168,3 +168,31 @@ def test_eviction_settles_per_record(spark, reach):
     for r in M.evict_fifo(writes, 6, span=32).orderBy("first_seq", "first_ord").collect():
         got.setdefault(r.session_id, []).append((r.placeholder, r.original))
     assert got == {s: list(x.map.items()) for s, x in sessions.items()}
+
+
+def test_null_sessions_and_equal_seq(spark):
+    """Events without a session are one session; requests of one seq are told apart, whether the cap binds or not."""
+    at = dt.datetime(2024, 1, 1)
+
+    def event(session, seq, kind, **more):
+        row = dict.fromkeys(("placeholder", "original", "entity_type", "reason", "context", "request_id", "request_ids", "action", "message"))
+        return {"session_id": session, "seq": seq, "ts": at, "kind": kind, **row, **more}
+
+    rows = [event(s, 1, "mapping", placeholder="[EMAIL_1]", original=f"of {s}") for s in (None, "a")]
+    rows += [event(s, q, "request", placeholder="[EMAIL_1]", entity_type="EMAIL") for s in (None, "a") for q in (2, 2, 3)]
+    rows += [event(None, None, "request", placeholder="[EMAIL_1]", entity_type="EMAIL")]
+    rows += [event(None, 4, "resolve", request_id="REQ-2", action="approve")]
+    ev = spark.createDataFrame(rows, R.EVENTS).coalesce(1)
+    for cap, maps in ((50, 10), (2, 10), (2, 1)):
+        made = R.create_requests(ev, cap=cap, max_mappings=maps).collect()
+        for session, n in ((None, 4), ("a", 3)):
+            own = [r for r in made if r.session_id == session]
+            assert len(own) == n
+            assert sorted(r.request_id for r in own if r.request_id) == [f"REQ-{i + 1}" for i in range(min(cap, n))]
+            assert {r.original_text for r in own if r.request_id and r.seq} == {f"of {session}"}
+    assert [r.original_text for r in made if r.seq is None] == [None]
+    rep = R.resolve_replies(ev, R.create_requests(ev)).collect()
+    assert [(r.session_id, r.status, r.original_text) for r in rep] == [(None, "approved", "of None")]
+    merged = M.evict_fifo(R.mapping_events(ev), cap=1)
+    keys = spark.createDataFrame([(None, "[EMAIL_1]"), ("a", "[EMAIL_1]"), ("b", "[EMAIL_1]")], "session_id string, placeholder string")
+    assert {r.session_id: r.original for r in M.lookup_original(keys, merged).collect()} == {None: "of None", "a": "of a", "b": None}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,14 @@ def fold_case(value: Column) -> Column:
     return F.lower(strip(value))
 
 
+_PYTHON_SPACE = re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), SPACE)
+
+
+def fold_value(value: str) -> str:
+    """``fold_case`` of a literal: the same white space goes, then lower case."""
+    return re.sub(rf"\A[{_PYTHON_SPACE}]+|[{_PYTHON_SPACE}]+\Z", "", value).lower()
+
+
 def blocks_of(text: Column) -> Column:
     """The text cut into blocks of ``SLICE_BLOCK`` code points."""
     return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{SLICE_BLOCK}}}"), F.lit(0))

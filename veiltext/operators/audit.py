@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.redact import HASH_CHARS
 from ..sources.policies import Policy
 from .policy import action_of
 
@@ -18,116 +19,117 @@ AUDIT = (
 )
 
 
-def _audit(df: DataFrame, policy: Policy, event: str, **values) -> DataFrame:
-    """Rows of the audit schema; none at all when the policy keeps no audit."""
-    cols = []
+def _counts(df: DataFrame) -> dict[str, Column]:
+    return {"total_entities": F.col("entity_count"), "labels": F.col("labels")}
+
+
+def _found(df: DataFrame) -> Column:
+    return F.col("entity_count") > 0
+
+
+def _guardrail(df: DataFrame) -> dict[str, Column]:
+    s = F.col("summary")
+    names = ("blocked", "warned", "redacted")
+    return {
+        "total_entities": s["total"],
+        **{n: s[n] for n in names},
+        **{f"{n}_labels": s[f"{n}_labels"] for n in names},
+        "source": F.lit("prompt"),
+    }
+
+
+def _request(df: DataFrame) -> dict[str, Column]:
+    names = ("request_id", "action", "entity_type")
+    return {**{n: F.col(n) for n in names if n in df.columns}, "source": F.lit("backlog")}
+
+
+#: By event: which rows of the job's output it is written for, and its columns besides the record's.
+EVENTS: dict[str, tuple[Callable[[DataFrame], Column], Callable[[DataFrame], dict[str, Column]]]] = {
+    "guardrail_scan": (lambda df: F.lit(True), _guardrail),
+    "tool_result_scan": (
+        _found,
+        lambda df: {
+            **_counts(df),
+            "tool_name": F.col("tool_name"),
+            "source": F.lit("tool_result"),
+        },
+    ),
+    "outbound_scan": (
+        _found,
+        lambda df: {
+            **_counts(df),
+            "channel_id": F.col("channel_id"),
+            "source": F.lit("outbound"),
+        },
+    ),
+    "reply_payload_redacted": (_found, _counts),
+    "run_blocked": (
+        lambda df: F.col("outcome") == "block",
+        lambda df: {"blocked": F.col("blocked"), "blocked_labels": F.col("blocked_labels")},
+    ),
+    "access_request_created": (lambda df: F.col("request_id").isNotNull(), _request),
+    "access_request_resolved": (lambda df: F.col("error").isNull(), _request),
+}
+
+
+def audit_columns(df: DataFrame, event: str) -> tuple[Column, dict[str, Column]]:
+    """For which rows of a job's output an audit row is due, and all its columns."""
+    due, values_of = EVENTS[event]
+    own = {"event": F.lit(event), **values_of(df)}
+    cols = {}
     for f in T.StructType.fromDDL(AUDIT):
-        if f.name == "event":
-            value = F.lit(event)
-        elif f.name in values:
-            value = values[f.name]
-        elif f.name in ("record_id", "session_id", "ts") and f.name in df.columns:
-            value = F.col(f.name)
-        else:
-            value = F.lit(None)
-        cols.append(value.cast(f.dataType).alias(f.name))
-    return df.filter(F.lit(policy.audit_enabled)).select(*cols)
+        record = f.name in ("record_id", "session_id", "ts") and f.name in df.columns
+        value = own.get(f.name, F.col(f.name) if record else F.lit(None))
+        cols[f.name] = value.cast(f.dataType)
+    return due(df), cols
+
+
+def _audit(df: DataFrame, policy: Policy, event: str) -> DataFrame:
+    """Rows of the audit schema; none at all when the policy keeps no audit."""
+    due, cols = audit_columns(df, event)
+    return df.filter(F.lit(policy.audit_enabled) & due).select(
+        *[c.alias(name) for name, c in cols.items()]
+    )
 
 
 def audit_guardrail_scan(advised: DataFrame, policy: Policy) -> DataFrame:
     """From ``inbound_advisory``."""
-    s = lambda name: F.col("summary")[name]
-    return _audit(
-        advised,
-        policy,
-        "guardrail_scan",
-        total_entities=s("total"),
-        blocked=s("blocked"),
-        warned=s("warned"),
-        redacted=s("redacted"),
-        blocked_labels=s("blocked_labels"),
-        warned_labels=s("warned_labels"),
-        redacted_labels=s("redacted_labels"),
-        source=F.lit("prompt"),
-    )
+    return _audit(advised, policy, "guardrail_scan")
 
 
 def audit_tool_result(redacted: DataFrame, policy: Policy) -> DataFrame:
     """From ``tool_result_redact``."""
-    return _audit(
-        redacted.filter(F.col("entity_count") > 0),
-        policy,
-        "tool_result_scan",
-        total_entities=F.col("entity_count"),
-        labels=F.col("labels"),
-        tool_name=F.col("tool_name"),
-        source=F.lit("tool_result"),
-    )
+    return _audit(redacted, policy, "tool_result_scan")
 
 
 def audit_outbound(redacted: DataFrame, policy: Policy) -> DataFrame:
     """From ``outbound_redact``."""
-    return _audit(
-        redacted.filter(F.col("entity_count") > 0),
-        policy,
-        "outbound_scan",
-        total_entities=F.col("entity_count"),
-        labels=F.col("labels"),
-        channel_id=F.col("channel_id"),
-        source=F.lit("outbound"),
-    )
+    return _audit(redacted, policy, "outbound_scan")
 
 
 def audit_reply_payload(redacted: DataFrame, policy: Policy) -> DataFrame:
     """From ``reply_payload_redact``."""
-    return _audit(
-        redacted.filter(F.col("entity_count") > 0),
-        policy,
-        "reply_payload_redacted",
-        total_entities=F.col("entity_count"),
-        labels=F.col("labels"),
-    )
+    return _audit(redacted, policy, "reply_payload_redacted")
 
 
 def audit_blocked(gated: DataFrame, policy: Policy) -> DataFrame:
     """From ``inbound_gate``."""
-    return _audit(
-        gated.filter(F.col("outcome") == "block"),
-        policy,
-        "run_blocked",
-        blocked=F.col("blocked"),
-        blocked_labels=F.col("blocked_labels"),
-    )
+    return _audit(gated, policy, "run_blocked")
 
 
 def audit_request_created(requests: DataFrame, policy: Policy) -> DataFrame:
     """From the admitted rows of ``create_requests``."""
-    return _audit(
-        requests.filter(F.col("request_id").isNotNull()),
-        policy,
-        "access_request_created",
-        request_id=F.col("request_id"),
-        entity_type=F.col("entity_type"),
-        source=F.lit("backlog"),
-    )
+    return _audit(requests, policy, "access_request_created")
 
 
 def audit_request_resolved(replies: DataFrame, policy: Policy) -> DataFrame:
     """From ``resolve_replies``: one row per id that was resolved."""
-    return _audit(
-        replies.filter(F.col("error").isNull()),
-        policy,
-        "access_request_resolved",
-        request_id=F.col("request_id"),
-        action=F.col("action"),
-        entity_type=F.col("entity_type"),
-        source=F.lit("backlog"),
-    )
+    return _audit(replies, policy, "access_request_resolved")
 
 
 def span_facts(scanned: DataFrame, policy: Policy) -> DataFrame:
     """One short row per span - channel, label, action, digest of the value - and no text."""
-    digest = F.substring(F.sha2(F.col("e.text").cast("binary"), 256), 1, HASH_CHARS)
+    digest = F.unhex(F.sha2(F.col("e.text").cast("binary"), 256))
     return scanned.select(
         "record_id", "channel", "ts", F.explode("entities").alias("e")
     ).select(

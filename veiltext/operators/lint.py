@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.arrays import empty_array, let
 from ..functions.labels import canonical_label
-from ..functions.redact import STRATEGIES
 from ..functions.text import strip
-from ..sources.policies import ACTIONS, MAX_PATTERN_CHARS, NESTED_QUANTIFIER
+from ..sources.policies import DEFAULT_MODEL, MAX_PATTERN_CHARS, NESTED_QUANTIFIER, RULES, Rule
 
 _VIOLATION = "struct<path:string,rule:string,value:string>"
 _NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
@@ -28,19 +26,9 @@ def _number(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-@F.pandas_udf(T.ArrayType(T.BooleanType()))
-def _compiles(patterns):
-    """Per pattern whether it is a regular expression at all; a pattern list is short."""
-    import re
-
-    def one(p):
-        try:
-            re.compile(p)
-            return True
-        except re.error:
-            return False
-
-    return patterns.map(lambda ps: None if ps is None else [one(p) for p in ps])
+def _compiles(pattern: Column) -> Column:
+    """Whether the JVM, where patterns run, takes a pattern."""
+    return F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern).isNotNull()
 
 
 def _violation(path: Column, rule: Column | str, value: Column) -> Column:
@@ -51,39 +39,54 @@ def _violation(path: Column, rule: Column | str, value: Column) -> Column:
     )
 
 
-def _one(doc: Column, path: str, rule_of) -> Column:
-    """The violation of a single field, if any; ``rule_of`` gives its rule or null."""
+def _at(doc: Column, path: str, null: bool) -> Column:
+    """The variant at a path; null for a missing field and, if ``null``, for an explicit null."""
+    value = F.try_variant_get(doc, f"$.{path}", "variant")
+    return F.when(~F.is_variant_null(value), value) if null else value
+
+
+def _one(doc: Column, rule: Rule, fault_of) -> Column:
+    """The violation of a single field, if any; ``fault_of`` gives its rule or null."""
 
     def check(v: Column) -> Column:
-        rule = F.when(_kind(v) != "VOID", rule_of(v))
+        fault = F.when(v.isNotNull(), fault_of(v))
         return F.when(
-            rule.isNotNull(), F.array(_violation(F.lit(path), rule, _text(v)))
+            fault.isNotNull(), F.array(_violation(F.lit(rule.path), fault, _text(v)))
         ).otherwise(empty_array(_VIOLATION))
 
-    return let(F.try_variant_get(doc, f"$.{path}", "variant"), check)
+    return let(_at(doc, rule.path, rule.null), check)
 
 
-def _each(doc: Column, path: str, rule_of) -> Column:
-    """The violations among the fields of an object."""
+def _each(doc: Column, rule: Rule, faults_of) -> Column:
+    """The violations among the fields of an object; ``faults_of(path, value)`` gives those of one."""
 
     def check(v: Column) -> Column:
         fields = F.map_entries(v.cast("map<string,variant>"))
-        found = F.transform(
-            fields,
-            lambda e: _violation(
-                F.concat(F.lit(f"{path}."), e["key"]), rule_of(e["value"]), _text(e["value"])
-            ),
+        found = F.flatten(
+            F.transform(
+                fields, lambda e: faults_of(F.concat(F.lit(f"{rule.path}."), e["key"]), e["value"])
+            )
         )
         return (
-            F.when(_kind(v) == "OBJECT", F.filter(found, lambda x: x["rule"].isNotNull()))
+            F.when(_kind(v) == "OBJECT", found)
             .when(
-                _kind(v) != "VOID",
-                F.array(_violation(F.lit(path), F.lit("not_object"), _text(v))),
+                v.isNotNull(), F.array(_violation(F.lit(rule.path), F.lit("not_object"), _text(v)))
             )
             .otherwise(empty_array(_VIOLATION))
         )
 
-    return let(F.try_variant_get(doc, f"$.{path}", "variant"), check)
+    return let(_at(doc, rule.path, rule.null), check)
+
+
+def _single(fault_of):
+    """``faults_of`` for an object of scalars."""
+
+    def faults(path: Column, v: Column) -> Column:
+        return F.filter(
+            F.array(_violation(path, fault_of(v), _text(v))), lambda x: x["rule"].isNotNull()
+        )
+
+    return faults
 
 
 def _boolean(v: Column) -> Column:
@@ -112,26 +115,31 @@ def _positive(v: Column) -> Column:
     )
 
 
-def _list(doc: Column, path: str) -> Column:
-    """Violations of a list of strings: that it is one, and that all its entries are strings."""
+def _entries(path: Column, v: Column, fault_of=None) -> Column:
+    """Violations of a list of strings: that it is one, that all entries are strings, and ``fault_of`` each."""
 
+    def one(x: Column) -> Column:
+        fault = F.when(_kind(x) != "STRING", F.lit("not_string"))
+        if fault_of is not None:
+            fault = fault.otherwise(fault_of(strip(_text(x))))
+        return _violation(path, fault, _text(x))
+
+    found = F.transform(v.cast("array<variant>"), one)
+    return F.when(
+        _kind(v) == "ARRAY", F.filter(found, lambda x: x["rule"].isNotNull())
+    ).otherwise(F.array(_violation(path, F.lit("not_array"), _text(v))))
+
+
+def _list(doc: Column, rule: Rule, fault_of=None) -> Column:
     def check(v: Column) -> Column:
-        bad = F.filter(v.cast("array<variant>"), lambda x: _kind(x) != "STRING")
-        return (
-            F.when(
-                _kind(v) == "ARRAY",
-                F.transform(bad, lambda x: _violation(F.lit(path), F.lit("not_string"), _text(x))),
-            )
-            .when(
-                _kind(v) != "VOID", F.array(_violation(F.lit(path), F.lit("not_array"), _text(v)))
-            )
-            .otherwise(empty_array(_VIOLATION))
+        return F.when(v.isNotNull(), _entries(F.lit(rule.path), v, fault_of)).otherwise(
+            empty_array(_VIOLATION)
         )
 
-    return let(F.try_variant_get(doc, f"$.{path}", "variant"), check)
+    return let(_at(doc, rule.path, rule.null), check)
 
 
-def _strings(doc: Column, path: str) -> Column:
+def _strings_of(value: Column) -> Column:
     """The usable entries of a list of strings: trimmed, not blank."""
 
     def read(v: Column) -> Column:
@@ -141,45 +149,34 @@ def _strings(doc: Column, path: str) -> Column:
             F.filter(F.transform(texts, lambda x: strip(_text(x))), lambda s: s != ""),
         ).otherwise(empty_array("string"))
 
-    return let(F.try_variant_get(doc, f"$.{path}", "variant"), read)
-
+    return let(value, read)
 
-def _label_lists(doc: Column) -> Column:
-    def check(v: Column) -> Column:
-        fields = F.map_entries(v.cast("map<string,variant>"))
 
-        def of(e: Column) -> Column:
-            path = F.concat(F.lit("allowlist.entities."), e["key"])
-            bad = F.filter(e["value"].cast("array<variant>"), lambda x: _kind(x) != "STRING")
-            return F.when(
-                _kind(e["value"]) == "ARRAY",
-                F.transform(bad, lambda x: _violation(path, F.lit("not_string"), _text(x))),
-            ).otherwise(F.array(_violation(path, F.lit("not_array"), _text(e["value"]))))
+def _strings(doc: Column, path: str) -> Column:
+    return _strings_of(F.try_variant_get(doc, f"$.{path}", "variant"))
 
-        return (
-            F.when(_kind(v) == "OBJECT", F.flatten(F.transform(fields, of)))
-            .when(
-                _kind(v) != "VOID",
-                F.array(_violation(F.lit("allowlist.entities"), F.lit("not_object"), _text(v))),
-            )
-            .otherwise(empty_array(_VIOLATION))
-        )
 
-    return let(F.try_variant_get(doc, "$.allowlist.entities", "variant"), check)
+def _pattern_fault(p: Column) -> Column:
+    return (
+        F.when(p == "", F.lit(None).cast("string"))
+        .when(F.length(p) > MAX_PATTERN_CHARS, F.lit("pattern_too_long"))
+        .when(p.rlike(NESTED_QUANTIFIER), F.lit("nested_quantifier"))
+        .when(~_compiles(p), F.lit("invalid_regex"))
+    )
 
 
-def _pattern_rules(patterns: Column, compiles: Column) -> Column:
-    found = F.transform(
-        patterns,
-        lambda p, i: _violation(
-            F.lit("allowlist.patterns"),
-            F.when(F.length(p) > MAX_PATTERN_CHARS, "pattern_too_long")
-            .when(p.rlike(NESTED_QUANTIFIER), "nested_quantifier")
-            .when(~F.get(compiles, i), "invalid_regex"),
-            p,
-        ),
-    )
-    return F.filter(found, lambda x: x["rule"].isNotNull())
+def _violations(doc: Column, rule: Rule) -> Column:
+    """The violations of one row of the rule table."""
+    scalars = {"flag": _boolean, "choice": _among(rule.choices), "share": _share, "count": _positive}
+    if rule.kind in scalars:
+        return _one(doc, rule, scalars[rule.kind])
+    if rule.kind in ("choices", "shares"):
+        return _each(doc, rule, _single(scalars[rule.kind.removesuffix("s")]))
+    if rule.kind == "lists":
+        return _each(doc, rule, _entries)
+    if rule.kind == "object":
+        return _each(doc, rule, lambda path, v: empty_array(_VIOLATION))
+    return _list(doc, rule, _pattern_fault if rule.kind == "patterns" else None)
 
 
 def policy_lint(policies: DataFrame) -> DataFrame:
@@ -190,73 +187,68 @@ def policy_lint(policies: DataFrame) -> DataFrame:
     pattern_too_long, nested_quantifier, invalid_regex``.
     """
     parsed = policies.select("policy_id", "config", F.try_parse_json("config").alias("doc"))
-    parsed = parsed.withColumn("patterns", _strings(F.col("doc"), "allowlist.patterns")).withColumn(
-        "compiles", _compiles("patterns")
-    )
     doc = F.col("doc")
-    found = F.concat(
-        _one(doc, "enabled", _boolean),
-        _one(doc, "guardrail_mode", _among(ACTIONS)),
-        _one(doc, "redactStrategy", _among(STRATEGIES)),
-        _one(doc, "confidence_threshold", _share),
-        _one(doc, "auditEnabled", _boolean),
-        _one(doc, "maxPendingRequests", _positive),
-        _each(doc, "entityConfidenceThresholds", _share),
-        _each(doc, "entityActions", _among(ACTIONS)),
-        _list(doc, "allowlist.values"),
-        _list(doc, "allowlist.patterns"),
-        _label_lists(doc),
-        _pattern_rules(F.col("patterns"), F.col("compiles")),
-    )
+    found = F.concat(*[_violations(doc, rule) for rule in RULES])
     broken = F.array(_violation(F.lit("$"), F.lit("not_json"), F.col("config")))
     rows = F.when(_kind(doc) == "OBJECT", found).otherwise(broken)
     return parsed.select("policy_id", F.inline(rows))
 
 
-def _last_by_label(v: Column, ddl: str) -> Column:
-    """An object's fields under canonical labels; of fields that fall together the last one stays."""
-    entries = F.transform(
-        F.map_entries(v.cast("map<string,variant>")),
-        lambda e: F.struct(
-            canonical_label(e["key"]).alias("label"),
-            F.try_variant_get(e["value"], "$", ddl).alias("value"),
-        ),
-    )
-    kept = let(
-        entries,
-        lambda es: F.filter(
-            es,
-            lambda e, i: ~F.exists(
-                F.slice(es, i + 2, F.size(es)), lambda later: later["label"] == e["label"]
+def _last_by_label(config: Column, doc: Column, path: str, read) -> Column:
+    """An object's fields under canonical labels; of fields that fall together the last one stays.
+
+    A variant sorts its keys, so their order is read from the JSON text.
+    """
+
+    def kept(fields: Column) -> Column:
+        keys = F.json_object_keys(F.get_json_object(config, f"$.{path}"))
+        entries = F.transform(
+            keys, lambda k: F.struct(canonical_label(k).alias("label"), read(fields[k]).alias("value"))
+        )
+        return let(
+            entries,
+            lambda es: F.filter(
+                es,
+                lambda e, i: ~F.exists(
+                    F.slice(es, i + 2, F.size(es)), lambda later: later["label"] == e["label"]
+                ),
             ),
-        ),
-    )
-    return F.when(_kind(v) == "OBJECT", kept).otherwise(
-        empty_array(f"struct<label:string,value:{ddl}>")
-    )
+        )
+
+    value = F.try_variant_get(doc, f"$.{path}", "variant")
+    fields = F.when(_kind(value) == "OBJECT", value.cast("map<string,variant>"))
+    return F.coalesce(let(fields, kept), F.array())
 
 
 def effective_policies(policies: DataFrame) -> DataFrame:
     """``(policy_id, config)`` overlaid on the defaults: one typed row per policy.
 
-    A field with the wrong type reads as missing here; ``policy_lint`` names it.
+    A field with the wrong type reads as missing here; ``policy_lint`` names it.  Lists by label
+    are arrays of ``(label, value)`` in document order.
     """
-    df = policies.select("policy_id", F.try_parse_json("config").alias("doc"))
-    doc = F.col("doc")
+    df = policies.select("policy_id", "config", F.try_parse_json("config").alias("doc"))
+    doc, config = F.col("doc"), F.col("config")
     get = lambda path, ddl, default: F.coalesce(
         F.try_variant_get(doc, f"$.{path}", ddl), F.lit(default)
     )
-    part = lambda path: F.try_variant_get(doc, f"$.{path}", "variant")
+    threshold = F.try_variant_get(doc, "$.confidence_threshold", "variant")
     return df.select(
         "policy_id",
         get("enabled", "boolean", True).alias("enabled"),
         get("guardrail_mode", "string", "redact").alias("guardrail_mode"),
         get("redactStrategy", "string", "token").alias("redact_strategy"),
-        get("confidence_threshold", "double", 0.5).alias("confidence_threshold"),
+        get("model", "string", DEFAULT_MODEL).alias("model"),
+        F.when(F.is_variant_null(threshold), 0.0)
+        .otherwise(get("confidence_threshold", "double", 0.5))
+        .alias("confidence_threshold"),
         get("auditEnabled", "boolean", True).alias("audit_enabled"),
         get("maxPendingRequests", "int", 50).alias("max_pending"),
-        _last_by_label(part("entityActions"), "string").alias("entity_actions"),
-        _last_by_label(part("entityConfidenceThresholds"), "double").alias("entity_thresholds"),
+        _strings_of(F.try_variant_get(doc, "$.custom_entities", "variant")).alias("custom_entities"),
+        _last_by_label(config, doc, "entityActions", _text).alias("entity_actions"),
+        _last_by_label(config, doc, "entityConfidenceThresholds", _number).alias("entity_thresholds"),
         F.array_distinct(_strings(doc, "allowlist.values")).alias("allow_values"),
         F.array_distinct(_strings(doc, "allowlist.patterns")).alias("allow_patterns"),
+        _last_by_label(
+            config, doc, "allowlist.entities", lambda v: F.array_distinct(_strings_of(v))
+        ).alias("allow_entities"),
     )

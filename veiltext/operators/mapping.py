@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .running import BUCKET_SPAN, asof_value, running_sum
+from .sessions import null_safe
 from .shared import written
 
 # --- fixed value: placeholders a session keeps
@@ -31,6 +32,7 @@ def mapping_rows(redacted: DataFrame) -> DataFrame:
     )
 
 
+@null_safe
 def merge_mapping(writes: DataFrame) -> DataFrame:
     """The session's map: the last original of each placeholder, at the place of its first write."""
     at = F.struct("seq", "ord")
@@ -108,6 +110,7 @@ def _in_session_order(df: DataFrame, *order: str) -> DataFrame:
     return df.repartition("session_id").sortWithinPartitions("session_id", *order)
 
 
+@null_safe
 def evict_fifo(
     writes: DataFrame, cap: int = MAX_MAPPINGS, span: int = BUCKET_SPAN
 ) -> DataFrame:
@@ -119,7 +122,7 @@ def evict_fifo(
     all writes, and the session runs through an ordered pass that holds ``cap``
     entries and no more.
     """
-    merged = merge_mapping(writes)
+    merged = merge_mapping.keyed(writes)
     found = _queue(merged, cap, span)
     if found is None:
         return merged
@@ -173,6 +176,7 @@ def evict_fifo(
     return plain.unionByName(ordered.mapInPandas(fold, merged.schema))
 
 
+@null_safe
 def snapshot_originals(
     requests: DataFrame,
     writes: DataFrame,
@@ -182,12 +186,15 @@ def snapshot_originals(
     """Add ``original_text``: what the session's map held for the placeholder at ``seq``; null if nothing.
 
     As in ``evict_fifo`` only sessions in which a placeholder returned take the
-    ordered pass.
+    ordered pass.  Rows are told apart by ``_row``, so that any number may share a ``seq``.
     """
+    if "_row" not in requests.columns:
+        numbered = written(requests.withColumn("_row", F.monotonically_increasing_id()), "asked")
+        return snapshot_originals(numbered, writes, cap, span).drop("_row")
     keys = ["session_id", "placeholder"]
     named = writes.select(*keys, "seq", "ord", F.col("original").alias("original_text"))
     asof = lambda r, w: asof_value(r, w, keys, "seq", "original_text", ["ord"], span)
-    found = _queue(merge_mapping(writes), cap, span)
+    found = _queue(merge_mapping.keyed(writes), cap, span)
     if found is None:
         return asof(requests, named)
     queue, returning = found
@@ -208,11 +215,12 @@ def snapshot_originals(
     hot = requests.join(returning, "session_id", "left_semi")
     rows = (
         writes.join(returning, "session_id", "left_semi")
-        .select("session_id", "seq", "ord", "placeholder", "original")
+        .select("session_id", "seq", "ord", "placeholder", "original", F.lit(0).cast("long").alias("_row"))
         .unionByName(
             hot.select(
                 "session_id",
                 "seq",
+                "_row",
                 F.lit(-1).alias("ord"),
                 "placeholder",
                 F.lit(None).cast("string").alias("original"),
@@ -226,7 +234,7 @@ def snapshot_originals(
         session, seq, state = None, None, FifoMap(cap)
         for pdf in batches:
             out = []
-            for s, q, o, p, v in pdf.itertuples(index=False, name=None):
+            for s, q, o, p, v, row in pdf.itertuples(index=False, name=None):
                 if s != session:
                     session, seq, state = s, q, FifoMap(cap)
                 elif q != seq:
@@ -234,17 +242,18 @@ def snapshot_originals(
                     seq = q
                 if o < 0:
                     held = state.kept.get(p)
-                    out.append((s, q, held[0] if held else None))
+                    out.append((row, held[0] if held else None))
                 else:
                     state.write(p, (v,))
-            yield pd.DataFrame(out, columns=["session_id", "seq", "original_text"])
+            yield pd.DataFrame(out, columns=["_row", "original_text"])
 
     looked_up = _in_session_order(rows, "seq", "ord").mapInPandas(
-        fold, "session_id string, seq bigint, original_text string"
+        fold, "_row bigint, original_text string"
     )
-    return plain.unionByName(hot.join(looked_up, ["session_id", "seq"]).select(*plain.columns))
+    return plain.unionByName(hot.join(looked_up, "_row").select(*plain.columns))
 
 
+@null_safe
 def lookup_original(keys: DataFrame, mapping: DataFrame) -> DataFrame:
     """Add ``original`` to ``(session_id, placeholder)`` rows; null where the map has none."""
     return keys.join(
@@ -254,6 +263,7 @@ def lookup_original(keys: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
+@null_safe
 def clear_sessions(mapping: DataFrame, sessions: DataFrame) -> DataFrame:
     """The map without the given sessions."""
     return mapping.join(sessions.select("session_id").distinct(), "session_id", "left_anti")

@@ -63,8 +63,9 @@ def run_ner(
     ``load_model()`` is called once per Python worker and returns
     ``model(texts, labels, floor)``, which gives one list of spans per text:
     dicts of ``text, label, score, start, end`` and maybe ``spanText``.  A model
-    that cannot load or fails on a batch leaves that batch without NER spans
-    and says why in ``ner_error``; it never fails the job.
+    that cannot load leaves all texts without NER spans; where it fails on a batch, the halves are
+    tried again, down to the texts it fails on.  ``ner_error`` says why; the job never fails.
+    Null texts are not shown to the model.
     """
     schema = T.StructType(
         list(texts.schema)
@@ -75,6 +76,15 @@ def run_ner(
     )
     floor = policy.ner_floor
 
+    def _plain(s: dict) -> dict:
+        return {
+            "text": s.get("spanText") or s["text"],
+            "label": s["label"],
+            "score": float(s["score"]),
+            "start": int(s["start"]),
+            "end": int(s["end"]),
+        }
+
     def infer(batches: Iterator) -> Iterator:
         import json
 
@@ -84,27 +94,21 @@ def run_ner(
         except Exception as e:  # noqa: BLE001
             problem = f"model failed to load: {e}"
         for pdf in batches:
-            spans, error = ["[]"] * len(pdf), problem
-            if model is not None:
+            known = [i for i, t in enumerate(pdf["text"]) if t is not None]
+            spans, error = ["[]"] * len(pdf), [problem] * len(pdf)
+            # Halves of what failed, down to the single text that does.
+            todo = [known] if model is not None and known else []
+            while todo:
+                rows = todo.pop()
                 try:
-                    found = model(list(pdf["text"]), labels, floor)
-                    spans = [
-                        json.dumps(
-                            [
-                                {
-                                    "text": s.get("spanText") or s["text"],
-                                    "label": s["label"],
-                                    "score": float(s["score"]),
-                                    "start": int(s["start"]),
-                                    "end": int(s["end"]),
-                                }
-                                for s in row
-                            ]
-                        )
-                        for row in found
-                    ]
+                    found = model([pdf["text"].iat[i] for i in rows], labels, floor)
+                    for i, row in zip(rows, found, strict=True):
+                        spans[i] = json.dumps([_plain(s) for s in row])
                 except Exception as e:  # noqa: BLE001
-                    spans, error = ["[]"] * len(pdf), f"model failed: {e}"
+                    if len(rows) == 1:
+                        error[rows[0]] = f"model failed: {e}"
+                    else:
+                        todo += [rows[: len(rows) // 2], rows[len(rows) // 2 :]]
             yield pdf.assign(_spans=spans, ner_error=error)
 
     raw = F.from_json(

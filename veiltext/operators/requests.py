@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .mapping import MAX_MAPPINGS, snapshot_originals
 from .running import BUCKET_SPAN, running_sum
+from .sessions import null_safe
 from .shared import written
 
 # --- fixed values
@@ -60,16 +61,21 @@ def _request_no(request_id: Column) -> Column:
     return F.regexp_extract(request_id, r"\AREQ-([1-9][0-9]{0,17})\z", 1).try_cast("bigint")
 
 
+@null_safe
 def number_requests(events: DataFrame, span: int = BUCKET_SPAN) -> DataFrame:
     """Request events with ``request_no``, their number within the session, and no cap.
 
-    ``session_requests`` is how many the session has in all.
+    ``session_requests`` is how many the session has in all.  ``_row`` tells requests of one ``seq``
+    apart and puts them in the order in which they came.
     """
     requests = events.filter("kind = 'request'").select(
-        "session_id", "seq", "ts", "placeholder", "entity_type", "reason", "context"
+        "session_id", "seq", "ts", "placeholder", "entity_type", "reason", "context",
+        F.monotonically_increasing_id().alias("_row"),
     )
     one = {"request_no": F.lit(1)}
-    return running_sum(requests, "session_id", "seq", one, span, total="session_requests")
+    return running_sum(
+        requests, "session_id", "seq", one, span, total="session_requests", order=("_row",)
+    )
 
 
 def _first_terminal(numbered: DataFrame, events: DataFrame) -> DataFrame:
@@ -124,6 +130,7 @@ class PendingGate:
             self.open -= 1
 
 
+@null_safe
 def admit_requests(
     events: DataFrame, cap: int = MAX_PENDING, span: int = BUCKET_SPAN
 ) -> DataFrame:
@@ -135,7 +142,7 @@ def admit_requests(
     parallel.  The others are walked in order with a state of one byte per
     request, over rows that hold no text.
     """
-    numbered = written(number_requests(events, span), "numbered")
+    numbered = written(number_requests.keyed(events, span), "numbered")
     busy = numbered.filter(F.col("session_requests") > cap)
     if busy.isEmpty():
         return numbered.drop("session_requests")
@@ -143,12 +150,15 @@ def admit_requests(
     plain = numbered.join(capped, "session_id", "left_anti").drop("session_requests")
     requests = busy.join(capped, "session_id", "left_semi").drop("session_requests", "request_no")
     moves = requests.select(
-        "session_id", "seq", F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("closes")
+        "session_id", "seq", F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("closes"), "_row"
     ).unionByName(
         resolutions(events)
         .filter(F.col("action").isin("approve", "deny"))
         .join(capped, "session_id", "left_semi")
-        .select("session_id", "seq", "pos", _request_no(F.col("request_id")).alias("closes"))
+        .select(
+            "session_id", "seq", "pos", _request_no(F.col("request_id")).alias("closes"),
+            F.lit(-1).cast("bigint").alias("_row"),
+        )
         .filter("closes is not null")
     )
 
@@ -158,27 +168,28 @@ def admit_requests(
         session, gate = None, PendingGate(cap)
         for pdf in batches:
             out = []
-            for s, q, _, closes in pdf.itertuples(index=False, name=None):
+            for s, _, _, closes, row in pdf.itertuples(index=False, name=None):
                 if s != session:
                     session, gate = s, PendingGate(cap)
                 if closes:
                     gate.close(closes)
                 else:
-                    out.append((s, q, gate.request()))
-            got = pd.DataFrame(out, columns=["session_id", "seq", "request_no"])
+                    out.append((row, gate.request()))
+            got = pd.DataFrame(out, columns=["_row", "request_no"])
             got["request_no"] = got["request_no"].astype("Int64")
             yield got
 
     walked = (
         moves.repartition("session_id")
-        .sortWithinPartitions("session_id", "seq", "pos")
-        .mapInPandas(fold, "session_id string, seq bigint, request_no bigint")
+        .sortWithinPartitions("session_id", "seq", "pos", "_row")
+        .mapInPandas(fold, "_row bigint, request_no bigint")
     )
     return plain.unionByName(
-        requests.join(walked, ["session_id", "seq"]).select(*plain.columns)
+        requests.join(walked, "_row").select(*plain.columns)
     )
 
 
+@null_safe
 def create_requests(
     events: DataFrame,
     writes: DataFrame | None = None,
@@ -229,6 +240,7 @@ def create_requests(
     )
 
 
+@null_safe
 def resolve_replies(events: DataFrame, requests: DataFrame) -> DataFrame:
     """The result of each resolution: a status and a reply, or an error; one bad id spoils no other.
 
@@ -316,6 +328,7 @@ def resolve_replies(events: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
+@null_safe
 def request_table(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """All requests with the state they have reached."""
     at = F.struct("seq", "pos")
@@ -392,6 +405,7 @@ def request_counts(table: DataFrame) -> DataFrame:
     )
 
 
+@null_safe
 def get_requests(table: DataFrame, ids: DataFrame) -> DataFrame:
     """The requests named by ``(session_id, request_id)`` rows; unknown ids give none."""
     return table.join(ids.select("session_id", "request_id").distinct(), ["session_id", "request_id"], "left_semi")

@@ -1,4 +1,8 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in the folder that all executors share.
+
+They hold what a job needs between its steps, so they belong under restricted access; the folder's
+owner clears it, as for checkpoints (``spark.checkpoint.dir``).
+"""
 
 from __future__ import annotations
 

@@ -17,8 +17,10 @@ from ..functions.overlap import resolve_overlaps
 from ..functions.redact import placeholders, redact
 from ..functions.schema import ENTITIES, MAPPING_ENTRY
 from ..operators.policy import (
+    AllowTables,
     distinct_labels,
     drop_allowed_inline,
+    drop_listed,
     keep_confident,
     plan_of,
     summary_of,
@@ -26,29 +28,21 @@ from ..operators.policy import (
 from ..sources.policies import Policy
 from ..sources.texts import nonempty
 
-# --- fixed values: the sentences of gate and notice
+# --- the sentences of gate, notice and report, in this library's own words
 NOTICE_TAG = "GUARDRAIL"
-BLOCK_REASON = "blocked entity types detected: "
-BLOCK_MESSAGE = (
-    "Message blocked: it contains sensitive information (",
-    "). Rephrase without sensitive data.",
-)
+BLOCK_REASON = "policy blocks "
+BLOCK_MESSAGE = ("Not delivered: the text holds values of the kind ", ". Send it again without them.")
 NOTICE_BLOCKED = (
-    " — BLOCKED] The user's message contains sensitive information (",
-    "). Do NOT process or repeat this information. Ask the user to rephrase without sensitive data.",
+    " block] The next message holds ",
+    ", which this policy blocks. Leave these values out of all you do and ask for the message without them.",
 )
-NOTICE_WARNED = (" NOTICE] PII detected in user message: ", ". Handle with care.")
+NOTICE_WARNED = (" warning] The next message holds ", ". Use these values only where they are needed.")
 NOTICE_REDACTED = (
-    " NOTICE] The user's message contains sensitive data (",
-    "). Do not repeat these values in replies, tool calls, or outbound messages — refer to them by "
-    "placeholder instead. Redaction is enforced on tool results and outbound delivery.",
-)
-NOTICE_REFERENCE = (
-    "] Placeholder reference for the sensitive values (use these instead of the originals):\n"
-)
-REDACT_NOTE = (
-    "Original values are not returned. Request access with a placeholder; a user must approve it."
+    " redaction] The next message holds ",
+    ". Write their placeholders in place of the values; results and outgoing texts are redacted anyway.",
 )
+NOTICE_REFERENCE = " placeholders] The message with placeholders:\n"
+REDACT_NOTE = "Placeholders stand for the values. An access request can ask a reviewer to reveal one."
 # ---
 
 
@@ -62,11 +56,17 @@ def fence(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
-def scan(texts: DataFrame, policy: Policy, ner: bool = False, resolve: bool = True) -> DataFrame:
+def scan(
+    texts: DataFrame,
+    policy: Policy,
+    ner: bool = False,
+    resolve: bool = True,
+    allow: AllowTables | None = None,
+) -> DataFrame:
     """Add ``entities``: structured spans, and those of column ``ner``, under the policy.
 
     Allowlisted spans go before overlaps are resolved, so that an allowed span
-    never hides another one.
+    never hides another one.  ``allow`` adds allowlists that are tables.
     """
 
     def found() -> Column:
@@ -74,10 +74,14 @@ def scan(texts: DataFrame, policy: Policy, ner: bool = False, resolve: bool = Tr
         if ner:
             sure = drop_allowed_inline(keep_confident(F.col("ner"), policy), policy)
             spans = F.concat(spans, F.coalesce(sure, F.array().cast(ENTITIES)))
-        return resolve_overlaps(spans) if resolve else spans
+        return resolve_overlaps(spans) if resolve and allow is None else spans
 
-    key = ("scan", repr(policy), ner, resolve)
-    return fence(texts, "entities", remembered(key, found))
+    key = ("scan", repr(policy), ner, resolve, allow is None)
+    scanned = fence(texts, "entities", remembered(key, found))
+    if allow is None:
+        return scanned
+    scanned = drop_listed(scanned, "entities", allow)
+    return fence(scanned, "entities", resolve_overlaps("entities")) if resolve else scanned
 
 
 def _redacted(df: DataFrame, spans: str, strategy: Column | str) -> DataFrame:
@@ -109,24 +113,33 @@ def _untouched(texts: DataFrame) -> DataFrame:
 
 
 def _enforce(
-    texts: DataFrame, policy: Policy, changed_only: bool, resolve: bool = True
+    texts: DataFrame,
+    policy: Policy,
+    changed_only: bool,
+    resolve: bool = True,
+    allow: AllowTables | None = None,
 ) -> DataFrame:
     """Structured spans only; each is redacted, whatever the action of its label."""
     if not policy.enabled:
         return _untouched(texts).filter(F.lit(not changed_only))
-    found = scan(texts, policy, resolve=resolve)
+    found = scan(texts, policy, resolve=resolve, allow=allow)
     if changed_only:
         found = found.filter(F.size("entities") > 0)
     return _counted(_redacted(found, "entities", policy.redact_strategy)).drop("text")
 
 
-def outbound_redact(texts: DataFrame, policy: Policy, changed_only: bool = True) -> DataFrame:
+def outbound_redact(
+    texts: DataFrame,
+    policy: Policy,
+    changed_only: bool = True,
+    allow: AllowTables | None = None,
+) -> DataFrame:
     """Outgoing texts with all structured values redacted; delivery is never cancelled.
 
     With ``changed_only`` the job gives the records that need a rewrite; without
     it also the clean ones, as they came.
     """
-    return _enforce(nonempty(texts), policy, changed_only)
+    return _enforce(nonempty(texts), policy, changed_only, allow=allow)
 
 
 def tool_result_redact(
@@ -135,6 +148,7 @@ def tool_result_redact(
     message: str | None = None,
     overlap_mode: str = "resolve",
     changed_only: bool = True,
+    allow: AllowTables | None = None,
 ) -> DataFrame:
     """Tool results with all structured values redacted.
 
@@ -148,9 +162,9 @@ def tool_result_redact(
         raise ValueError(f"unknown overlap_mode {overlap_mode!r}")
     resolve = overlap_mode == "resolve"
     if message is None:
-        return _enforce(nonempty(records), policy, changed_only, resolve)
+        return _enforce(nonempty(records), policy, changed_only, resolve, allow)
     texts = fence(records, "text", extract_text(message)).filter(F.col("text") != "")
-    out = _enforce(texts, policy, changed_only, resolve)
+    out = _enforce(texts, policy, changed_only, resolve, allow)
     rewritten = F.when(F.col("entity_count") > 0, replace_text(message, "redacted_text")).otherwise(
         F.col(message)
     )
@@ -158,11 +172,15 @@ def tool_result_redact(
 
 
 def reply_payload_redact(
-    records: DataFrame, policy: Policy, payload: str = "payload", changed_only: bool = True
+    records: DataFrame,
+    policy: Policy,
+    payload: str = "payload",
+    changed_only: bool = True,
+    allow: AllowTables | None = None,
 ) -> DataFrame:
     """Reply payloads (a struct with a field ``text``) with that field redacted; all else is kept."""
     texts = nonempty(records.withColumn("text", F.col(payload)["text"]))
-    out = _enforce(texts, policy, changed_only)
+    out = _enforce(texts, policy, changed_only, allow=allow)
     return out.withColumn(
         payload, F.col(payload).withField("text", F.col("redacted_text"))
     ).drop("redacted_text")
@@ -196,11 +214,13 @@ def block_gate(scanned: DataFrame, policy: Policy) -> DataFrame:
     )
 
 
-def inbound_gate(texts: DataFrame, policy: Policy, ner: bool = False) -> DataFrame:
+def inbound_gate(
+    texts: DataFrame, policy: Policy, ner: bool = False, allow: AllowTables | None = None
+) -> DataFrame:
     """Each incoming record with its outcome, ``block`` or ``pass``."""
     base = nonempty(texts)
     scanned = (
-        scan(base, policy, ner)
+        scan(base, policy, ner, allow=allow)
         if policy.enabled and policy.blocks
         else base.withColumn("entities", F.array().cast(ENTITIES))
     )
@@ -227,16 +247,31 @@ def guardrail_notice(summary: Column, redacted_text: Column, tag: str = NOTICE_T
     )
 
 
-def _planned(texts: DataFrame, policy: Policy, ner: bool) -> DataFrame:
+def _report_scan(
+    texts: DataFrame, policy: Policy, ner: bool, allow: AllowTables | None
+) -> DataFrame:
+    """The scan of a report: under a policy that is switched off nothing is found."""
+    if policy.enabled:
+        return scan(texts, policy, ner, allow=allow)
+    return texts.withColumn("entities", F.array().cast(ENTITIES))
+
+
+def _planned(
+    texts: DataFrame, policy: Policy, ner: bool, allow: AllowTables | None = None
+) -> DataFrame:
     """Scanned records with ``plan`` and ``summary``."""
-    scanned = scan(texts, policy, ner)
+    scanned = _report_scan(texts, policy, ner, allow)
     return scanned.withColumn("plan", plan_of("entities", policy)).withColumn(
         "summary", summary_of("plan")
     )
 
 
 def inbound_advisory(
-    texts: DataFrame, policy: Policy, ner: bool = False, tag: str = NOTICE_TAG
+    texts: DataFrame,
+    policy: Policy,
+    ner: bool = False,
+    tag: str = NOTICE_TAG,
+    allow: AllowTables | None = None,
 ) -> DataFrame:
     """Incoming records that hold a sensitive value, each with a notice to put before it.
 
@@ -246,7 +281,7 @@ def inbound_advisory(
     base = nonempty(texts)
     if not policy.enabled:
         base = base.filter(F.lit(False))
-    scanned = scan(base, policy, ner).filter(F.size("entities") > 0)
+    scanned = scan(base, policy, ner, allow=allow).filter(F.size("entities") > 0)
     df = scanned.withColumn("plan", plan_of("entities", policy)).withColumn(
         "summary", summary_of("plan")
     )
@@ -256,9 +291,11 @@ def inbound_advisory(
     ).drop("text", "plan", "redacted_text", "ner")
 
 
-def scan_report(texts: DataFrame, policy: Policy, ner: bool = False) -> DataFrame:
+def scan_report(
+    texts: DataFrame, policy: Policy, ner: bool = False, allow: AllowTables | None = None
+) -> DataFrame:
     """Each record's spans, their count and a sentence about them."""
-    df = _counted(scan(texts, policy, ner))
+    df = _counted(_report_scan(texts, policy, ner, allow))
     names = F.array_join("labels", ", ")
     sentence = F.when(
         F.col("entity_count") > 0,
@@ -268,13 +305,17 @@ def scan_report(texts: DataFrame, policy: Policy, ner: bool = False) -> DataFram
 
 
 def preview_report(
-    texts: DataFrame, policy: Policy, strategy: Column | str | None = None, ner: bool = False
+    texts: DataFrame,
+    policy: Policy,
+    strategy: Column | str | None = None,
+    ner: bool = False,
+    allow: AllowTables | None = None,
 ) -> DataFrame:
-    """What the policy would do to each record; nothing is kept for later lookup."""
+    """What the policy would do to each record; no value of a span is in it, and nothing is kept for later lookup."""
     how = policy.redact_strategy if strategy is None else strategy
-    df = _redacted(_planned(texts, policy, ner), "plan.redacted", how)
+    df = _redacted(_planned(texts, policy, ner, allow), "plan.redacted", how)
     name = F.lit(how) if isinstance(how, str) else how
-    return df.withColumn("strategy", name).drop("text", "plan", "mapping", "ner")
+    return df.withColumn("strategy", name).drop("text", "plan", "mapping", "entities", "ner")
 
 
 def preview_policies(
@@ -310,18 +351,30 @@ def preview_policies(
     return df.drop("text", "plan", "mapping", "entities")
 
 
-def redact_report(
-    texts: DataFrame, policy: Policy, strategy: Column | str | None = None, ner: bool = False
+def redacted_records(
+    texts: DataFrame,
+    policy: Policy,
+    strategy: Column | str | None = None,
+    ner: bool = False,
+    allow: AllowTables | None = None,
 ) -> DataFrame:
-    """Each record with all its spans redacted, and the placeholders used.
-
-    ``mapping`` goes to the restricted map, never to the reader of the report.
-    """
+    """Each record with all its spans redacted; ``entities`` and ``mapping`` are for the restricted sinks."""
     how = policy.redact_strategy if strategy is None else strategy
-    df = _redacted(scan(texts, policy, ner), "entities", how)
+    return _redacted(_report_scan(texts, policy, ner, allow), "entities", how).drop("text", "ner")
+
+
+def redact_report(
+    texts: DataFrame,
+    policy: Policy,
+    strategy: Column | str | None = None,
+    ner: bool = False,
+    allow: AllowTables | None = None,
+) -> DataFrame:
+    """Each record with all its spans redacted, and the placeholders used; no original is in it."""
     return (
-        df.withColumn("entities_found", F.size("entities"))
+        redacted_records(texts, policy, strategy, ner, allow)
+        .withColumn("entities_found", F.size("entities"))
         .withColumn("placeholders", placeholders("mapping"))
         .withColumn("note", F.lit(REDACT_NOTE))
-        .drop("text", "ner")
+        .drop("entities", "mapping")
     )

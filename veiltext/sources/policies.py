@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import math
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.labels import canonical
 from ..functions.redact import STRATEGIES
@@ -54,131 +56,151 @@ class Policy:
         return min([self.confidence_threshold, *self.entity_thresholds.values()])
 
 
-def _check(ok: bool, message: str) -> None:
-    if not ok:
-        raise PolicyError(message)
-
-
-def _number(value) -> bool:
-    return isinstance(value, (int, float)) and not isinstance(value, bool) and not math.isnan(value)
+@dataclass(frozen=True)
+class Rule:
+    """What the JSON form of a policy may hold at a path.
 
+    ``kind``: ``flag``, ``choice``, ``share`` (0 to 1), ``count`` (1 and up); ``choices`` and
+    ``shares`` are objects of them by label; ``texts`` and ``patterns`` are lists of strings,
+    ``lists`` an object of such lists by label.  ``null``: an explicit null reads as a missing field.
+    """
 
-def _strings(value, path: str) -> list[str]:
-    _check(isinstance(value, list), f"{path} must be an array of strings")
-    _check(all(isinstance(v, str) for v in value), f"{path} must contain only strings")
-    return [v.strip() for v in value if v.strip()]
+    path: str
+    kind: str
+    choices: tuple[str, ...] = ()
+    null: bool = False
+
+
+#: The one table that ``policy_from``, ``load_policy`` and ``policy_lint`` go by.
+RULES = (
+    Rule("enabled", "flag"),
+    Rule("guardrail_mode", "choice", ACTIONS),
+    Rule("redactStrategy", "choice", STRATEGIES),
+    Rule("confidence_threshold", "share", null=True),
+    Rule("auditEnabled", "flag"),
+    Rule("maxPendingRequests", "count"),
+    Rule("entityConfidenceThresholds", "shares", null=True),
+    Rule("entityActions", "choices", ACTIONS, null=True),
+    Rule("allowlist", "object", null=True),
+    Rule("allowlist.values", "texts", null=True),
+    Rule("allowlist.patterns", "patterns", null=True),
+    Rule("allowlist.entities", "lists", null=True),
+)
 
 
-def _once(values: list[str]) -> tuple[str, ...]:
-    return tuple(dict.fromkeys(values))
+def _number(value) -> bool:
+    return isinstance(value, (int, float)) and not isinstance(value, bool)
+
+
+def _scalar_fault(kind: str, value, choices: tuple[str, ...]) -> str | None:
+    if kind == "flag":
+        return None if isinstance(value, bool) else "not_boolean"
+    if kind == "choice":
+        return None if isinstance(value, str) and value in choices else "bad_enum"
+    if kind == "share":
+        if not _number(value):
+            return "not_number"
+        return None if 0 <= value <= 1 else "out_of_range"
+    good = _number(value) and math.isfinite(value) and value >= 1 and value == int(value)
+    return None if good else "not_positive_integer"
+
+
+def _pattern_fault(pattern: str, compiles: Callable[[str], bool]) -> str | None:
+    if len(pattern) > MAX_PATTERN_CHARS:
+        return "pattern_too_long"
+    if re.search(NESTED_QUANTIFIER, pattern):
+        return "nested_quantifier"
+    return None if compiles(pattern) else "invalid_regex"
+
+
+def _list_faults(path: str, value, fault_of: Callable[[str], str | None]) -> Iterator[tuple[str, str, object]]:
+    if not isinstance(value, list):
+        yield path, "not_array", value
+        return
+    for entry in value:
+        fault = fault_of(entry.strip()) if isinstance(entry, str) else "not_string"
+        if fault:
+            yield path, fault, entry
+
+
+def faults(config: dict, compiles: Callable[[str], bool]) -> Iterator[tuple[str, str, object]]:
+    """``(path, rule, value)`` of everything in a config that breaks ``RULES``."""
+    for rule in RULES:
+        *parents, name = rule.path.split(".")
+        holder = config
+        for parent in parents:
+            holder = holder.get(parent) if isinstance(holder, dict) else None
+        if not isinstance(holder, dict) or name not in holder:
+            continue
+        value = holder[name]
+        if value is None and rule.null:
+            continue
+        if rule.kind in ("texts", "patterns"):
+            judge = (lambda p: _pattern_fault(p, compiles) if p else None) if rule.kind == "patterns" else lambda _: None
+            yield from _list_faults(rule.path, value, judge)
+        elif rule.kind in ("choices", "shares", "lists", "object"):
+            if not isinstance(value, dict):
+                yield rule.path, "not_object", value
+                continue
+            for key, entry in value.items() if rule.kind != "object" else ():
+                path = f"{rule.path}.{key}"
+                if rule.kind == "lists":
+                    yield from _list_faults(path, entry, lambda _: None)
+                elif fault := _scalar_fault(rule.kind.removesuffix("s"), entry, rule.choices):
+                    yield path, fault, entry
+        elif fault := _scalar_fault(rule.kind, value, rule.choices):
+            yield rule.path, fault, value
+
+
+def _compiles_on_jvm(pattern: str) -> bool:
+    """Whether the JVM, where patterns run, takes a pattern; without a session the first job says so."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return True
+    try:
+        spark.sparkContext._jvm.java.util.regex.Pattern.compile(pattern)
+    except (Py4JJavaError, IllegalArgumentException):
+        return False
+    return True
+
+
+def _texts(values) -> tuple[str, ...]:
+    """Entries of a list, trimmed, without blanks, each once."""
+    return tuple(dict.fromkeys(v.strip() for v in values or () if v.strip()))
 
 
 def policy_from(config: dict) -> Policy:
-    """Defaults overlaid by ``config`` (keys of the JSON form), checked and with canonical labels."""
-    allow = get_or(config, "allowlist", {})
-    _check(isinstance(allow, dict), "allowlist must be an object")
-    values = _strings(get_or(allow, "values", []), "allowlist.values")
-    patterns = _strings(get_or(allow, "patterns", []), "allowlist.patterns")
-    for p in patterns:
-        _check(
-            len(p) <= MAX_PATTERN_CHARS,
-            f"allowlist.patterns entries must be at most {MAX_PATTERN_CHARS} characters",
-        )
-        _check(
-            re.search(NESTED_QUANTIFIER, p) is None,
-            f'allowlist.patterns contains a quantified group with a nested quantifier ("{p}"), which '
-            "risks catastrophic backtracking; rewrite the pattern without nesting quantifiers",
-        )
-        try:
-            re.compile(p)
-        except re.error:
-            raise PolicyError(f'allowlist.patterns contains invalid regex pattern: "{p}"') from None
-    by_label = get_or(allow, "entities", {})
-    _check(
-        isinstance(by_label, dict),
-        "allowlist.entities must be an object mapping entity labels to string arrays",
-    )
-    allow_entities = {
-        canonical(k): tuple(_strings(v, f"allowlist.entities.{k}")) for k, v in by_label.items()
-    }
-
-    thresholds = config.get("entityConfidenceThresholds") or {}
-    _check(isinstance(thresholds, dict), "entityConfidenceThresholds must be an object")
-    for k, v in thresholds.items():
-        _check(
-            _number(v),
-            f'entityConfidenceThresholds["{k}"] must be a number between 0 and 1, got {v}',
-        )
-        _check(
-            0 <= v <= 1, f'entityConfidenceThresholds["{k}"] must be between 0 and 1, got {v}'
-        )
-
-    enabled = config.get("enabled", True)
-    _check(isinstance(enabled, bool), "enabled must be true or false")
-    mode = config.get("guardrail_mode", "redact")
-    _check(
-        mode in ACTIONS, f'Invalid guardrail_mode "{mode}". Must be one of: {", ".join(ACTIONS)}'
-    )
-    strategy = config.get("redactStrategy", "token")
-    _check(
-        strategy in STRATEGIES,
-        f'Invalid redactStrategy "{strategy}". Must be one of: {", ".join(STRATEGIES)}',
-    )
-    floor = config.get("confidence_threshold", 0.5)
-    _check(
-        _number(floor) and 0 <= floor <= 1,
-        f"confidence_threshold must be between 0 and 1, got {floor}",
-    )
-    audit = config.get("auditEnabled", True)
-    _check(isinstance(audit, bool), "auditEnabled must be true or false")
-    pending = config.get("maxPendingRequests", 50)
-    _check(
-        _number(pending) and pending == int(pending) and pending >= 1,
-        f"maxPendingRequests must be a positive integer, got {pending}",
-    )
-    actions = config.get("entityActions") or {}
-    for k, v in actions.items():
-        _check(
-            v in ACTIONS,
-            f'Invalid action "{v}" for entity type "{k}". Must be one of: {", ".join(ACTIONS)}',
-        )
+    """Defaults overlaid by ``config`` (keys of the JSON form), checked and with canonical labels.
 
+    Of keys that are one label the last counts.  A null ``confidence_threshold`` keeps every span.
+    """
+    for path, rule, value in faults(config, _compiles_on_jvm):
+        shown = json.dumps(value, ensure_ascii=False, default=str)
+        raise PolicyError(f"policy field {path}: {rule} ({shown[:200]})")
+    allow = config.get("allowlist") or {}
+    threshold = config.get("confidence_threshold", 0.5)
     return Policy(
-        enabled=enabled,
-        guardrail_mode=mode,
-        redact_strategy=strategy,
+        enabled=config.get("enabled", True),
+        guardrail_mode=config.get("guardrail_mode", "redact"),
+        redact_strategy=config.get("redactStrategy", "token"),
         model=config.get("model", DEFAULT_MODEL),
-        confidence_threshold=float(floor),
-        custom_entities=tuple(config.get("custom_entities", ())),
-        entity_actions={canonical(k): v for k, v in actions.items()},
-        entity_thresholds={canonical(k): float(v) for k, v in thresholds.items()},
-        allow_values=_once(values),
-        allow_patterns=_once(patterns),
-        allow_entities=allow_entities,
-        audit_enabled=audit,
-        max_pending=int(pending),
+        confidence_threshold=0.0 if threshold is None else float(threshold),
+        custom_entities=tuple(config.get("custom_entities") or ()),
+        entity_actions={canonical(k): v for k, v in (config.get("entityActions") or {}).items()},
+        entity_thresholds={
+            canonical(k): float(v) for k, v in (config.get("entityConfidenceThresholds") or {}).items()
+        },
+        allow_values=_texts(allow.get("values")),
+        allow_patterns=_texts(allow.get("patterns")),
+        allow_entities={canonical(k): _texts(v) for k, v in (allow.get("entities") or {}).items()},
+        audit_enabled=config.get("auditEnabled", True),
+        max_pending=int(config.get("maxPendingRequests", 50)),
     )
 
 
-def get_or(config: dict, key: str, default):
-    value = config.get(key)
-    return default if value is None else value
-
-
 def load_policy(spark: SparkSession, path: str) -> Policy:
-    """Read one policy from a JSON file on any file system Spark knows.
-
-    Patterns run on the JVM, so each is also compiled there once, by Spark
-    itself, before a job starts under it.
-    """
-    text = spark.read.text(path, wholetext=True).head()[0]
-    policy = policy_from(json.loads(text))
-    for p in policy.allow_patterns:
-        try:
-            spark.range(1).select(F.col("id").cast("string").rlike(p)).collect()
-        except Exception as e:
-            raise PolicyError(f'allowlist.patterns contains invalid regex pattern: "{p}"') from e
-    return policy
+    """Read one policy from a JSON file on any file system Spark knows."""
+    return policy_from(json.loads(spark.read.text(path, wholetext=True).head()[0]))
 
 
 def policy_tables(spark: SparkSession, policy: Policy) -> dict:

@@ -12,18 +12,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.audit import AUDIT, audit_columns
+
 _RECORD = "record_id string, channel string, session_id string, seq bigint, ts timestamp"
 SINKS = {
-    "redacted": f"{_RECORD}, tool_name string, channel_id string, redacted_text string",
+    "redacted": (
+        f"{_RECORD}, tool_name string, channel_id string, redacted_text string, message string, "
+        "payload string, notice string, outcome string, reason string"
+    ),
     "entities": (
         f"{_RECORD}, idx int, text string, label string, start_pos int, end_pos int, "
         "confidence double, source string"
     ),
     "mapping": f"{_RECORD}, idx int, placeholder string, original string",
-    "audit": (
-        f"{_RECORD}, event string, entity_count int, labels array<string>, tool_name string, "
-        "channel_id string"
-    ),
+    "audit": AUDIT,
 }
 RESTRICTED = ("entities", "mapping")
 
@@ -48,8 +50,18 @@ def _row(df: DataFrame, sink: str, own: dict[str, Column]) -> Column:
     return F.struct(*cols)
 
 
-def sink_rows(processed: DataFrame, event: str, audit: bool = True) -> DataFrame:
-    """The rows of all sinks for the output of a channel job, with the column ``sink``."""
+def sink_rows(
+    processed: DataFrame,
+    event: str,
+    audit: bool = True,
+    message: str = "message",
+    payload: str = "payload",
+) -> DataFrame:
+    """The rows of all sinks for the output of a channel job, with the column ``sink``.
+
+    ``redacted`` holds what the job delivers: the redacted text, the rewritten ``message`` or
+    ``payload`` (as JSON), the notice, the gate's outcome.  Jobs without spans or map have no rows there.
+    """
     df = processed
 
     def entity(e: Column, i: Column) -> Column:
@@ -61,27 +73,37 @@ def sink_rows(processed: DataFrame, event: str, audit: bool = True) -> DataFrame
             df, "mapping", {"idx": i, "placeholder": m["placeholder"], "original": m["original"]}
         )
 
-    parts = [
-        F.array(_row(df, "redacted", {})),
-        F.transform("entities", entity),
-        F.transform("mapping", mapped),
-    ]
+    delivered = {}
+    if message in df.columns:
+        delivered["message"] = F.col(message)
+    if payload in df.columns:
+        delivered["payload"] = F.to_json(payload)
+    parts = [F.array(_row(df, "redacted", delivered))]
+    if "entities" in df.columns:
+        parts.append(F.transform("entities", entity))
+    if "mapping" in df.columns:
+        parts.append(F.transform("mapping", mapped))
     if audit:
-        hit = F.array(_row(df, "audit", {"event": F.lit(event)}))
-        parts.append(F.when(F.col("entity_count") > 0, hit).otherwise(F.slice(hit, 1, 0)))
+        due, columns = audit_columns(df, event)
+        hit = F.array(_row(df, "audit", columns))
+        parts.append(F.when(due, hit).otherwise(F.slice(hit, 1, 0)))
     return df.select(F.inline(F.concat(*parts)))
 
 
 def write_outputs(
-    processed: DataFrame, path: str, event: str, batch_id: int = 0, audit: bool = True
+    processed: DataFrame, path: str, event: str, batch_id: int, audit: bool = True, **columns: str
 ) -> None:
-    """Write one batch; the same batch written again replaces itself."""
+    """Write one batch of one job; the same batch of the same event written again replaces itself.
+
+    Jobs of different events can share a path.
+    """
     (
-        sink_rows(processed, event, audit)
+        sink_rows(processed, event, audit, **columns)
+        .withColumn("written_by", F.lit(event))
         .withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("sink", "batch_id")
+        .partitionBy("sink", "written_by", "batch_id")
         .parquet(path)
     )
 

@@ -55,17 +55,5 @@ def nonempty(texts: DataFrame) -> DataFrame:
     return texts.filter(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of a table that comes in fewer splits than there are cores.
-
-    A table of any size has splits enough and passes as it is, without a
-    shuffle; only what fits in a few files is dealt out.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def union_texts(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)

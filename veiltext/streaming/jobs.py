@@ -12,9 +12,13 @@ from ..plans import channels as C
 from ..sources.policies import Policy
 from ..sources.sinks import write_outputs
 
+#: By channel: the audit event, and the job over a batch, which takes the policy and its own options.
 EVENTS = {
+    "inbound_gate": ("run_blocked", C.inbound_gate),
+    "inbound_advisory": ("guardrail_scan", C.inbound_advisory),
     "tool_result": ("tool_result_scan", C.tool_result_redact),
     "outbound": ("outbound_scan", C.outbound_redact),
+    "reply_payload": ("reply_payload_redacted", C.reply_payload_redact),
 }
 
 
@@ -25,22 +29,22 @@ def redact_stream(
     path: str,
     checkpoint: str,
     available_now: bool = False,
-    changed_only: bool = False,
+    **options,
 ) -> StreamingQuery:
-    """Redact a stream of text records into the sinks under ``path``.
+    """Run a channel's job on a stream of records into the sinks under ``path``.
 
-    A micro-batch that is run again after a failure replaces its own output.
+    ``options`` go to the job (``changed_only``, ``message``, ``payload``, ``ner``, ``allow``).  Streams
+    of several channels can share a path.  A micro-batch that is run again after a failure replaces
+    its own output.
     """
     event, job = EVENTS[channel]
+    if channel in ("tool_result", "outbound", "reply_payload"):
+        options.setdefault("changed_only", False)
+    columns = {k: options[k] for k in ("message", "payload") if options.get(k)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_outputs(
-            job(batch, policy, changed_only=changed_only),
-            path,
-            event,
-            batch_id,
-            policy.audit_enabled,
-        )
+        done = job(batch, policy, **options)
+        write_outputs(done, path, event, batch_id, policy.audit_enabled, **columns)
 
     return _start(texts.writeStream.foreachBatch(write), checkpoint, available_now)
 
