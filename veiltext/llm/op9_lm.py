@@ -19,17 +19,11 @@ CLASSES, BUCKETS, KINDS = 32, 4096, 3
 FEATURES = 1 + KINDS * BUCKETS
 END = b"\n"  # no word can hold it
 #: Text bytes of a block, the unit in which words are counted and texts are scored.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 _SLICE = 2 << 20
 
 
-def word_class(word: bytes) -> int:
-    """By the word's last two bytes, so that unseen words have a class as well."""
-    last = word[-1] * 256 + (word[-2] if len(word) > 1 else 0)
-    return CLASSES - 1 if word == END else int(_MIX[last])
-
-
-#: Classes of all pairs of last bytes.
+#: Classes of words by their last two bytes (0 before a word of one), so that unseen words have a class as well.
 _MIX = ((np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(CLASSES - 1)).astype(np.int32)
 
 
@@ -83,7 +77,7 @@ class Block:
             self._name(hashed, spelled)
 
     def _name(self, hashed: list[np.ndarray], spelled: list) -> None:
-        """words, and ids: which word stands at each place (0: the end). Words of a block are told apart by 64-bit hashes."""
+        """words with their classes, and ids: which word stands at each place (0: the end). Words of a block are told apart by 64-bit hashes."""
         _, first, inverse = np.unique(self.hashes, return_index=True, return_inverse=True)
         self.words = [END]
         slices = np.cumsum([0, *map(len, hashed)])
@@ -91,6 +85,7 @@ class Block:
         for k, at in zip(which.tolist(), (first - slices[which]).tolist(), strict=True):
             text, starts, ends = spelled[k]
             self.words.append(text[starts[at] : ends[at]])
+        self.classes = np.concatenate([[CLASSES - 1], self.target[self.places[first]]]).astype(np.int32)
         self.ids = np.zeros(len(self.target), np.int32)
         self.ids[self.places] = inverse + 1
 
@@ -144,6 +139,12 @@ def expected(weights: np.ndarray, block: Block, into: np.ndarray, rows: int = 1
                 into[low : low + BUCKETS, c] += np.bincount(own, weights=by_class[c], minlength=BUCKETS)
 
 
+def _joined(held: list[tuple[pa.RecordBatch, list[bytes]]]) -> tuple[list[bytes], pa.RecordBatch]:
+    """The texts of a block, and its other columns in one piece."""
+    others = [batch.drop_columns(["text"]) for batch, _ in held]
+    return [t for _, some in held for t in some], pa.Table.from_batches(others).combine_chunks().to_batches()[0]
+
+
 def _blocks(columns) -> Iterator[tuple[int, list[bytes], pa.RecordBatch]]:
     """The task's texts in blocks of about BLOCK_BYTES; numbers derive from the partition, so that every run cuts alike."""
     base, number, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
@@ -153,12 +154,12 @@ def _blocks(columns) -> Iterator[tuple[int, list[bytes], pa.RecordBatch]]:
             size += len(text) + 1
             if size >= BLOCK_BYTES:
                 held.append((batch.slice(begin, i + 1 - begin), texts[begin : i + 1]))
-                yield base + number, [t for _, some in held for t in some], pa.Table.from_batches([b for b, _ in held]).combine_chunks().to_batches()[0]
+                yield base + number, *_joined(held)
                 number, held, size, begin = number + 1, [], 0, i + 1
         if begin < len(texts):
             held.append((batch.slice(begin), texts[begin:]))
     if held:
-        yield base + number, [t for _, some in held for t in some], pa.Table.from_batches([b for b, _ in held]).combine_chunks().to_batches()[0]
+        yield base + number, *_joined(held)
 
 
 COUNTED = "block long, word binary, class int, n long, feature int, cells binary"
@@ -176,7 +177,6 @@ def _counted(columns):
     for number, texts, batch in _blocks(columns):
         train = batch.column("train").to_numpy(zero_copy_only=False)
         every = Block(texts)
-        classes = np.array([word_class(w) for w in every.words], dtype=np.int32)
         in_train = np.repeat(train, np.diff(every.bounds))
         n = np.bincount(every.ids[in_train], minlength=len(every.words))
         observed(every, cells, in_train)
@@ -184,7 +184,7 @@ def _counted(columns):
             some = slice(at, at + 100_000)
             words = pa.array(every.words[some], pa.binary())
             yield row_batch(
-                len(words), block=pa.array(np.full(len(words), number)), word=words, n=pa.array(n[some]), **{"class": pa.array(classes[some])}
+                len(words), block=pa.array(np.full(len(words), number)), word=words, n=pa.array(n[some]), **{"class": pa.array(every.classes[some])}
             )
     used = np.flatnonzero(cells.any(axis=1))
     if len(used):
@@ -241,8 +241,8 @@ def _first_weights(cells: np.ndarray) -> np.ndarray:
 
 def _answers(key, docs: pd.DataFrame, known: pd.DataFrame, weights, classes, totals) -> pd.DataFrame:
     """Scores of one block's documents, from its texts and the counts of its words."""
-    block = Block([bytes(t) for t in docs["text"]], named=False)
-    c = block.counts([bytes(w) for w in known["word"]], known["c"].to_numpy(dtype=np.float64))
+    block = Block(docs["text"].tolist(), named=False)
+    c = block.counts(known["word"].tolist(), known["c"].to_numpy(dtype=np.float64))
     n, v = totals
     base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
     own = classes.value[block.target]
@@ -300,7 +300,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     work.drop(counted)
     share = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(max(updates, 1)))
     for step in range(updates):
-        part = source.where(F.col("train") & (share == step)).select("text")
+        part = source.where(F.col("train") & (share == step)).select("text", "doc_id")
         cells = _gathered(part.mapInArrow(partial(_both, weights=spark.sparkContext.broadcast(weights)), "feature int, cells binary"), 2 * CLASSES)
         seen, meant = cells[:, :CLASSES], cells[:, CLASSES:]
         weights = (weights + rate / (1 + step) * (seen - meant) / (np.maximum(seen, meant) + 4)).astype(np.float32)
