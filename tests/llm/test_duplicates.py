@@ -198,11 +198,31 @@ def plain_passages(rows, similarity=0.8, min_words=20):
 def test_repeated_passages(spark, seed):
     rows = corpus(seed, 80)
     got = repeated_passages(table(spark, rows)).collect()
-    assert {(r.doc_id, r.paragraph, r.keep_doc_id, r.keep_paragraph) for r in got} == plain_passages(rows)
-    texts = dict(rows)
+    want, texts = plain_passages(rows), dict(rows)
+    found = set()
     for r in got:
         words = shingle_words(texts[r.doc_id], 1)[r.start_word : r.start_word + r.n_words]
-        assert words == shingle_words(texts[r.doc_id].split("\n")[r.paragraph], 1)
+        if (r.doc_id, r.paragraph, r.keep_doc_id, r.keep_paragraph) in want and words == shingle_words(texts[r.doc_id].split("\n")[r.paragraph], 1):
+            found.add((r.doc_id, r.paragraph, r.keep_doc_id, r.keep_paragraph))
+        else:  # a run of units: each of its words stands elsewhere among five equal ones
+            assert len(words) == r.n_words >= 20
+            elsewhere = {x for d, t in rows if d != r.doc_id for x in shingle_words(t, 5)} | {x for x in shingle_words(texts[r.doc_id], 5)}
+            assert set(shingle_words(" ".join(words), 5)) & elsewhere
+    assert found == want
+
+
+def test_passages_inside_paragraphs(spark):
+    rng = random.Random(40)
+    texts = [prose(rng, 150).replace("\n", " ") for _ in range(40)]
+    passages = [prose(rng, 55).replace("\n", " ") for _ in range(5)]
+    for i in range(20):
+        words = texts[i].split(" ")
+        at = rng.randrange(len(words))
+        texts[i] = " ".join([*words[:at], *passages[i % 5].upper().split(" "), *words[at:]])
+    got = repeated_passages(table(spark, list(enumerate(texts)))).collect()
+    assert {r.doc_id for r in got} == set(range(5, 20))
+    assert {r.doc_id: r.keep_doc_id for r in got} == {i: i % 5 for i in range(5, 20)}
+    assert all(20 <= r.n_words <= 55 for r in got)
 
 
 def test_repeated_passages_awkward(spark):
