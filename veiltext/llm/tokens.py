@@ -11,33 +11,31 @@ import regex
 #: Words kept by a worker; beyond that the cache starts anew, which changes the time and not the ids.
 CACHED_WORDS = 1_000_000
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_TAILS = b".,;:!?"
+#: Signs that end a word: a run of them is one piece.
+_TAILS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 class WordEncoder:
     """Ids of a tokenizer that drops white space, lower-cases and marks the ends of its pieces, so that words stand alone.
 
     Each different word is encoded once. Words of letters are one piece each: many new ones are encoded as one text
-    that is split at blanks, and its ids are cut where pieces end. A sign at the end of such a word is a piece of its own.
+    that is split at blanks, and its ids are cut where pieces end. Signs at the end of such a word are a piece of their own.
     In other words the pieces are counted by the tokenizer's own split rule; where counts do not agree (special
     tokens, rare characters) the words are encoded one by one.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.plain.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.zeros(size, dtype=bool)
         for token, at in self.tokenizer.get_vocab().items():
             self.ends[at] = token.endswith("</w>")
-        self._reset()
-
-    def _reset(self) -> None:
         self.known: dict[bytes, bytes] = {}
-        self._alone([_TAILS[k : k + 1] for k in range(len(_TAILS))])
 
     def _alone(self, words: list[bytes]) -> None:
         for word in words:
@@ -61,33 +59,33 @@ class WordEncoder:
                 begin = end
 
     def _learn(self, words: set[bytes]) -> None:
-        letters, tailed, odd, counts, special = set(), [], [], [], []
+        letters, tails, tailed, odd, special = set(), set(), [], set(), []
         for word in words:
-            stem = word[:-1] if word[-1] in _TAILS else word
+            stem = word.rstrip(_TAILS)
             if stem.isalpha():  # ASCII
                 one = True
             else:
-                text = unicodedata.normalize("NFC", stem.decode()).lower()
-                one = text.isalpha()
-            if one:
+                one = unicodedata.normalize("NFC", stem.decode()).lower().isalpha()
+            if b"<|" in word:
+                special.append(word)
+            elif one:
                 if stem not in self.known:
                     letters.add(stem)
-                if stem is not word:
-                    tailed.append(word)
-            elif b"<|" in word:
-                special.append(word)
+                if len(stem) < len(word):
+                    tails.add(word[len(stem) :])
+                    tailed.append((word, stem))
             else:
-                odd.append(word)
-                counts.append(len(_PIECES.findall(unicodedata.normalize("NFC", word.decode()).lower())))
+                odd.add(word)
+        rest = list(odd | tails.difference(self.known))
         self._together(list(letters), [1] * len(letters), self.plain)
-        self._together(odd, counts, self.tokenizer)
+        self._together(rest, [len(_PIECES.findall(unicodedata.normalize("NFC", w.decode()).lower())) for w in rest], self.tokenizer)
         self._alone(special)
-        for word in tailed:
-            self.known[word] = self.known[word[:-1]] + self.known[word[-1:]]
+        for word, stem in tailed:
+            self.known[word] = self.known[stem] + self.known[word[len(stem) :]]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > CACHED_WORDS:
-            self._reset()
+            self.known = {}
         # special tokens are told by their case, all else is lower-cased by the tokenizer anyway
         split = [(text if b"<|" in text else text.lower()).split() for text in texts]
         new = set().union(*split).difference(self.known)
