@@ -198,3 +198,16 @@ def test_extract_and_replace(spark):
     for m in ("null", "42", "{}", '{"content":null}', '{"content":123}', "[1]"):
         assert json.loads(new[m]) == json.loads(m)
     assert new[None] is None
+
+
+def test_unreadable_json_hides_nothing(spark):
+    """A message with a repeated key is no variant; its escapes are written out before the search."""
+    from veiltext.functions.messages import extract_text
+    from veiltext.plans.channels import tool_result_redact
+    from veiltext.sources.policies import Policy
+
+    raw = '{"content":"joe\\u0040x.org, 10\\u00245, \\\\u0041","a":1,"a":2}'
+    df = spark.createDataFrame([("r", raw)], "record_id string, message string")
+    assert df.select(extract_text("message")).head()[0] == '{"content":"joe@x.org, 10$5, \\\\u0041","a":1,"a":2}'
+    out = tool_result_redact(df, Policy(), message="message").head().message
+    assert out == '{"content":"[EMAIL_1], 10$5, \\\\u0041","a":1,"a":2}'

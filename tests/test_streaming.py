@@ -114,3 +114,28 @@ def test_backlog_stream_equals_model(spark, tmp_path, cap, max_mappings):
     assert {
         (r.session_id, r.seq, r.pos): (r.request_id, r.status, r.error) for r in got if r.kind == "resolve"
     } == replies
+
+
+def test_channels_share_a_path(spark, tmp_path):
+    """Jobs of several channels write to one path; none replaces another's rows, and rewritten messages, payloads and notices arrive."""
+    out = str(tmp_path / "sinks")
+    base = "record_id string, channel string, session_id string, seq bigint, ts timestamp, tool_name string, channel_id string"
+    row = ("r1", "x", "s", 1, None, "t", "c")
+    text = spark.createDataFrame([(*row, "mail joe@x.org, SSN 123-45-6789")], base + ", text string")
+    message = spark.createDataFrame([(*row, '{"content":"mail joe@x.org"}')], base + ", raw string")
+    payload = text.withColumn("payload", F.struct("text")).drop("text")
+    policy = policy_from({"entityActions": {"SSN": "block"}})
+    write_outputs(C.outbound_redact(text, policy), out, "outbound_scan", 0)
+    write_outputs(C.tool_result_redact(message, policy, message="raw"), out, "tool_result_scan", 0, message="raw")
+    write_outputs(C.reply_payload_redact(payload, policy), out, "reply_payload_redacted", 0)
+    write_outputs(C.inbound_advisory(text, policy), out, "guardrail_scan", 0)
+    write_outputs(C.inbound_gate(text, policy), out, "run_blocked", 0)
+    rows = read_sink(spark, out, "redacted").collect()
+    assert len(rows) == 5
+    assert sum(r.redacted_text == "mail [EMAIL_1], SSN [SSN_1]" for r in rows) == 1
+    assert [r.message for r in rows if r.message and "content" in r.message] == ['{"content":"mail [EMAIL_1]"}']
+    assert [r.payload for r in rows if r.payload] == ['{"text":"mail [EMAIL_1], SSN [SSN_1]"}']
+    assert sum("[EMAIL_1]" in (r.notice or "") for r in rows) == 1 and [r.outcome for r in rows if r.outcome] == ["block"]
+    events = {r.event: r for r in read_sink(spark, out, "audit").collect()}
+    assert set(events) == {"outbound_scan", "tool_result_scan", "reply_payload_redacted", "guardrail_scan", "run_blocked"}
+    assert events["run_blocked"].blocked_labels == ["SSN"] and "joe" not in str(events)

@@ -39,6 +39,24 @@ def _text_blocks(content: Column) -> Column:
     return F.filter(_blocks(content), lambda b: F.coalesce(_is_text_block(b), F.lit(False)))
 
 
+def _unescaped(col: Column) -> Column:
+    """JSON that cannot be read as such (a repeated key, too large), with its printable escapes written out.
+
+    It is searched as it stands, so no value may hide behind ``\\u0040`` and the like; what is written
+    out is the same JSON.
+    """
+    pairs = []
+    for code in range(0x20, 0x7F):
+        if chr(code) in '"\\':
+            continue
+        digits = "".join(f"[{d}{d.upper()}]" if d.isalpha() else d for d in f"{code:04x}")
+        shown = "\\$" if chr(code) == "$" else chr(code)
+        pattern = r"(?<!\\)((?:\\\\)*)\\u" + digits
+        pairs.append(F.struct(F.lit(pattern).alias("p"), F.lit("$1" + shown).alias("r")))
+    written = F.aggregate(F.array(*pairs), col, lambda acc, x: F.regexp_replace(acc, x["p"], x["r"]))
+    return F.when(col.rlike(r"\A\s*[\[{\"]") & col.contains("\\u00"), written).otherwise(col)
+
+
 def extract_text(message: Column | str) -> Column:
     """The text of a message; several blocks are joined by NUL so that offsets span all of them."""
     col = F.col(message) if isinstance(message, str) else message
@@ -61,7 +79,7 @@ def extract_text(message: Column | str) -> Column:
     # What is no JSON at all is taken as plain text, so that it is scanned too.
     return let(
         F.try_parse_json(col),
-        lambda doc: F.coalesce(F.when(doc.isNull(), col).otherwise(read(doc)), F.lit("")),
+        lambda doc: F.coalesce(F.when(doc.isNull(), _unescaped(col)).otherwise(read(doc)), F.lit("")),
     )
 
 
