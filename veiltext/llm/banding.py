@@ -31,24 +31,48 @@ def _close(a: str, b: str, similarity: float) -> Column:
     return (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
 
 
-def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float) -> DataFrame:
+def _relabelled(rows: DataFrame, links: DataFrame, work: Work) -> DataFrame:
+    """rows with their labels replaced by those of the components that the links (a, b) between labels make."""
+    found = components(links, work).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return rows.join(found, "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
+
+
+def _undecided(rows: DataFrame) -> DataFrame:
+    """The rows of the bands that still hold several labels."""
+    several = rows.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("band")
+    return rows.join(several, "band")
+
+
+def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, rounds: int = 2) -> DataFrame:
     """node, label: the component of every item that has a similar other item.
 
     met: from meetings(). sets: node, set (an array of different hashes) of its nodes. In a band all items are first
-    compared with its smallest one, which is one row each; what then lies in one component needs no more comparing, and
-    only items of one band that are still in different components are compared with each other. The sets travel
-    with the rows of a band, not with its pairs, and a pair becomes a row only if it is similar.
+    compared with its smallest one, which is one row each; what then lies in one component needs no more comparing.
+    In the bands that still hold several components all items are compared with one drawn by hash, `rounds` times,
+    and at last all pairs of items of different components with each other, so that no pair is left out. The
+    sets travel with the rows of a band, not with its pairs; a comparison gives at most a row for each two components.
     """
     own = sets.withColumnRenamed("set", "own")
     heads = sets.select(F.col("node").alias("head"), F.col("set").alias("other"))
     pairs = met.where("node <> head").select("node", "head").distinct().join(own, "node").join(heads, "head")
-    edges = work.save(pairs.where(_close("own", "other", similarity)).select(F.col("head").alias("a"), F.col("node").alias("b")))
-    labels = components(edges, work)
-    placed = met.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    open_ = placed.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("band")
-    rest = work.save(placed.join(open_, "band").join(sets, "node"))
-    left, right = (rest.select("band", F.col("node").alias(x), F.col("label").alias(f"label_{x}"), F.col("set").alias(f"set_{x}")) for x in "ab")
-    apart = (left.band == right.band) & (F.col("label_a") < F.col("label_b"))
-    more = work.save(left.join(right, apart & _close("set_a", "set_b", similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    work.drop(rest)
-    return components(edges.union(more), work) if more.limit(1).count() else labels
+    first = work.save(pairs.where(_close("own", "other", similarity)).select(F.col("head").alias("a"), F.col("node").alias("b")))
+    start = met.select("node").distinct().withColumn("label", F.col("node"))
+    labels = work.save(_relabelled(start, first, work))
+    rest = work.save(_undecided(met.select("band", "node").join(labels, "node")).join(sets, "node"))
+    for turn in range(rounds + 1):
+        if turn < rounds:
+            drawn = rest.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", F.col("label").alias("other_label"))).alias("h"))
+            drawn = drawn.select("band", F.col("h.node").alias("head"), "h.other_label").join(heads, "head")
+            close = rest.join(drawn, "band").where((F.col("label") != F.col("other_label")) & _close("set", "other", similarity))
+            links = close.select(F.least("label", "other_label").alias("a"), F.greatest("label", "other_label").alias("b"))
+        else:
+            left, right = (rest.select("band", F.col("label").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
+            apart = (left.band == right.band) & (F.col("a") < F.col("b"))
+            links = left.join(right, apart & _close("set_a", "set_b", similarity)).select("a", "b")
+        links = work.save(links.distinct())
+        if links.limit(1).count():
+            labels = work.save(_relabelled(labels, links, work))
+            if turn < rounds:
+                rest = work.save(_undecided(rest.drop("label").join(labels, "node")))
+    changed = labels.where("label <> node")
+    return changed.select("node", "label").union(changed.select(F.col("label").alias("node"), "label").distinct())
