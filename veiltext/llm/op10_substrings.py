@@ -179,7 +179,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def _runs(units: DataFrame, removed: DataFrame, min_words: int) -> DataFrame:
     """Runs of at least `min_words` words of units that stand elsewhere before, outside the paragraphs that go anyway."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "start_word", "paragraph")
-    first = units.groupBy("c1", "n_words").agg(F.min(place).alias("keep"), F.max(place).alias("last")).where("keep <> last").drop("last")
+    first = units.groupBy("c1", "n_words").agg(F.min(place).alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
     again = units.join(first, ["c1", "n_words"]).where((F.col("row_key") != F.col("keep.row_key")) | (F.col("start_word") != F.col("keep.start_word")))
     again = again.join(removed.select("row_key", "paragraph").distinct(), ["row_key", "paragraph"], "left_anti")
     order = Window.partitionBy("row_key").orderBy("start_word")
