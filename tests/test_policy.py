@@ -240,3 +240,15 @@ def test_channel_plans_search_once_and_never_shuffle(spark, tmp_path):
         assert "Python" not in plan, name
         assert plan.count("regexp_replace(text") == 8, name
         assert "PushedFilters: [IsNotNull(text)" in plan or name in ("preview", "report"), name
+
+
+def test_registered_detector_plans(spark):
+    """The registered queries search each text once per rule, narrowly and on the JVM."""
+    import __spark_entry__ as entry
+
+    registered = entry.queries()
+    for name in ("detect_email", "detect_phone", "detect_zip_code", "detect_structured", "allow_exact", "allow_pattern", "allow_label_value", "apply_allowlist"):
+        plan = _plan(registered[name](spark, "/root/testdata/sf0.001"))
+        assert "Exchange" not in plan and "Python" not in plan, name
+        searches = plan.count("regexp_replace(text") / max(plan.count("FileScan"), 1)
+        assert searches <= (8 if name.startswith("allow") or name in ("detect_structured", "apply_allowlist") else 1), (name, searches)
