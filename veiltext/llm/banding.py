@@ -49,8 +49,8 @@ def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, roun
     met: from meetings(). sets: node, set (an array of different hashes) of its nodes. In a band all items are first
     compared with its smallest one, which is one row each; what then lies in one component needs no more comparing.
     In the bands that still hold several components all items are compared with one drawn by hash, `rounds` times,
-    and at last all pairs of items of different components with each other, so that no pair is left out. The
-    sets travel with the rows of a band, not with its pairs; a comparison gives at most a row for each two components.
+    and at last all pairs of items of different components with each other, so that no pair is left out. Labels are
+    kept without the sets, which are joined for the comparisons alone and travel with the rows of a band, not with its pairs.
     """
     own = sets.withColumnRenamed("set", "own")
     heads = sets.select(F.col("node").alias("head"), F.col("set").alias("other"))
@@ -58,15 +58,19 @@ def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, roun
     first = work.save(pairs.where(_close("own", "other", similarity)).select(F.col("head").alias("a"), F.col("node").alias("b")))
     start = met.select("node").distinct().withColumn("label", F.col("node"))
     labels = work.save(_relabelled(start, first, work))
-    rest = work.save(_undecided(met.select("band", "node").join(labels, "node")).join(sets, "node"))
+    rest = work.save(_undecided(met.select("band", "node").join(labels, "node")))
     for turn in range(rounds + 1):
+        if not rest.limit(1).count():
+            break
         if turn < rounds:
             drawn = rest.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", F.col("label").alias("other_label"))).alias("h"))
-            drawn = drawn.select("band", F.col("h.node").alias("head"), "h.other_label").join(heads, "head")
-            close = rest.join(drawn, "band").where((F.col("label") != F.col("other_label")) & _close("set", "other", similarity))
+            drawn = drawn.select("band", F.col("h.node").alias("head"), "h.other_label")
+            rows = rest.join(drawn, "band").where("label <> other_label").select("node", "label", "head", "other_label").distinct()
+            close = rows.join(sets, "node").join(heads, "head").where(_close("set", "other", similarity))
             links = close.select(F.least("label", "other_label").alias("a"), F.greatest("label", "other_label").alias("b"))
         else:
-            left, right = (rest.select("band", F.col("label").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
+            wide = rest.join(sets, "node")
+            left, right = (wide.select("band", F.col("label").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
             apart = (left.band == right.band) & (F.col("a") < F.col("b"))
             links = left.join(right, apart & _close("set_a", "set_b", similarity)).select("a", "b")
         links = work.save(links.distinct())
