@@ -62,6 +62,8 @@ class Work:
         self.count += 1
         path = f"{self.root}/{self.count}"
         df.write.parquet(path)
+        # what was shuffled to write it is garbage now; Spark deletes those files when the driver collects its own
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: DataFrame) -> None:
