@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -10,9 +11,9 @@ from tests.llm.helpers import CLASHING, awkward, corpus, prose, table
 from veiltext.llm.banding import bands_for
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
-from veiltext.llm.op6_lines import line_dedup
+from veiltext.llm.op6_lines import _signed, line_dedup
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
-from veiltext.llm.op10_substrings import repeated_passages
+from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
 
 
 class Sets:
@@ -230,3 +231,27 @@ def test_repeated_passages_awkward(spark):
     assert {r.keep_doc_id for r in got if r.doc_id in (1, 2, None)} == {1}
     assert {r.doc_id for r in got} <= {1, 2, None, 8}
     assert repeated_passages(table(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("n", [18, 27])
+def test_line_bands_meet_at_the_least_similarity(spark, n):
+    rng = random.Random(50 + n)
+    pairs = []
+    for _ in range(3000):  # words of ten characters are one shingle each; sixteen of eighteen shared are Jaccard 0.8
+        words = [f"{rng.getrandbits(40):010x}" for _ in range(n + n // 9)]
+        pairs.append((" ".join(words[:n]), " ".join(words[n // 9 :])))
+    docs = spark.createDataFrame([(k, k, "\n".join(p)) for k, p in enumerate(pairs)], "row_key long, doc_id long, text string")
+    bands = {r.h1: set(r.bands) for r in _signed(docs, 0.8).select("h1", "bands").collect()}
+    hashed = spark.createDataFrame(pairs, "a string, b string").selectExpr("xxhash64(a) as a", "xxhash64(b) as b").collect()
+    assert sum(bool(bands[r.a] & bands[r.b]) for r in hashed) / len(pairs) >= 0.993
+
+
+@pytest.mark.parametrize("n", [18, 27])
+def test_passage_bands_meet_at_the_least_similarity(n):
+    pairs = 8000
+    x = np.random.default_rng(n).integers(0, 1 << 64, size=(pairs, n + n // 9), dtype=np.uint64)
+    got = Paragraphs([])
+    got.shingles = np.concatenate([x[:, :n].ravel(), x[:, n // 9 :].ravel()])
+    got.c1, got.bounds = np.zeros(2 * pairs, np.uint64), np.arange(2 * pairs + 1) * n
+    bands = got.bands(bands_for(0.8, 2, 0.995))
+    assert (bands[:pairs] == bands[pairs:]).any(axis=1).mean() >= 0.996

@@ -87,7 +87,7 @@ class Paragraphs:
         out = np.zeros((len(self.c1), count), np.uint64)
         if len(self.c1):
             for i, order in enumerate(_orders(count * ROWS)):
-                least = np.minimum.reduceat(self.shingles ^ order, self.bounds[:-1])
+                least = np.minimum.reduceat(mixed(self.shingles ^ order), self.bounds[:-1])
                 out[:, i // ROWS] = mixed(out[:, i // ROWS] * np.uint64(3) + least + np.uint64(i))
         return out
 
