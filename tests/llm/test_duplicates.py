@@ -14,6 +14,7 @@ from veiltext.llm.components import components
 from veiltext.llm.op6_lines import _signed, line_dedup
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
+from veiltext.llm.queries import QUERIES
 
 
 class Sets:
@@ -233,6 +234,21 @@ def test_repeated_passages_awkward(spark):
     assert repeated_passages(table(spark, [])).collect() == []
 
 
+def test_overlapping_shingles_link_lines_with_a_changed_character(spark, tmp_path):
+    rng = random.Random(60)
+    lines = []
+    for _ in range(150):
+        line = list(prose(rng, 14).replace("\n", " "))
+        line[len(line) // 2] = "#"
+        lines += ["".join(line), "".join(line).replace("#", "1")]
+    lines += ["\U0001f600b", "\U0001f600b", "ab", "abcde", "a" * 3000]
+    rows = [(d, line) for d, line in enumerate(lines)]
+    table(spark, rows).repartition(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text for r in QUERIES["op6_line_dedup"](spark, str(tmp_path)).collect()}
+    assert all(got[d] == "" for d in range(1, 300, 2)) and all(got[d] == lines[d] for d in range(0, 300, 2))
+    assert [got[d] for d in range(300, 305)] == ["\U0001f600b", "", "ab", "abcde", "a" * 3000]
+
+
 @pytest.mark.parametrize("n", [18, 27])
 def test_line_bands_meet_at_the_least_similarity(spark, n):
     rng = random.Random(50 + n)

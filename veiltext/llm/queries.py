@@ -45,7 +45,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the lines that stay."""
-    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+    return line_dedup(table(spark, sf_dir, "documents"), overlapping=True).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
