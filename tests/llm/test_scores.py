@@ -11,7 +11,7 @@ import pytest
 
 from tests.llm.helpers import awkward, corpus, labels, prose, table
 from veiltext.llm.op2_quality import CHUNK, HOP, ByteNet, chunks, quality
-from veiltext.llm.op3_decontaminate import Items, contaminated, weighted_jaccard
+from veiltext.llm.op3_decontaminate import Items, _search, contaminated, weighted_jaccard
 from veiltext.llm.op4_rules import Forest, calibrate, counts, quality_rules
 from veiltext.llm.op8_toxicity import Lexicon, drop_toxic, folded, toxicity
 from veiltext.llm.op9_lm import CLASSES, FEATURES, Block, expected, lm_scores, logits, observed
@@ -253,6 +253,33 @@ def test_contaminated(spark):
     assert {(r.doc_id, r.item_id) for r in several} >= {k for k in want if k[1] not in (7, 8)}
 
 
+def test_contaminated_where_items_share_text(spark):
+    rng = random.Random(31)
+    common = prose(rng, 50).replace("\n", " ").split(" ")
+    items = [(i, " ".join([*common, *prose(rng, 10).replace("\n", " ").split(" ")])) for i in range(10)]
+    words = items[4][1].split(" ")
+    rows = [(0, "before " + " ".join([*words[:30], "other", *words[31:]])), (1, " ".join([*words[:20], "other", *words[21:]]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start_word, r.n_words, r.similarity) for r in contaminated(table(spark, rows), benchmark, rarity=False).collect()}
+    assert got == {(0, 4): (1, 60, 51 / 61), (1, 4): (0, 60, 51 / 61)}
+    for rarity in (True, False):
+        one, many = (sorted(contaminated(table(spark, rows), benchmark, similarity=0.6, rarity=rarity, pass_bytes=n).collect()) for n in (1 << 20, 500))
+        assert [r[:4] for r in one] == [r[:4] for r in many] and np.allclose([r.similarity for r in one], [r.similarity for r in many])
+        assert len(one) >= 2
+
+
+def test_contaminated_finds_all_at_the_least_similarity():
+    rng = random.Random(32)
+    found = 0
+    for i in range(500):  # each end changed: 32 of 36 shingles are left, Jaccard 0.8
+        words = [b"w%d" % rng.getrandbits(60) for _ in range(40)]
+        items = Items([(i, b" ".join(words))], rarity=False)
+        own = [b"x", b"x", *words[2:-2], b"y", b"y"]
+        got = _search(own, {5: Items._hashes(own, 5)}, items, 0.8)
+        found += [g[:3] for g in got] == [(0, 0, 40)] and math.isclose(got[0][3], 0.8)
+    assert found == 500
+
+
 def test_contaminated_awkward(spark):
     items = spark.createDataFrame([(1, "one"), (2, None), (3, ""), (None, "a b c d e f g"), (9, "one")], "item_id long, text string")
     got = contaminated(awkward(spark), items).collect()

@@ -1,9 +1,10 @@
-"""Benchmark passages in documents: SimHash of item-sized windows, Hamming blocks, exact weighted similarity."""
+"""Benchmark passages in documents: item-sized windows that share enough shingles, found by postings, exact similarity of bags."""
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from functools import partial
+from collections.abc import Iterator
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,50 +40,110 @@ def _fingerprints(hashes: np.ndarray, weights: np.ndarray, size: int) -> np.ndar
 
 
 class Items:
-    """Benchmark items by length, with the index of their fingerprints' blocks."""
+    """Benchmark items by length, with postings of their shingles.
 
-    def __init__(self, rows: list[tuple[int | None, bytes]]):
+    rarity: a shingle weighs one over the number of items that hold it, else 1. `frequency` has that number, where it is
+    not 1, for shingles (words joined by blanks) over a benchmark of which these are a part.
+    """
+
+    def __init__(self, rows: list[tuple[int | None, bytes]], rarity: bool = True, frequency: dict[bytes, int] | None = None):
         self.ids, self.words, self.bags = [], [], []
         self.by_size: dict[tuple[int, int], list[int]] = defaultdict(list)
-        frequency: Counter = Counter()
+        counted: Counter = Counter()
         for item_id, text in rows:
             words = text.lower().split()
             if not words:
                 continue
             k = min(SHINGLE, len(words))
             bag = Counter(_shingles(words, k))
-            frequency.update(bag.keys())
+            counted.update(bag.keys())
             self.by_size[k, len(words)].append(len(self.ids))
             self.ids.append(item_id)
             self.words.append(words)
             self.bags.append(bag)
-        self.weight = {s: 1 / n for s, n in frequency.items()}  # text that many items share says less
+        if not rarity:
+            self.weight = {}
+        elif frequency is not None:
+            self.weight = {s: 1 / frequency.get(b" ".join(s), 1) for s in counted}
+        else:
+            self.weight = {s: 1 / n for s, n in counted.items()}  # text that many items share says less
         self.hashed: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.keys_of: list[np.ndarray] = [np.zeros(0, np.int64)] * len(self.ids)
+        self.mass = np.array([sum(self.weight.get(s, 1.0) * n for s, n in bag.items()) for bag in self.bags])
         for k in {k for k, _ in self.by_size}:
             found: dict[int, float] = {}
             for words, bag in zip(self.words, self.bags, strict=True):
                 if min(SHINGLE, len(words)) == k:
-                    found.update(zip(self._hashes(words, k).tolist(), (self.weight[s] for s in _shingles(words, k)), strict=True))
+                    found.update(zip(self._hashes(words, k).tolist(), (self.weight.get(s, 1.0) for s in _shingles(words, k)), strict=True))
             keys = np.array(sorted(found), dtype=np.uint64)
             seen = np.zeros(1 << 20, dtype=bool)
             seen[(keys >> np.uint64(44)).astype(np.int64)] = True
             self.hashed[k] = keys, np.array([found[x] for x in keys.tolist()]), seen
-        self.index = {size: self._indexed(*size, items) for size, items in self.by_size.items()}
+            self._post(k)
+
+    def _post(self, k: int) -> None:
+        """For each shingle of k words the items that hold it, with its weight there, repeats included."""
+        keys, weight, _ = self.hashed[k]
+        key, holder, weighed = [], [], []
+        for item, words in enumerate(self.words):
+            if min(SHINGLE, len(words)) == k:
+                own, times = np.unique(np.searchsorted(keys, self._hashes(words, k)), return_counts=True)
+                self.keys_of[item] = own
+                key.append(own)
+                holder.append(np.full(len(own), item))
+                weighed.append(weight[own] * times)
+        every = np.concatenate(key)
+        order = np.argsort(every, kind="stable")
+        self.postings[k] = np.concatenate(holder)[order], np.concatenate(weighed)[order], np.searchsorted(every[order], np.arange(len(keys) + 1))
+
+    @cached_property
+    def index(self) -> dict:
+        """The index of the fingerprints' blocks for each size."""
+        return {size: self._indexed(*size, items) for size, items in self.by_size.items()}
 
     @staticmethod
     def _hashes(words: list[bytes], k: int) -> np.ndarray:
         return shingle_hashes(word_hashes([b" ".join(words)])[0], k)
 
-    def weights(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Weight of each hash, and whether it is an item's."""
-        keys, weight, seen = self.hashed[k]
-        out, hit = np.ones(len(hashes)), np.zeros(len(hashes), dtype=bool)
+    def found(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes that are an item's, and their numbers among the items' shingles."""
+        keys, _, seen = self.hashed[k]
         maybe = np.flatnonzero(seen[(hashes >> np.uint64(44)).astype(np.int64)])
         at = np.minimum(np.searchsorted(keys, hashes[maybe]), len(keys) - 1)
         same = keys[at] == hashes[maybe]
-        out[maybe[same]], hit[maybe[same]] = weight[at[same]], True
+        return maybe[same], at[same]
+
+    def weights(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of each hash, and whether it is an item's."""
+        out, hit = np.ones(len(hashes)), np.zeros(len(hashes), dtype=bool)
+        at, key = self.found(hashes, k)
+        out[at], hit[at] = self.hashed[k][1][key], True
         return out, hit
 
+    def candidates(self, every: np.ndarray, k: int, similarity: float) -> Iterator[tuple[int, int, int]]:
+        """item, first place and number of the shingles of each window that can be similar to an item: all of them.
+
+        Similar bags share `similarity` of the weight of the larger one at least, hence of the item's.
+        """
+        at, key = self.found(every, k)
+        own = np.unique(key)
+        holder, weighed, bounds = self.postings[k]
+        count = bounds[own + 1] - bounds[own]
+        listed = np.repeat(bounds[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        shared = np.bincount(holder[listed], weights=weighed[listed], minlength=len(self.ids))
+        least = similarity * self.mass - 1e-9
+        for item in np.flatnonzero((shared >= least) & (shared > 0)).tolist():
+            n = len(self.words[item]) - k + 1
+            if n > len(every):
+                continue
+            mine = np.isin(key, self.keys_of[item])
+            total = np.zeros(len(every) + 1)
+            total[at[mine] + 1] = self.hashed[k][1][key[mine]]
+            total = np.cumsum(total)
+            for begin in np.flatnonzero(total[n:] - total[:-n] >= least[item]).tolist():
+                yield item, begin, n
+
     def _indexed(self, k: int, n_words: int, items: list[int]):
         """Fingerprints of the items of one length, and for each block and value the items within one bit of it."""
         prints = []
@@ -112,26 +173,14 @@ class Items:
 
 def _search(words: list[bytes], hashes: dict[int, np.ndarray], items: Items, similarity: float) -> list[tuple[int, int, int, float]]:
     """item, start_word, n_words, similarity: the best window of the text for each item that one matches."""
-    best: dict[int, tuple[float, int]] = {}
+    best: dict[int, tuple[float, int, int]] = {}
     for k, every in hashes.items():
-        weight, hit = items.weights(every, k)
-        for size in items.by_size:
-            n = size[1] - k + 1
-            if size[0] != k or n > len(every):
-                continue
-            # a window without any shingle of an item is not similar to one; the others form a few stretches
-            total = np.concatenate([[0], np.cumsum(hit)])
-            wanted = np.flatnonzero(total[n:] > total[:-n])
-            for run in np.split(wanted, np.flatnonzero(np.diff(wanted) > 1) + 1):
-                if not len(run):
-                    continue
-                begin, end = int(run[0]), int(run[-1]) + n
-                windows, found = items.near(size, _fingerprints(every[begin:end], weight[begin:end], n))
-                for at, item in zip((windows + begin).tolist(), found.tolist(), strict=True):
-                    value = weighted_jaccard(Counter(_shingles(words[at : at + size[1]], k)), items.bags[item], items.weight)
-                    if value >= similarity and (item not in best or value > best[item][0]):
-                        best[item] = value, at
-    return [(item, at, len(items.words[item]), value) for item, (value, at) in sorted(best.items())]
+        for item, at, n in items.candidates(every, k, similarity):
+            n_words = n + k - 1
+            value = weighted_jaccard(Counter(_shingles(words[at : at + n_words], k)), items.bags[item], items.weight)
+            if value >= similarity and (item not in best or value > best[item][0]):
+                best[item] = value, at, n_words
+    return [(item, at, n_words, value) for item, (value, at, n_words) in sorted(best.items())]
 
 
 def _matches(columns, items, similarity: float):
@@ -159,6 +208,13 @@ def _matches(columns, items, similarity: float):
             )
 
 
+def _item_shingles(columns):
+    """The different shingles of each item, words joined by blanks."""
+    for batch in columns:
+        every = [{b" ".join(s) for s in _shingles(w, min(SHINGLE, len(w)))} for w in (t.as_py().encode().lower().split() for t in batch.column("text")) if w]
+        yield pa.RecordBatch.from_arrays([pa.array([s for some in every for s in some], pa.binary())], names=["shingle"])
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -168,30 +224,39 @@ def contaminated(
     item_text_col: str = "text",
     similarity: float = 0.8,
     pass_bytes: int = PASS_BYTES,
+    rarity: bool = True,
 ) -> DataFrame:
     """doc_id, item_id, start_word, n_words, similarity: each document's best window for each item it holds.
 
-    Texts are lower-cased (A-Z) words. For each item all windows of its number of words are fingerprinted by SimHash of
-    5-word shingles (all words of a shorter item), windows and items within RADIUS bits are found by blocks of the
-    fingerprint, all of them, and compared by the weighted Jaccard similarity of their bags of shingles, where a shingle weighs
-    one over the number of items that hold it. Windows without a shingle of any item cannot be similar and are not
-    fingerprinted. Documents are read where they lie; items go to the tasks in groups of about `pass_bytes` of text,
-    one pass over the documents for each group.
+    Texts are lower-cased (A-Z) words. For each item all windows of its number of words that share enough of its 5-word
+    shingles (all words of a shorter item) to be similar are found by postings of the shingles, none is left out, and
+    compared by the Jaccard similarity of the bags of shingles. With `rarity` a shingle of items weighs one over the
+    number of items of the whole benchmark that hold it, and one of the document alone 1, so that a changed copy of an item like many
+    others falls behind; without it, as in the query and the pipeline, all weigh the same. Documents are read where they
+    lie; items go to the tasks in groups of about `pass_bytes` of text, one pass over the documents for each group,
+    and the groups do not matter for the result.
 
     Equal item texts are one item with their smallest id. Null or empty texts and items without words match nothing; null ids
     are returned as null. Repeated rows: each returned. No rows on either side: none.
     """
     spark = docs.sparkSession
-    Work(spark)
+    work = Work(spark)
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), benchmark[item_text_col].cast("string").alias("text")).where("text is not null")
     items = items.groupBy("text").agg(F.min("item_id").alias("item_id"))
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).head().n or 0
     groups = max(1, -(-size // pass_bytes))
+    shared = None
+    if rarity and groups > 1:
+        shared = work.save(items.mapInArrow(_item_shingles, "shingle binary").groupBy("shingle").count().where("count > 1"))
     out = None
     for group in range(groups):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(groups)) == group).collect()
-        index = Items(sorted(((r.item_id, r.text.encode()) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(groups)) == group)
+        frequency = None
+        if shared is not None:
+            frequency = {bytes(r.shingle): r["count"] for r in shared.join(part.mapInArrow(_item_shingles, "shingle binary").distinct(), "shingle").collect()}
+        rows = part.collect()
+        index = Items(sorted(((r.item_id, r.text.encode()) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])), rarity, frequency)
         found = texts.mapInArrow(
             partial(_matches, items=spark.sparkContext.broadcast(index), similarity=similarity), "doc_id long, item_id long, start_word long, n_words long, similarity double"
         )

@@ -32,7 +32,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they hold."""
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), rarity=False)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
