@@ -280,6 +280,15 @@ def test_contaminated_finds_all_at_the_least_similarity():
     assert found == 500
 
 
+@pytest.mark.parametrize("rarity", [True, False])
+def test_contaminated_where_a_text_is_shorter_than_the_item(spark, rarity):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(n, " ".join(words[:n])) for n in (59, 58, 49, 48, 30, 4, 1)] + [(100, " ".join(words[2:])), (101, " ".join(words[1:])), (102, "")]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "u v w x y"), (3, "only")], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.start_word, r.n_words, r.similarity) for r in contaminated(table(spark, rows), items, rarity=rarity).collect()}
+    assert got == {d: (1, 0, n, (n - 4) / 56) for d, n in ((59, 59), (58, 58), (49, 49), (100, 58), (101, 59))}
+
+
 def test_contaminated_awkward(spark):
     items = spark.createDataFrame([(1, "one"), (2, None), (3, ""), (None, "a b c d e f g"), (9, "one")], "item_id long, text string")
     got = contaminated(awkward(spark), items).collect()

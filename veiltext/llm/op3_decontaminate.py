@@ -134,9 +134,7 @@ class Items:
         shared = np.bincount(holder[listed], weights=weighed[listed], minlength=len(self.ids))
         least = similarity * self.mass - 1e-9
         for item in np.flatnonzero((shared >= least) & (shared > 0)).tolist():
-            n = len(self.words[item]) - k + 1
-            if n > len(every):
-                continue
+            n = min(len(self.words[item]) - k + 1, len(every))  # a shorter text is one window
             mine = np.isin(key, self.keys_of[item])
             total = np.zeros(len(every) + 1)
             total[at[mine] + 1] = self.hashed[k][1][key[mine]]
@@ -234,7 +232,7 @@ def contaminated(
     number of items of the whole benchmark that hold it, and one of the document alone 1, so that a changed copy of an item like many
     others falls behind; without it, as in the query and the pipeline, all weigh the same. Documents are read where they
     lie; items go to the tasks in groups of about `pass_bytes` of text, one pass over the documents for each group,
-    and the groups do not matter for the result.
+    and the groups do not matter for the result. A text shorter than an item is one window.
 
     Equal item texts are one item with their smallest id. Null or empty texts and items without words match nothing; null ids
     are returned as null. Repeated rows: each returned. No rows on either side: none.
