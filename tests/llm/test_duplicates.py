@@ -7,10 +7,12 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from tests.llm.helpers import CLASHING, awkward, corpus, prose, table
 from veiltext.llm.banding import bands_for
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
+from veiltext.llm.near_copies import drop_near_copies
 from veiltext.llm.op6_lines import _signed, line_dedup
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
@@ -271,3 +273,31 @@ def test_passage_bands_meet_at_the_least_similarity(n):
     got.c1, got.bounds = np.zeros(2 * pairs, np.uint64), np.arange(2 * pairs + 1) * n
     bands = got.bands(bands_for(0.8, 2, 0.995))
     assert (bands[:pairs] == bands[pairs:]).any(axis=1).mean() >= 0.996
+
+
+def plain_near_copies(rows, similarity=0.8):
+    sets, shingles = Sets(), {d: set(shingle_words(t, 5)) for d, t in rows}
+    for a in shingles:
+        for b in shingles:
+            if a < b and len(shingles[a] & shingles[b]) >= similarity * len(shingles[a] | shingles[b]):
+                sets.join(a, b)
+    return {d for d in shingles if sets.root(d) == d}
+
+
+def test_near_copies_beyond_three_bits(spark):
+    rng = random.Random(70)
+    rows = corpus(71, 60)
+    for i in range(40):
+        words = prose(rng, 120).split(" ")
+        rows += [(1000 + 2 * i, " ".join(words)), (1001 + 2 * i, " ".join([*words[:50], "changed", *words[51:]]))]
+    far = sum((plain_fingerprint(rows[k][1]) ^ plain_fingerprint(rows[k + 1][1])).bit_count() > 3 for k in range(60, 140, 2))
+    want = plain_near_copies(rows)
+    assert far > 5 and not {1001 + 2 * i for i in range(40)} & want
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()} == want
+
+
+def test_near_copies_awkward(spark):
+    docs = awkward(spark)
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 7, 8, 9]
+    assert drop_near_copies(table(spark, [])).collect() == []
