@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veiltext.llm.common import Work, batches, shingle_hashes, word_hashes
+from veiltext.llm.common import Work, batches, keyed, replayed, shingle_hashes, word_hashes
 
 SHINGLE = 5
 #: Fingerprints of 64 bits in 8 blocks: within RADIUS, some block differs in at most one bit.
@@ -260,3 +260,16 @@ def contaminated(
         )
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no benchmark item. Each row goes or stays by its own text,
+    also one without an id or with an id that another row has."""
+    work = Work(docs.sparkSession)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    source = replayed(docs.toDF(*names), work)
+    rows = keyed(source, names[docs.columns.index(id_col)], names[docs.columns.index(text_col)])
+    found = contaminated(rows, benchmark, "row_key", "text", **options)
+    gone = work.save(found.select(F.col("doc_id").alias("row_key")).distinct())
+    kept = source.withColumn("row_key", F.monotonically_increasing_id()).join(gone, "row_key", "left_anti")
+    return kept.select(*names).toDF(*docs.columns)
