@@ -15,6 +15,7 @@ from veiltext.llm.op7_simhash import near_duplicates
 from veiltext.llm.op8_toxicity import toxicity
 from veiltext.llm.op9_lm import lm_scores
 from veiltext.llm.op10_substrings import repeated_passages
+from veiltext.llm.op13_audit import filter_audit
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,11 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of all 120 orders of five filters keeps, removes and repeats, per language."""
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,9 +84,39 @@ QUERIES = {
         op8_toxicity,
         op9_lm_scores,
         op10_repeated_passages,
+        op13_filter_audit,
     )
 } | {"pipeline": corpus_pipeline.run}
 
-#: No operator has SQL: each is a trained model, a hash of another library, a packing or an iteration. All are tested
-#: against brute force in tests/llm.
-SQL: dict[str, str] = {} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+_FILTER_AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE) AS copy FROM d),
+m AS (SELECT part, CASE WHEN len(words) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN copy THEN 16 ELSE 0 END AS mask,
+    count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM w LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, step, 1 << (ascii(substr(filter_order, step, 1)) - 65) AS own,
+    coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, i::INT, 1)) - 65))), 0)::INT AS before
+  FROM o, (SELECT unnest(range(1, 6))::INT AS step)),
+r AS (SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (mask & (before | own) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & own > 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & before > 0 AND mask & own > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & own > 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & own > 0), 0) AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
+"""
+
+#: The other operators have no SQL: each is a trained model, a hash of another library, a packing or an iteration.
+#: Those are tested in tests/llm.
+SQL: dict[str, str] = {"op13_filter_audit": _FILTER_AUDIT} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
