@@ -15,6 +15,7 @@ from veiltext.llm.op7_simhash import near_duplicates
 from veiltext.llm.op8_toxicity import toxicity
 from veiltext.llm.op9_lm import lm_scores
 from veiltext.llm.op10_substrings import repeated_passages
+from veiltext.llm.op12_urls import judge_urls
 from veiltext.llm.op13_audit import filter_audit
 
 
@@ -66,6 +67,14 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+#: The rules of the pages' urls.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op12_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each step of all 120 orders of five filters keeps, removes and repeats, per language."""
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -84,6 +93,7 @@ QUERIES = {
         op8_toxicity,
         op9_lm_scores,
         op10_repeated_passages,
+        op12_url_verdicts,
         op13_filter_audit,
     )
 } | {"pipeline": corpus_pipeline.run}
