@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veiltext.llm.op1_tokens import token_matrix
@@ -15,6 +16,7 @@ from veiltext.llm.op7_simhash import near_duplicates
 from veiltext.llm.op8_toxicity import toxicity
 from veiltext.llm.op9_lm import lm_scores
 from veiltext.llm.op10_substrings import repeated_passages
+from veiltext.llm.op11_negatives import hard_negatives
 from veiltext.llm.op12_urls import judge_urls
 from veiltext.llm.op13_audit import filter_audit
 
@@ -67,6 +69,12 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh row has the next label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 #: The rules of the pages' urls.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -93,11 +101,27 @@ QUERIES = {
         op8_toxicity,
         op9_lm_scores,
         op10_repeated_passages,
+        op11_hard_negatives,
         op12_url_verdicts,
         op13_filter_audit,
     )
 } | {"pipeline": corpus_pipeline.run}
 
+_HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT * FROM (SELECT p.anchor_id, p.positive_id,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+    s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
+WHERE rank <= 10
+"""
+
 _FILTER_AUDIT = r"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
 l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
@@ -129,4 +153,4 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
 
 #: The other operators have no SQL: each is a trained model, a hash of another library, a packing or an iteration.
 #: Those are tested in tests/llm.
-SQL: dict[str, str] = {"op13_filter_audit": _FILTER_AUDIT} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+SQL: dict[str, str] = {"op11_hard_negatives": _HARD_NEGATIVES, "op13_filter_audit": _FILTER_AUDIT} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
