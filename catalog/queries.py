@@ -11,6 +11,7 @@ from veiltext.functions.messages import extract_text, replace_text
 from veiltext.functions.overlap import resolve_overlaps
 from veiltext.functions.patterns import LABELS
 from veiltext.functions.redact import redact
+from veiltext.operators import allowing as W
 from veiltext.operators import audit as G
 from veiltext.operators import mapping as M
 from veiltext.operators import ner as N
@@ -18,6 +19,7 @@ from veiltext.operators import policy as P
 from veiltext.operators import requests as R
 from veiltext.plans import channels as C
 from veiltext.sources.policies import MAX_SUBJECT_CHARS
+from veiltext.sources.texts import union_texts
 
 from . import corpus as X
 from .corpus import PLAIN, POLICY, corpus
@@ -88,31 +90,37 @@ def texts_from(spark, sf_dir):
 
 
 def _messages(spark, sf_dir) -> DataFrame:
-    """Conversations as messages of the three shapes, by turn."""
-    t = F.col("text")
-    block = lambda **kw: F.struct(*[v.alias(k) for k, v in kw.items()])
-    content = F.array(
-        F.to_json(block(type=F.lit("text"), text=t)),
-        F.to_json(block(type=F.lit("image"), data=F.lit("AA=="))),
-        F.to_json(block(type=F.lit("text"), text=F.concat(F.lit("mail me at u"), F.col("seq").cast("string"), F.lit("@x.org")), n=F.lit(1))),
-    )
-    blocks = F.concat(F.lit('{"role":"tool","content":['), F.array_join(content, ","), F.lit("]}"))
-    plain = F.to_json(block(role=F.lit("tool"), content=t))
-    return X.conversations(spark, sf_dir).withColumn(
+    """All texts but the notes as messages of five shapes, with numbers, keys and blanks that a writer of JSON would change."""
+    t, at = F.to_json(F.array("text")), F.col("seq").cast("string")
+    text = t.substr(F.lit(2), F.length(t) - 2)
+    cat = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    blocks = cat(
+        '{"z":1.50,"role":"tool","content":[{"type":"text","text":', text, '}, {"type":"image","data":"AA==","text":"no@x.org"},',
+        '{"text":"mail me at u', at, '\\u0040x.org","n":1e2,"type":"text"}],"a":1,"a":2}',
+    )
+    shape = F.col("seq") % 5
+    return union_texts(*(f(spark, sf_dir) for f in (X.conversations, X.documents, X.pages))).withColumn(
         "message",
-        F.when(F.col("seq") % 3 == 0, blocks)
-        .when(F.col("seq") % 3 == 1, plain)
-        .otherwise(F.to_json(t.cast("variant"))),
+        F.when(shape == 0, blocks)
+        .when(shape == 1, cat('{"id":1234567890, "content":', text, ',"b":10.0,"b":{"content":"deep@x.org"}}'))
+        .when(shape == 2, cat(" ", text, "\n"))
+        .when(shape == 3, cat('{"content":"","content" : ', text, ',"phone":"555-010-9999"}'))
+        .otherwise(cat('{"content":[{"type":"text","text":', text, ',"o":{"type":"text","text":"joe@x.org"}}],"big":123456789012345678901}')),
     )
 
 
-_MESSAGE_TEXT = "text || CASE WHEN seq % 3 = 0 THEN '<NUL>mail me at u' || seq || '@x.org' ELSE '' END"
+_AS_MESSAGE = """CASE seq % 5
+  WHEN 0 THEN '{"z":1.50,"role":"tool","content":[{"type":"text","text":' || to_json(one) || '}, {"type":"image","data":"AA==","text":"no@x.org"},'
+    || '{"text":' || two || ',"n":1e2,"type":"text"}],"a":1,"a":2}'
+  WHEN 1 THEN '{"id":1234567890, "content":' || to_json(one) || ',"b":10.0,"b":{"content":"deep@x.org"}}'
+  WHEN 2 THEN ' ' || to_json(one) || chr(10)
+  WHEN 3 THEN '{"content":"","content" : ' || to_json(one) || ',"phone":"555-010-9999"}'
+  ELSE '{"content":[{"type":"text","text":' || to_json(one) || ',"o":{"type":"text","text":"joe@x.org"}}],"big":123456789012345678901}' END"""
+_NO_NOTES = "NOT starts_with(record_id, 'note-')"
+_MESSAGE_TEXT = "text || CASE WHEN seq % 5 = 0 THEN '<NUL>mail me at u' || seq || '@x.org' ELSE '' END"
 
 
-@query(
-    "extract_text",
-    f"WITH {CORPUS} SELECT record_id, {_MESSAGE_TEXT} AS extracted FROM corpus WHERE starts_with(record_id, 'conv-')",
-)
+@query("extract_text", f"WITH {CORPUS} SELECT record_id, {_MESSAGE_TEXT} AS extracted FROM corpus WHERE {_NO_NOTES}")
 def extract(spark, sf_dir):
     return _messages(spark, sf_dir).select(
         "record_id", F.replace(extract_text("message"), F.lit("\0"), F.lit("<NUL>")).alias("extracted")
@@ -121,18 +129,14 @@ def extract(spark, sf_dir):
 
 @query(
     "replace_text",
-    f"WITH {CORPUS} SELECT record_id, translate({_MESSAGE_TEXT}, 'aeiou', 'AEIOU') AS extracted, "
-    "CASE WHEN seq % 3 = 0 THEN 'AA==' END AS image, CASE WHEN seq % 3 = 0 THEN '1' END AS extra "
-    "FROM corpus WHERE starts_with(record_id, 'conv-')",
+    f"WITH {CORPUS}, x AS (SELECT record_id, seq, translate(text, 'aeiou', 'AEIOU') AS one, "
+    "to_json(translate('mail me at u' || seq || '@x.org', 'aeiou', 'AEIOU')) AS two "
+    f"FROM corpus WHERE {_NO_NOTES}) SELECT record_id, {_AS_MESSAGE} AS message FROM x",
 )
 def replace(spark, sf_dir):
+    """Whole messages: only the text strings differ from what came in."""
     new = replace_text("message", F.translate(extract_text("message"), "aeiou", "AEIOU"))
-    return _messages(spark, sf_dir).select("record_id", new.alias("m")).select(
-        "record_id",
-        F.replace(extract_text("m"), F.lit("\0"), F.lit("<NUL>")).alias("extracted"),
-        F.get_json_object("m", "$.content[1].data").alias("image"),
-        F.get_json_object("m", "$.content[2].n").alias("extra"),
-    )
+    return _messages(spark, sf_dir).select("record_id", new.alias("message"))
 
 
 # --- B: detectors ------------------------------------------------------------
@@ -340,7 +344,7 @@ def allowlist_join(spark, sf_dir):
         F.lit("zip").alias("label"), F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("value")
     )
     spans = corpus(spark, sf_dir).select("record_id", F.inline(detect_structured("text")))
-    return P.drop_allowed(spans, values, by_label).select(
+    return W.drop_allowed(spans, values, by_label).select(
         "record_id", "label", long("start_pos").alias("start_pos"), long("end_pos").alias("end_pos"), F.col("text").alias("span_text")
     )
 
@@ -559,20 +563,19 @@ def tool_result(spark, sf_dir):
 
 
 _MESSAGE_SQL = (
-    f"WITH {CORPUS}, texts AS (SELECT record_id, text || CASE WHEN seq % 3 = 0 THEN chr(1) || 'mail me at u' || seq || '@x.org' ELSE '' END AS text "
-    f"FROM corpus WHERE starts_with(record_id, 'conv-')), {found('texts')}, "
-    f"kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT {ALLOWED}), {resolved('kept')}, {labels_of()}, {replaced()} "
-    "SELECT record_id, n AS entity_count, labels, replace(redacted_text, chr(1), '<NUL>') AS extracted FROM red JOIN labs USING (record_id)"
+    f"WITH {CORPUS}, texts AS (SELECT record_id, seq, text || CASE WHEN seq % 5 = 0 THEN chr(1) || 'mail me at u' || seq || '@x.org' ELSE '' END AS text "
+    f"FROM corpus WHERE {_NO_NOTES}), {found('texts')}, "
+    f"kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT {ALLOWED}), {resolved('kept')}, {labels_of()}, {replaced()}, "
+    "x AS (SELECT record_id, n, labels, seq, CASE WHEN seq % 5 = 0 THEN split_part(redacted_text, chr(1), 1) ELSE redacted_text END AS one, "
+    "to_json(split_part(redacted_text, chr(1), 2)) AS two FROM red JOIN labs USING (record_id) JOIN texts USING (record_id)) "
+    f"SELECT record_id, n AS entity_count, labels, {_AS_MESSAGE} AS message FROM x"
 )
 
 
 @query("tool_result_redact_messages", _MESSAGE_SQL)
 def tool_result_messages(spark, sf_dir):
     df = C.tool_result_redact(_messages(spark, sf_dir), POLICY, message="message")
-    return df.select(
-        "record_id", long("entity_count").alias("entity_count"), names("labels").alias("labels"),
-        F.replace(extract_text("message"), F.lit("\0"), F.lit("<NUL>")).alias("extracted"),
-    )
+    return df.select("record_id", long("entity_count").alias("entity_count"), names("labels").alias("labels"), "message")
 
 
 _SPLICE_SQL = (
@@ -598,24 +601,70 @@ def outbound(spark, sf_dir):
     return _enforced(C.outbound_redact(corpus(spark, sf_dir, "outbound"), POLICY))
 
 
+_LISTED = (
+    "(lower(trim(txt)) IN (SELECT 'user.' || c_custkey || '@corp.example.org' FROM customer WHERE c_custkey % 2 = 0) "
+    "OR (label = 'ZIP_CODE' AND txt IN (SELECT lpad(CAST(p_partkey * 7 + i AS VARCHAR), 5, '0') FROM part, range(7) r(i))))"
+)
+
+
 _LONG_LIST = (
     f"WITH {CORPUS}, texts AS (SELECT * FROM corpus WHERE channel = 'outbound'), {found('texts')}, "
-    "kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT " + ALLOWED + " AND lower(trim(txt)) NOT IN "
-    "(SELECT 'user.' || c_custkey || '@corp.example.org' FROM customer WHERE c_custkey % 2 = 0) AND NOT (label = 'ZIP_CODE' AND txt IN "
-    "(SELECT lpad(CAST(p_partkey * 7 + i AS VARCHAR), 5, '0') FROM part, range(7) r(i))))"
+    f"kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT {ALLOWED} AND NOT {_LISTED})"
     f", {resolved('kept')}, {labels_of()}, {replaced()} SELECT record_id, n AS entity_count, labels, redacted_text FROM red JOIN labs USING (record_id)"
 )
 
 
-@query("outbound_redact_long_allowlist", _LONG_LIST)
-def outbound_long_list(spark, sf_dir):
+def _long_lists(spark, sf_dir) -> W.AllowTables:
     """Allowlists that are tables: half of all customers' addresses, and seven codes per part."""
     values = X.table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(
         F.concat(F.lit(" User."), F.col("c_custkey").cast("string"), F.lit("@CORP.example.org")).alias("value")
     )
     codes = X.table(spark, sf_dir, "part").select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.col("p_partkey") * 7 + i)).alias("n"))
     by_label = codes.select(F.lit("zip").alias("label"), F.lpad(F.col("n").cast("string"), 5, "0").alias("value"))
-    return _enforced(C.outbound_redact(corpus(spark, sf_dir, "outbound"), POLICY, allow=P.AllowTables(values, by_label)))
+    return W.AllowTables(values, by_label)
+
+
+@query("outbound_redact_long_allowlist", _LONG_LIST)
+def outbound_long_list(spark, sf_dir):
+    return _enforced(C.outbound_redact(corpus(spark, sf_dir, "outbound"), POLICY, allow=_long_lists(spark, sf_dir)))
+
+
+@query(
+    "inbound_advisory_allow_tables",
+    full("inbound").replace(f"NOT {ALLOWED}", f"NOT {ALLOWED} AND NOT {_LISTED}") + _SUMMARY_CTES + ", " + _REDACTED_PART + ", " + replaced("rpart")
+    + f" SELECT record_id, {_SUMMARY_COLUMNS}, {_NOTICE} AS notice FROM {_SUMMARY_JOIN} LEFT JOIN red USING (record_id)",
+)
+def inbound_advisory_listed(spark, sf_dir):
+    """Spans of a model joined before, then the lists: the plan above holds a shuffle."""
+    df = C.inbound_advisory(_with_ner(spark, sf_dir, "inbound"), POLICY, ner=True, allow=_long_lists(spark, sf_dir))
+    return df.select("record_id", *_summary_columns(), "notice")
+
+
+_BY_PATTERN = (
+    "(lower(txt) IN (SELECT 'user.' || c_custkey || '@corp.example.org' FROM customer WHERE c_custkey % 2 = 0) "
+    "OR lower(txt) IN (SELECT 'cust.' || c_custkey || '@mail.example.com' FROM customer WHERE c_custkey % 3 = 0) "
+    "OR txt IN (SELECT 'api_key: Bearer key_' || o_orderkey || 'abcdef' FROM orders WHERE o_custkey % 5 = 0) "
+    "OR regexp_full_match(txt, '[0-9]{3}-1[0-9]-[0-9]+[02468]'))"
+)
+
+
+@query(
+    "outbound_redact_pattern_table",
+    f"WITH {CORPUS}, texts AS (SELECT * FROM corpus WHERE channel = 'outbound'), {found('texts')}, "
+    f"kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT {ALLOWED} AND NOT {_BY_PATTERN}), {resolved('kept')}, {labels_of()}, {replaced()} "
+    "SELECT record_id, n AS entity_count, labels, redacted_text FROM red JOIN labs USING (record_id)",
+)
+def outbound_pattern_table(spark, sf_dir):
+    """A pattern for every second customer, every third one, the orders of every fifth, and one without a literal."""
+    customer = X.table(spark, sf_dir, "customer")
+    k, o = F.col("c_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    patterns = (
+        customer.filter("c_custkey % 2 = 0").select(F.concat(F.lit(r"USER\."), k, F.lit(r"@corp\.example\.(?:org|com)")).alias("pattern"))
+        .union(customer.filter("c_custkey % 3 = 0").select(F.concat(F.lit(r"cust[.]"), k, F.lit(r"@mail\.example\.[a-z]{3}"))))
+        .union(X.table(spark, sf_dir, "orders").filter("o_custkey % 5 = 0").select(F.concat(F.lit(r"api_key:\s*Bearer key_"), o, F.lit("[a-f]+"))))
+        .union(customer.limit(1).select(F.lit("[0-9]{3}-1[0-9]-[0-9]+[02468]")))
+    )
+    return _enforced(C.outbound_redact(corpus(spark, sf_dir, "outbound"), POLICY, allow=W.AllowTables(patterns=patterns)))
 
 
 @query("reply_payload_redact", _enforced_sql("reply_payload").replace("labels, redacted_text FROM", "labels, redacted_text, 'm-' || record_id AS media FROM"))

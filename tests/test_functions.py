@@ -201,13 +201,113 @@ def test_extract_and_replace(spark):
 
 
 def test_unreadable_json_hides_nothing(spark):
-    """A message with a repeated key is no variant; its escapes are written out before the search."""
-    from veiltext.functions.messages import extract_text
     from veiltext.plans.channels import tool_result_redact
     from veiltext.sources.policies import Policy
 
-    raw = '{"content":"joe\\u0040x.org, 10\\u00245, \\\\u0041","a":1,"a":2}'
+    raw = '{"content":"joe\\u0040x.org, 10\\u00245, \\\\u0041 \\u00e9\\ud83d\\ude00\\u0022\\ud800","a":1,"a":2'
     df = spark.createDataFrame([("r", raw)], "record_id string, message string")
-    assert df.select(extract_text("message")).head()[0] == '{"content":"joe@x.org, 10$5, \\\\u0041","a":1,"a":2}'
+    assert df.select(extract_text("message")).head()[0] == '{"content":"joe@x.org, 10$5, \\\\u0041 é\U0001f600\\u0022\\ud800","a":1,"a":2'
     out = tool_result_redact(df, Policy(), message="message").head().message
-    assert out == '{"content":"[EMAIL_1], 10$5, \\\\u0041","a":1,"a":2}'
+    assert out.startswith('{"content":"[EMAIL_1], 10$5, \\\\u0041 ') and out.endswith(',"a":1,"a":2')
+
+
+JSON_PARTS = ['"id":1234567890', '"n": 1.50', '"e":1e2', '"big":123456789012345678901234567890', '"a":1,"a":2', '"u":"\\u00e9\\/x@y.org"', '"o":{"content":"deep@x.org","type":"text","text":"t"}', '"l":[[],{},"s"]']
+
+
+def _string(rng, value):
+    """A JSON string of the value with some characters escaped."""
+    import json
+
+    out = "".join(json.dumps(c)[1:-1] if rng.random() < 0.2 else c if c not in '"\\\n' else json.dumps(c)[1:-1] for c in value)
+    return f'"{out}"'
+
+
+def test_messages_stay_as_they_are_but_for_their_text(spark):
+    """Random messages: the text is what a JSON reader gives, and only text strings change, byte for byte."""
+    import json
+    import random
+
+    rng = random.Random(11)
+    words = ["joe@x.org", "a\"b", "\\", "é", "\U0001f600", "\n", "x{y}[z]:,", "content", "text", ""]
+    cases = []
+    for _ in range(400):
+        blank = lambda: rng.choice(["", " ", "\n\t"])
+        say = lambda: " ".join(rng.choices(words, k=rng.randrange(4)))
+        kind = rng.randrange(4)
+        if kind == 0:
+            value = say()
+            cases.append((blank() + _string(rng, value) + blank(), value, [value]))
+            continue
+        parts = [("x", p) for p in rng.sample(JSON_PARTS, rng.randrange(4))]
+        values = []
+        if kind == 1:
+            values = [say()]
+            parts.append(("v", '"content":' + blank() + _string(rng, values[0])))
+        elif kind == 2:
+            blocks = []
+            for _ in range(rng.randrange(5)):
+                fields = ['"type":' + rng.choice(['"text"', '"image"', "5", '"t\\u0065xt"']), '"text":' + blank() + rng.choice([_string(rng, say()), "7", "null"])]
+                fields += rng.sample(JSON_PARTS, rng.randrange(3))
+                rng.shuffle(fields)
+                blocks.append(rng.choice(["{" + ",".join(fields) + "}", "null", '"text"', "{" + ",".join(fields) + "}", '[{"type":"text","text":"in"}]']))
+            parts.append(("b", '"content":[' + (blank() + ",").join(blocks) + "]"))
+        rng.shuffle(parts)
+        raw = "{" + blank() + ",".join(p for _, p in parts) + blank() + "}"
+        doc = json.loads(raw)
+        content = doc.get("content")
+        if isinstance(content, list):
+            values = [b["text"] for b in content if isinstance(b, dict) and b.get("type") == "text" and isinstance(b.get("text"), str)]
+        cases.append((raw, "\0".join(values), values))
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, m string")
+    changed = F.replace(extract_text("m"), F.lit("joe@x.org"), F.lit('[E\\"1]'))
+    got = {r.i: r for r in df.select("i", extract_text("m").alias("t"), replace_text("m", extract_text("m")).alias("same"), replace_text("m", changed).alias("n")).collect()}
+    seen = 0
+    for i, (raw, text, values) in enumerate(cases):
+        assert got[i].t == text and got[i].same == raw, raw
+        want = json.loads(raw)
+        new = [v.replace("joe@x.org", '[E\\"1]') for v in values]
+        if isinstance(want, str):
+            want = new[0]
+        elif isinstance(want.get("content"), str):
+            want["content"] = new[0]
+        elif isinstance(want.get("content"), list):
+            rest = iter(new)
+            for b in want["content"]:
+                if isinstance(b, dict) and b.get("type") == "text" and isinstance(b.get("text"), str):
+                    b["text"] = next(rest)
+        assert json.loads(got[i].n) == want, raw
+        outside = [p for p in JSON_PARTS if p in raw]
+        assert all(p in got[i].n for p in outside)
+        seen += new != values
+    assert seen > 50
+
+
+def test_repeated_keys_and_one_value_only(spark):
+    cases = {
+        '{"content":"x@y.org","content":"b"}': ("b", '{"content":"","content":"B"}'),
+        '{"content":[{"type":"text","text":"x@y.org"}],"content":"b"}': ("b", '{"content":[{"type":"text","text":""}],"content":"B"}'),
+        '{"content":"x@y.org","content":[{"text":"1","type":"text","text":"b"}]}': ("b", '{"content":"","content":[{"text":"","type":"text","text":"B"}]}'),
+        '{"content":"x","content":5}': ("", '{"content":"x","content":5}'),
+        '"a" "b"': ('"a" "b"', "B"),
+        '{"content":"a"} x': ('{"content":"a"} x', "B"),
+        '["a"],["b"]': ('["a"],["b"]', "B"),
+        '{"content":"\\x"}': ('{"content":"\\x"}', "B"),
+        '{"c\\u006Fntent":"b"}': ("b", '{"c\\u006Fntent":"B"}'),
+    }
+    df = spark.createDataFrame([(m,) for m in cases], "m string")
+    assert {r.m: (r.t, r.n) for r in df.select("m", extract_text("m").alias("t"), replace_text("m", F.lit("B")).alias("n")).collect()} == cases
+
+
+def test_long_messages(spark):
+    """A string of a million escapes, and five thousand blocks, in reasonable time."""
+    import json
+    import time
+
+    one = json.dumps({"content": "é" * 300_000 + 'q"' * 100_000})
+    many = json.dumps({"content": [{"type": "text", "text": f"t{i}"} for i in range(5_000)]})
+    df = spark.createDataFrame([(1, one), (2, many)], "i int, m string")
+    start = time.time()
+    out = {r.i: r for r in df.select("i", extract_text("m").alias("t"), replace_text("m", F.upper(extract_text("m"))).alias("n")).collect()}
+    assert time.time() - start < 60
+    assert out[1].t == json.loads(one)["content"] and json.loads(out[1].n)["content"] == out[1].t.upper()
+    assert out[2].t.split("\0")[4_999] == "t4999" and json.loads(out[2].n)["content"][7] == {"type": "text", "text": "T7"}

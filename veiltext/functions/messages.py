@@ -1,8 +1,7 @@
 """Text in and out of nested messages held as JSON strings.
 
-A message is a JSON string, an object with string content, or an object with a
-list of content blocks.  Blocks and unknown fields stay JSON text throughout,
-so all that is not replaced comes out as it went in.
+A message is a JSON string, an object with string content, or an object with a list of content blocks.  All that is not
+replaced comes out byte for byte as it went in (see ``json_strings``).
 """
 
 from __future__ import annotations
@@ -10,132 +9,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrays import emit, fold_emit, let
+from .arrays import let
+from .json_strings import message_strings, unescaped, unquoted, with_strings
 
 # --- fixed value: separates the text blocks of one message
 SEGMENT = "\u0000"
 # ---
 
 
-def _is_text_block(block: Column) -> Column:
-    """Whether a block, as a variant, is of type text with a string in ``text``."""
-    return (
-        (F.try_variant_get(block, "$.type", "string") == "text")
-        & (F.schema_of_variant(F.try_variant_get(block, "$.type", "variant")) == "STRING")
-        & (F.schema_of_variant(F.try_variant_get(block, "$.text", "variant")) == "STRING")
-    )
-
-
-def _blocks(content: Column) -> Column:
-    return content.cast("array<variant>")
-
-
-def _kind(value: Column) -> Column:
-    """STRING, ARRAY, OBJECT, ... of a variant; VOID when there is none."""
-    return F.coalesce(F.regexp_extract(F.schema_of_variant(value), r"\A\w+", 0), F.lit("VOID"))
-
-
-def _text_blocks(content: Column) -> Column:
-    return F.filter(_blocks(content), lambda b: F.coalesce(_is_text_block(b), F.lit(False)))
-
-
-def _unescaped(col: Column) -> Column:
-    """JSON that cannot be read as such (a repeated key, too large), with its printable escapes written out.
+def extract_text(message: Column | str) -> Column:
+    """The text of a message; several blocks are joined by NUL so that offsets span all of them.
 
-    It is searched as it stands, so no value may hide behind ``\\u0040`` and the like; what is written
-    out is the same JSON.
+    Of repeated keys the last one counts.  What is no JSON at all is taken as plain text, so that it is searched too.
     """
-    pairs = []
-    for code in range(0x20, 0x7F):
-        if chr(code) in '"\\':
-            continue
-        digits = "".join(f"[{d}{d.upper()}]" if d.isalpha() else d for d in f"{code:04x}")
-        shown = "\\$" if chr(code) == "$" else chr(code)
-        pattern = r"(?<!\\)((?:\\\\)*)\\u" + digits
-        pairs.append(F.struct(F.lit(pattern).alias("p"), F.lit("$1" + shown).alias("r")))
-    written = F.aggregate(F.array(*pairs), col, lambda acc, x: F.regexp_replace(acc, x["p"], x["r"]))
-    return F.when(col.rlike(r"\A\s*[\[{\"]") & col.contains("\\u00"), written).otherwise(col)
-
-
-def extract_text(message: Column | str) -> Column:
-    """The text of a message; several blocks are joined by NUL so that offsets span all of them."""
     col = F.col(message) if isinstance(message, str) else message
 
-    def read(doc: Column) -> Column:
-        content = F.when(_kind(doc) == "OBJECT", F.try_variant_get(doc, "$.content", "variant"))
+    def read(parts: Column) -> Column:
+        texts = F.transform(parts["texts"], lambda at: unquoted(F.get(parts["strings"], at)))
+        return F.when(parts["readable"], F.array_join(texts, SEGMENT)).otherwise(unescaped(col))
 
-        def from_content(c: Column) -> Column:
-            texts = F.transform(_text_blocks(c), lambda b: F.variant_get(b, "$.text", "string"))
-            return (
-                F.when(_kind(c) == "STRING", F.try_variant_get(c, "$", "string"))
-                .when(_kind(c) == "ARRAY", F.array_join(texts, SEGMENT))
-                .otherwise(F.lit(""))
-            )
-
-        return F.when(_kind(doc) == "STRING", F.try_variant_get(doc, "$", "string")).otherwise(
-            let(content, from_content)
-        )
-
-    # What is no JSON at all is taken as plain text, so that it is scanned too.
-    return let(
-        F.try_parse_json(col),
-        lambda doc: F.coalesce(F.when(doc.isNull(), _unescaped(col)).otherwise(read(doc)), F.lit("")),
-    )
-
-
-def _quoted(value: Column) -> Column:
-    return F.to_json(value.cast("variant"))
-
-
-def _object_with(fields: Column, key: str, json: Column) -> Column:
-    """An object's JSON with one field replaced; ``fields`` is a map of variants."""
-    parts = F.transform(
-        F.map_entries(fields),
-        lambda e: F.concat(
-            _quoted(e["key"]),
-            F.lit(":"),
-            F.when(e["key"] == key, json).otherwise(F.to_json(e["value"])),
-        ),
-    )
-    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+    return F.coalesce(let(message_strings(col), read), F.lit(""))
 
 
 def replace_text(message: Column | str, redacted: Column | str) -> Column:
-    """The message with its text blocks replaced, in order, by the segments of ``redacted``."""
+    """The message with its text, or its text blocks in order, replaced by ``redacted`` (its segments between NULs).
+
+    A message without text is unchanged; one that is no JSON is replaced as a whole.
+    """
     col = F.col(message) if isinstance(message, str) else message
     new = F.col(redacted) if isinstance(redacted, str) else redacted
 
-    def blocks_json(content: Column, segments: Column) -> Column:
-        def over(blocks: Column) -> Column:
-            def step(k: Column, i: Column) -> Column:
-                block = F.get(blocks, i)
-                hit = F.coalesce(_is_text_block(block), F.lit(False)) & (k < F.size(segments))
-                changed = _object_with(
-                    block.cast("map<string,variant>"), "text", _quoted(F.get(segments, k))
-                )
-                json = F.when(hit, changed).otherwise(F.coalesce(F.to_json(block), F.lit("null")))
-                return emit(F.array(json), F.when(hit, k + 1).otherwise(k))
-
-            return F.array_join(fold_emit(F.size(blocks), "string", F.lit(0), step), ",")
-
-        return F.concat(F.lit("["), let(_blocks(content), over), F.lit("]"))
-
-    def write(doc: Column) -> Column:
-        def with_content(c: Column) -> Column:
-            json = F.when(_kind(c) == "STRING", _quoted(new)).when(
-                _kind(c) == "ARRAY", let(F.split(new, SEGMENT, -1), lambda s: blocks_json(c, s))
-            )
-            return F.when(
-                json.isNotNull(),
-                let(json, lambda j: _object_with(doc.cast("map<string,variant>"), "content", j)),
-            )
-
-        content = F.when(_kind(doc) == "OBJECT", F.try_variant_get(doc, "$.content", "variant"))
-        return F.when(_kind(doc) == "STRING", _quoted(new)).otherwise(let(content, with_content))
+    def write(parts: Column) -> Column:
+        segments = F.when(parts["blocks"], F.split(new, SEGMENT, -1)).otherwise(F.array(new))
+        rewritten = F.when(F.size(parts["texts"]) > 0, let(segments, lambda each: with_strings(parts, each))).otherwise(col)
+        return F.when(parts["readable"], rewritten).otherwise(new)
 
-    return let(
-        F.try_parse_json(col),
-        lambda doc: F.when(doc.isNull(), F.when(col.isNull(), col).otherwise(new)).otherwise(
-            F.coalesce(write(doc), col)
-        ),
-    )
+    return F.when(col.isNotNull(), let(message_strings(col), write))

@@ -31,6 +31,11 @@ def fold_value(value: str) -> str:
     return re.sub(rf"\A[{_PYTHON_SPACE}]+|[{_PYTHON_SPACE}]+\Z", "", value).lower()
 
 
+def compiles(pattern: Column) -> Column:
+    """Whether the JVM, where patterns run, takes a pattern."""
+    return F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern).isNotNull()
+
+
 def blocks_of(text: Column) -> Column:
     """The text cut into blocks of ``SLICE_BLOCK`` code points."""
     return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{SLICE_BLOCK}}}"), F.lit(0))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import empty_array, let
 from ..functions.labels import canonical_label
-from ..functions.text import strip
+from ..functions.text import compiles, strip
 from ..sources.policies import DEFAULT_MODEL, MAX_PATTERN_CHARS, NESTED_QUANTIFIER, RULES, Rule
 
 _VIOLATION = "struct<path:string,rule:string,value:string>"
@@ -26,11 +26,6 @@ def _number(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-def _compiles(pattern: Column) -> Column:
-    """Whether the JVM, where patterns run, takes a pattern."""
-    return F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern).isNotNull()
-
-
 def _violation(path: Column, rule: Column | str, value: Column) -> Column:
     return F.struct(
         path.alias("path"),
@@ -161,7 +156,7 @@ def _pattern_fault(p: Column) -> Column:
         F.when(p == "", F.lit(None).cast("string"))
         .when(F.length(p) > MAX_PATTERN_CHARS, F.lit("pattern_too_long"))
         .when(p.rlike(NESTED_QUANTIFIER), F.lit("nested_quantifier"))
-        .when(~_compiles(p), F.lit("invalid_regex"))
+        .when(~compiles(p), F.lit("invalid_regex"))
     )
 
 

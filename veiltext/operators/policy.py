@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.labels import canonical_label
 from ..functions.text import fold_case, fold_value
 from ..sources.policies import MAX_SUBJECT_CHARS, Policy
 
+
 def _by_label(label: Column, table: dict, default) -> Column:
     if not table:
         return F.lit(default)
@@ -73,71 +72,13 @@ def drop_allowed_inline(spans: Column, policy: Policy) -> Column:
     """The spans that are not allowlisted; an empty list leaves no trace in the plan.
 
     A policy's own entries, however many, are hash sets in the expression: they come from a file
-    that the driver holds anyway.  Lists that live in tables are joined, see ``drop_listed``.
+    that the driver holds anyway.  Lists that live in tables are joined, see ``allowing.drop_listed``.
     """
     if allowed(F.struct(F.lit("").alias("text"), F.lit("").alias("label")), policy) is None:
         return spans
     return F.filter(spans, lambda e: ~allowed(e, policy))
 
 
-@dataclass(frozen=True)
-class AllowTables:
-    """Allowlists as tables of any size: ``values(value)`` and ``label_values(label, value)``."""
-
-    values: DataFrame | None = None
-    label_values: DataFrame | None = None
-
-    def keys(self) -> list[tuple[list[str], DataFrame]]:
-        """The columns to join spans on, and the folded entries, each once."""
-        out = []
-        if self.values is not None:
-            keys = self.values.select(fold_case(F.col("value")).alias("_key"))
-            out.append((["_key"], keys.filter("_key <> ''").distinct()))
-        if self.label_values is not None:
-            keys = self.label_values.select(
-                canonical_label("label").alias("label"), fold_case(F.col("value")).alias("_key")
-            )
-            out.append((["label", "_key"], keys.filter("_key <> ''").distinct()))
-        return out
-
-
-def drop_listed(records: DataFrame, spans: str, allow: AllowTables) -> DataFrame:
-    """Records whose array column ``spans`` has lost the spans that a table allows.
-
-    Only span values move: each record's spans go out as (row, place, folded text), what a table
-    holds comes back as the row's places.  Hot values meet a table that has each value once, so the
-    join can be split.  No join is forced to broadcast.
-    """
-    rows = records.withColumn("_row", F.monotonically_increasing_id())
-    flat = rows.select("_row", F.posexplode(spans).alias("_place", "_e")).select(
-        "_row", "_place", F.col("_e.label").alias("label"), fold_case(F.col("_e.text")).alias("_key")
-    )
-    listed = None
-    for on, keys in allow.keys():
-        hit = flat.join(keys, on, "left_semi").select("_row", "_place")
-        listed = hit if listed is None else listed.union(hit)
-    if listed is None:
-        return records
-    places = listed.groupBy("_row").agg(F.collect_set("_place").alias("_places"))
-    kept = F.filter(spans, lambda e, i: ~F.array_contains("_places", i))
-    out = rows.join(places, "_row", "left")
-    return out.withColumn(
-        spans, F.when(F.col("_places").isNull(), F.col(spans)).otherwise(kept)
-    ).drop("_row", "_places")
-
-
-def drop_allowed(
-    entities: DataFrame,
-    values: DataFrame | None = None,
-    label_values: DataFrame | None = None,
-) -> DataFrame:
-    """``drop_listed`` over one row per span."""
-    out = entities.withColumn("_key", fold_case(F.col("text")))
-    for on, keys in AllowTables(values, label_values).keys():
-        out = out.join(keys, on, "left_anti")
-    return out.select(*entities.columns)
-
-
 def plan_of(entities: Column | str, policy: Policy) -> Column:
     """``struct(blocked, warned, redacted)``: the spans by the action of their label."""
     col = F.col(entities) if isinstance(entities, str) else entities

@@ -16,11 +16,10 @@ from ..functions.messages import extract_text, replace_text
 from ..functions.overlap import resolve_overlaps
 from ..functions.redact import placeholders, redact
 from ..functions.schema import ENTITIES, MAPPING_ENTRY
+from ..operators.allowing import AllowTables, drop_listed
 from ..operators.policy import (
-    AllowTables,
     distinct_labels,
     drop_allowed_inline,
-    drop_listed,
     keep_confident,
     plan_of,
     summary_of,
