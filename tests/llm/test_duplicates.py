@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import CLASHING, awkward, corpus, prose, table
@@ -13,7 +14,7 @@ from veiltext.llm.banding import bands_for
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
 from veiltext.llm.near_copies import drop_near_copies
-from veiltext.llm.op6_lines import _signed, line_dedup
+from veiltext.llm.op6_lines import RECALL, _signed, line_dedup, minima, shingles
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
 from veiltext.llm.queries import QUERIES
@@ -104,11 +105,7 @@ def normal(line):
 
 
 def line_shingles(line):
-    out = set()
-    for word in re.finditer(r"[^ \t\n\x0b\f\r]+", line):
-        for i in range(word.start(), max(word.start() + 1, word.end() - 9)):
-            out.add(line[i : i + 10])
-    return out
+    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
 
 
 def plain_line_dedup(rows, similarity=0.8):
@@ -251,17 +248,43 @@ def test_overlapping_shingles_link_lines_with_a_changed_character(spark, tmp_pat
     assert [got[d] for d in range(300, 305)] == ["\U0001f600b", "", "ab", "abcde", "a" * 3000]
 
 
-@pytest.mark.parametrize("n", [18, 27])
-def test_line_bands_meet_at_the_least_similarity(spark, n):
-    rng = random.Random(50 + n)
+def test_line_bands_meet_at_the_least_similarity(spark):
+    """Pairs of Jaccard 0.8 in the runs that the query compares: of n runs all but the last n/9 are shared."""
+    rng, sizes, each = random.Random(50), (18, 27, 54, 135), 4000
     pairs = []
-    for _ in range(3000):  # words of ten characters are one shingle each; sixteen of eighteen shared are Jaccard 0.8
-        words = [f"{rng.getrandbits(40):010x}" for _ in range(n + n // 9)]
-        pairs.append((" ".join(words[:n]), " ".join(words[n // 9 :])))
-    docs = spark.createDataFrame([(k, k, "\n".join(p)) for k, p in enumerate(pairs)], "row_key long, doc_id long, text string")
-    bands = {r.h1: set(r.bands) for r in _signed(docs, 0.8).select("h1", "bands").collect()}
-    hashed = spark.createDataFrame(pairs, "a string, b string").selectExpr("xxhash64(a) as a", "xxhash64(b) as b").collect()
-    assert sum(bool(bands[r.a] & bands[r.b]) for r in hashed) / len(pairs) >= 0.993
+    for n in sizes:
+        for _ in range(each):
+            shared, a, b = (f"{rng.getrandbits(4 * k):0{k}x}" for k in (n + 4 - n // 9, n // 9, n // 9))
+            pairs.append((n, shared + a, shared + b))
+    docs = spark.createDataFrame([(k, k, f"{a}\n{b}") for k, (_, a, b) in enumerate(pairs)], "row_key long, doc_id long, text string")
+    bands = {r.line: set(r.bands) for r in _signed(docs, 0.8).select("line", "bands").collect()}
+    for n in sizes:
+        assert sum(bool(bands[a] & bands[b]) for m, a, b in pairs if m == n) / each >= RECALL - 0.002, n
+
+
+def test_minima_against_a_walk(spark):
+    """The least hash of each range, and of the next filled one where a range is empty."""
+    rng = random.Random(7)
+    rows = [[rng.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 5, 24, 200)] + [[-(1 << 63)], [(1 << 63) - 1], [0, 0, -1]]
+    got = [r.m for r in spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, h array<long>").orderBy("i").select(minima(F.col("h"), 24).alias("m")).collect()]
+    for row, found in zip(rows, got, strict=True):
+        least = {}
+        for h in row:
+            k = (((h >> 40) + (1 << 23)) * 24) >> 24
+            least[k] = min(h, least.get(k, h))
+        assert found == [next(least[(k + j) % 24] for j in range(24) if (k + j) % 24 in least) for k in range(24)]
+
+
+def test_shingles_of_long_lines(spark):
+    """Lines around the length that is cut: as many runs, and the same ones, as a plain walk finds."""
+    rng = random.Random(8)
+    lines = ["".join(rng.choice("abcé\U0001f600") for _ in range(n)) for n in (1, 4, 5, 511, 512, 513, 515, 516, 517, 1024, 1028, 5000)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.line: sorted(r.s) for r in df.select("line", shingles(F.col("line")).alias("s")).collect()}
+    runs = [(x, x[i : i + 5]) for x in lines for i in range(max(1, len(x) - 4))]
+    hashed = {r.s: r.h for r in spark.createDataFrame([(r,) for r in {r for _, r in runs}], "s string").select("s", F.xxhash64("s").alias("h")).collect()}
+    for x in lines:
+        assert got[x] == sorted(hashed[r] for y, r in runs if y == x)
 
 
 @pytest.mark.parametrize("n", [18, 27])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veiltext.functions.arrays import let
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
 
@@ -24,11 +27,17 @@ def meetings(items: DataFrame, work: Work) -> DataFrame:
     return work.save(bands.join(heads, "band").select("band", "node", "head"))
 
 
-def _close(a: str, b: str, similarity: float) -> Column:
-    """Whether two sets are similar; the sizes are looked at first."""
-    n, m = F.size(a), F.size(b)
-    shared = F.size(F.array_intersect(a, b))
-    return (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
+def _close(a: str, b: str, similarity: float, as_set: Callable[[Column], Column] | None = None) -> Column:
+    """Whether two sets are similar; the sizes are looked at first. as_set: makes the sets from what the columns hold."""
+
+    def near(a: Column, b: Column) -> Column:
+        n, m = F.size(a), F.size(b)
+        shared = F.size(F.array_intersect(a, b))
+        return (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
+
+    if as_set is None:
+        return near(F.col(a), F.col(b))
+    return let(F.struct(as_set(F.col(a)).alias("a"), as_set(F.col(b)).alias("b")), lambda x: near(x["a"], x["b"]))
 
 
 def _relabelled(rows: DataFrame, links: DataFrame, work: Work) -> DataFrame:
@@ -43,10 +52,10 @@ def _undecided(rows: DataFrame) -> DataFrame:
     return rows.join(several, "band")
 
 
-def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, rounds: int = 2) -> DataFrame:
+def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, as_set: Callable[[Column], Column] | None = None, rounds: int = 2) -> DataFrame:
     """node, label: the component of every item that has a similar other item.
 
-    met: from meetings(). sets: node, set (an array of different hashes) of its nodes. In a band all items are first
+    met: from meetings(). sets: node, set (an array of different hashes, or what as_set makes one of) of its nodes. In a band all items are first
     compared with its smallest one, which is one row each; what then lies in one component needs no more comparing.
     In the bands that still hold several components all items are compared with one drawn by hash, `rounds` times,
     and at last all pairs of items of different components with each other, so that no pair is left out. Labels are
@@ -55,7 +64,7 @@ def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, roun
     own = sets.withColumnRenamed("set", "own")
     heads = sets.select(F.col("node").alias("head"), F.col("set").alias("other"))
     pairs = met.where("node <> head").select("node", "head").distinct().join(own, "node").join(heads, "head")
-    first = work.save(pairs.where(_close("own", "other", similarity)).select(F.col("head").alias("a"), F.col("node").alias("b")))
+    first = work.save(pairs.where(_close("own", "other", similarity, as_set)).select(F.col("head").alias("a"), F.col("node").alias("b")))
     start = met.select("node").distinct().withColumn("label", F.col("node"))
     labels = work.save(_relabelled(start, first, work))
     rest = work.save(_undecided(met.select("band", "node").join(labels, "node")))
@@ -66,13 +75,13 @@ def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, roun
             drawn = rest.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", F.col("label").alias("other_label"))).alias("h"))
             drawn = drawn.select("band", F.col("h.node").alias("head"), "h.other_label")
             rows = rest.join(drawn, "band").where("label <> other_label").select("node", "label", "head", "other_label").distinct()
-            close = rows.join(sets, "node").join(heads, "head").where(_close("set", "other", similarity))
+            close = rows.join(sets, "node").join(heads, "head").where(_close("set", "other", similarity, as_set))
             links = close.select(F.least("label", "other_label").alias("a"), F.greatest("label", "other_label").alias("b"))
         else:
             wide = rest.join(sets, "node")
             left, right = (wide.select("band", F.col("label").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
             apart = (left.band == right.band) & (F.col("a") < F.col("b"))
-            links = left.join(right, apart & _close("set_a", "set_b", similarity)).select("a", "b")
+            links = left.join(right, apart & _close("set_a", "set_b", similarity, as_set)).select("a", "b")
         links = work.save(links.distinct())
         if links.limit(1).count():
             labels = work.save(_relabelled(labels, links, work))
