@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veiltext.llm.common import Work
-from veiltext.llm.near_copies import drop_near_copies
 from veiltext.llm.op3_decontaminate import drop_contaminated
 from veiltext.llm.op5_packing import pack
 from veiltext.llm.op6_lines import line_dedup
+from veiltext.llm.op7_simhash import drop_near_duplicates
 from veiltext.llm.op8_toxicity import drop_toxic
 
 
@@ -20,13 +20,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each group of similar lines stays; n_chars is counted anew."""
-    kept = line_dedup(docs, overlapping=True)
+    kept = line_dedup(docs)
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard of 5-word shingles at least 0.8) stays."""
-    return drop_near_copies(docs)
+    """One document of each group of near copies (SimHash of 3-word shingles, 3 bits at most) stays."""
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
