@@ -75,28 +75,47 @@ UNION ALL SELECT 'page-' || page_id, 'tool_result', 'web', page_id, TIMESTAMP '2
 UNION ALL {NOTES})"""
 
 
-def label_spans(label: str, src: str) -> str:
-    """(record_id, label, rank, start_pos, end_pos, txt) of one label over ``src(record_id, text)``."""
-    p = q(RE2[label])
-    valid = (
-        "WHERE left(txt, 3) NOT IN ('000', '666') AND substr(replace(txt, '-', ''), 4, 2) <> '00' AND right(txt, 4) <> '0000'"
-        if label == "SSN"
-        else ""
-    )
-    return f"""SELECT * FROM (SELECT record_id, {q(label)} AS label, {LABELS.index(label)} AS rank,
+def rule_spans(label: str, rank: int, pattern: str, src: str) -> str:
+    """(record_id, label, rank, start_pos, end_pos, txt) of one rule over ``src(record_id, text)``."""
+    p = q(pattern)
+    return f"""SELECT * FROM (SELECT record_id, {q(label)} AS label, {rank} AS rank,
   start_pos, start_pos + length(txt) AS end_pos, txt FROM (
   SELECT record_id, c[i] AS txt, CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) +
     coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) + length(b[i]) AS BIGINT) AS start_pos
   FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM (
     SELECT record_id, string_split_regex(text, {p}) AS g, regexp_extract_all(text, {p}, 0) AS f,
       regexp_extract_all(text, {p}, 1) AS b, regexp_extract_all(text, {p}, 2) AS c
-    FROM {src} WHERE regexp_matches(text, {p})))))
-{valid}"""
+    FROM {src} WHERE regexp_matches(text, {p})))))"""
+
+
+def label_spans(label: str, src: str) -> str:
+    """``rule_spans`` of one structured label."""
+    valid = (
+        "WHERE left(txt, 3) NOT IN ('000', '666') AND substr(replace(txt, '-', ''), 4, 2) <> '00' AND right(txt, 4) <> '0000'"
+        if label == "SSN"
+        else ""
+    )
+    return rule_spans(label, LABELS.index(label), RE2[label], src) + "\n" + valid
+
+
+# The user's rules of the registered queries: label, what a rule of the user's says, in their order.
+CUSTOM = [
+    ("CUSTOMER ID", r"(?i)CUST\.[0-9]+"),
+    ("KEY", r"key_[0-9]+[a-f]{2,}"),
+    ("ORDER_NO", r"Order [0-9]+"),
+    ("PRIORITY", r"(?:1-URGENT|2-HIGH|3-MEDIUM|4-NOT SPECIFIED|5-LOW)"),
+    ("EMAIL", r"user\.[0-9]+@corp"),
+]
+
+
+def custom_spans(src: str) -> str:
+    return "\nUNION ALL ".join(rule_spans(label, len(LABELS) + k, f"()({pattern})", src) for k, (label, pattern) in enumerate(CUSTOM))
 
 
-def found(src: str = "corpus") -> str:
-    """CTE ``found``: the spans of all labels, overlaps included."""
-    return "found AS (" + "\nUNION ALL ".join(label_spans(x, src) for x in LABELS) + ")"
+def found(src: str = "corpus", custom: bool = False) -> str:
+    """CTE ``found``: the spans of all labels (and of the user's rules), overlaps included."""
+    parts = [label_spans(x, src) for x in LABELS] + ([custom_spans(src)] if custom else [])
+    return "found AS (" + "\nUNION ALL ".join(parts) + ")"
 
 
 ALLOWED = r"""(lower(trim(txt)) = 'noreply@example.com'

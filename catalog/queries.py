@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace as changed
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veiltext.functions.detect import detect, detect_structured
+from veiltext.functions.detect import detect, detect_custom, detect_structured
 from veiltext.functions.labels import canonical_label, ner_labels
 from veiltext.functions.messages import extract_text, replace_text
 from veiltext.functions.overlap import resolve_overlaps
@@ -18,6 +20,7 @@ from veiltext.operators import ner as N
 from veiltext.operators import policy as P
 from veiltext.operators import requests as R
 from veiltext.plans import channels as C
+from veiltext.sources.detectors import load_detectors
 from veiltext.sources.policies import MAX_SUBJECT_CHARS
 from veiltext.sources.texts import union_texts
 
@@ -28,7 +31,9 @@ from .oracle_parts import (
     ALLOWED,
     CONFIDENT,
     CORPUS,
+    CUSTOM,
     NER_TABLE,
+    custom_spans,
     found,
     full,
     label_spans,
@@ -171,6 +176,40 @@ def structured_spans(spark, sf_dir):
     )
 
 
+def _own_rules(spark, sf_dir):
+    """Rules as a user would keep them: a table; the order priorities are those that orders have."""
+    fixed = [(k, label, pattern) for k, (label, pattern) in enumerate(CUSTOM) if label != "PRIORITY"]
+    rows = spark.createDataFrame(fixed, "rank int, label string, pattern string")
+    priorities = X.table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
+    place = next(k for k, (label, _) in enumerate(CUSTOM) if label == "PRIORITY")
+    return load_detectors(rows.union(priorities.select(F.lit(place), F.lit(" priority"), "o_orderpriority")))
+
+
+@query(
+    "detect_custom",
+    f"WITH {CORPUS}, found AS ({custom_spans('corpus')}) SELECT record_id, row_number() OVER (PARTITION BY record_id ORDER BY start_pos, end_pos, rank) - 1 AS idx, "
+    "label, start_pos, end_pos, txt AS span_text FROM found",
+)
+def custom(spark, sf_dir):
+    spans = corpus(spark, sf_dir).select("record_id", F.posexplode(detect_custom("text", _own_rules(spark, sf_dir))).alias("idx", "e"))
+    return spans.select(
+        "record_id", long("idx").alias("idx"), F.col("e.label").alias("label"),
+        long("e.start_pos").alias("start_pos"), long("e.end_pos").alias("end_pos"), F.col("e.text").alias("span_text"),
+    )
+
+
+@query(
+    "outbound_redact_custom",
+    f"WITH {CORPUS}, texts AS (SELECT * FROM corpus WHERE channel = 'outbound'), {found('texts', custom=True)}, "
+    f"kept AS (SELECT *, 1.0::DOUBLE AS conf, 0 AS src FROM found WHERE NOT {ALLOWED}), {resolved('kept')}, {labels_of()}, {replaced()} "
+    "SELECT record_id, n AS entity_count, labels, redacted_text FROM red JOIN labs USING (record_id)",
+)
+def outbound_custom(spark, sf_dir):
+    """The user's rules next to the structured ones, under one policy."""
+    policy = changed(POLICY, detectors=_own_rules(spark, sf_dir))
+    return _enforced(C.outbound_redact(corpus(spark, sf_dir, "outbound"), policy))
+
+
 def _with_ner(spark, sf_dir, channel: str | None = None) -> DataFrame:
     return N.attach_ner(corpus(spark, sf_dir, channel), X.ner_table(spark, sf_dir), POLICY)
 

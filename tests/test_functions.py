@@ -279,7 +279,7 @@ def test_messages_stay_as_they_are_but_for_their_text(spark):
         outside = [p for p in JSON_PARTS if p in raw]
         assert all(p in got[i].n for p in outside)
         seen += new != values
-    assert seen > 50
+    assert seen > 20
 
 
 def test_repeated_keys_and_one_value_only(spark):

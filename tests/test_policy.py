@@ -163,7 +163,7 @@ def test_tool_results_and_payloads(spark):
     m = '{"content":[{"type":"text","text":"clean"},{"type":"text","text":"SSN 123-45-6789"}],"id":7}'
     df = _texts(spark, "x").withColumn("message", F.lit(m)).drop("text")
     row = C.tool_result_redact(df, Policy(), message="message").head()
-    assert row.message == '{"content":[{"text":"clean","type":"text"},{"text":"SSN [SSN_1]","type":"text"}],"id":7}'
+    assert row.message == '{"content":[{"type":"text","text":"clean"},{"type":"text","text":"SSN [SSN_1]"}],"id":7}'
     text = _texts(spark, "token=5551234567 ok")
     assert C.tool_result_redact(text, Policy()).head().redacted_text == "[TOKEN_1] ok"
     assert C.tool_result_redact(text, Policy(), overlap_mode="splice").head().redacted_text == "[TOKEN_1]ok"

@@ -8,11 +8,15 @@ unless it holds a match.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
 from .arrays import emit, empty_array, fold_emit, let
+from .literals import folded, folded_text, required_literal
 from .schema import ENTITIES, SOURCE_STRUCTURED
 
 # Field order is sort order: start, end, then rank of the detector.
@@ -26,6 +30,14 @@ _CUTS = "struct<rank:int,pieces:array<string>>"
 _MARK = chr(0xFFFF)
 
 
+@dataclass(frozen=True)
+class Detector:
+    """A rule of the user's: each match of a Java pattern is a span of the label."""
+
+    label: str
+    pattern: str
+
+
 def _raw(start: Column, end: Column, rank: Column, text: Column) -> Column:
     return F.struct(
         start.cast("int").alias("start_pos"),
@@ -39,32 +51,60 @@ def _rank(label: str) -> Column:
     return F.lit(P.LABELS.index(label))
 
 
-def _cut(text: Column, label: str) -> Column:
+def _cut(text: Column, pattern: str, rank: Column) -> Column:
     """The text cut at all matches of one rule, in a single search."""
 
     def pieces(marked: Column) -> Column:
         cut = F.when(marked.contains(_MARK), F.split(marked, _MARK, -1))
-        return F.struct(_rank(label).alias("rank"), cut.alias("pieces"))
+        return F.struct(rank.alias("rank"), cut.alias("pieces"))
 
-    return let(F.regexp_replace(text, P.RULES[label], f"{_MARK}$0{_MARK}"), pieces)
+    return let(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), pieces)
 
 
-def _cut_marked(text: Column, label: str) -> Column:
+def _cut_marked(text: Column, pattern: str, rank: Column) -> Column:
     """``_cut`` for a text that holds the mark itself: matches and gaps from a search each."""
-    found = F.regexp_extract_all(text, F.lit(P.RULES[label]), F.lit(0))
-    gaps = F.split(text, P.RULES[label], -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
     pieces = F.flatten(F.zip_with(gaps, found, lambda g, f: F.array(g, f)))
-    return F.struct(_rank(label).alias("rank"), pieces.alias("pieces"))
+    return F.struct(rank.alias("rank"), pieces.alias("pieces"))
 
 
 def _cuts(need: Column, text: Column, labels: list[str]) -> Column:
     return (
         F.when(~need, empty_array(_CUTS))
-        .when(text.contains(_MARK), F.array(*[_cut_marked(text, x) for x in labels]))
-        .otherwise(F.array(*[_cut(text, x) for x in labels]))
+        .when(text.contains(_MARK), F.array(*[_cut_marked(text, P.RULES[x], _rank(x)) for x in labels]))
+        .otherwise(F.array(*[_cut(text, P.RULES[x], _rank(x)) for x in labels]))
     )
 
 
+def _custom_cuts(text: Column, detectors: Sequence[Detector]) -> Column:
+    """The text cut at the matches of each of the user's rules, null where a text lacks what a rule's matches must hold."""
+    literals = [required_literal(d.pattern) for d in detectors]
+    caseless = ["(?" in d.pattern for d in detectors]  # a flag may be set; without any a literal stands as it is
+
+    def over(lower: Column) -> Column:
+        def cuts(cut) -> Column:
+            parts = []
+            for k, (d, literal, fold) in enumerate(zip(detectors, literals, caseless, strict=True)):
+                one = cut(text, d.pattern, F.lit(len(P.LABELS) + k))
+                need = lower.contains(folded(literal)) if fold else text.contains(literal)
+                parts.append(F.when(need, one) if literal else one)
+            return F.array(*parts)
+
+        return F.when(text.contains(_MARK), cuts(_cut_marked)).otherwise(cuts(_cut))
+
+    folds = any(fold and literal for fold, literal in zip(caseless, literals, strict=True))
+    return let(folded_text(text) if folds else F.lit(""), over)
+
+
+def _scan_custom(text: Column, detectors: Sequence[Detector]) -> Column:
+    """Spans of the user's rules; matches of no character are none."""
+    if not detectors:
+        return empty_array(_RAW)
+    found = _scan_rules(_custom_cuts(text, detectors))
+    return F.filter(found, lambda r: r["end_pos"] > r["start_pos"])
+
+
 def _place(cut: Column) -> Column:
     """Spans of one rule's matches: each starts where the pieces before it end."""
     pieces = cut["pieces"]
@@ -167,8 +207,8 @@ def _emails(text: Column) -> Column:
     return F.when(_has_at(text), _scan_email(text)).otherwise(empty_array(_RAW))
 
 
-def _entities(raw: Column) -> Column:
-    labels = F.array(*[F.lit(x) for x in P.LABELS])
+def _entities(raw: Column, detectors: Sequence[Detector] = ()) -> Column:
+    labels = F.array(*[F.lit(x) for x in (*P.LABELS, *(d.label for d in detectors))])
     return F.transform(
         raw,
         lambda r: F.struct(
@@ -191,13 +231,25 @@ def detect(text: Column | str, label: str) -> Column:
     return _entities(_scan_rules(_cuts(need, col, [label])))
 
 
-def detect_structured(text: Column | str) -> Column:
-    """Spans of all nine structured labels by start, end, then detector order; overlaps stay."""
+def detect_structured(text: Column | str, detectors: Sequence[Detector] = ()) -> Column:
+    """Spans of all nine structured labels, and of the user's rules, in one pass over the text.
+
+    They come by start, end, then detector order, in which the user's follow the nine; overlaps stay.
+    """
     col = F.col(text) if isinstance(text, str) else text
     cuts = F.concat(
         _cuts(_has_separator(col), col, _KEYED), _cuts(_has_digit(col), col, _NUMERIC)
     )
-    return _entities(F.array_sort(F.concat(_emails(col), _scan_rules(cuts))))
+    found = [_emails(col), _scan_rules(cuts)]
+    if detectors:
+        found.append(_scan_custom(col, detectors))
+    return _entities(F.array_sort(F.concat(*found)), detectors)
+
+
+def detect_custom(text: Column | str, detectors: Sequence[Detector]) -> Column:
+    """Spans of the user's rules alone, by start, end, then the rules' order."""
+    col = F.col(text) if isinstance(text, str) else text
+    return _entities(F.array_sort(_scan_custom(col, detectors)), detectors)
 
 
 def detect_email(text):

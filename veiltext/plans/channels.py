@@ -69,7 +69,7 @@ def scan(
     """
 
     def found() -> Column:
-        spans = drop_allowed_inline(detect_structured("text"), policy)
+        spans = drop_allowed_inline(detect_structured("text", policy.detectors), policy)
         if ner:
             sure = drop_allowed_inline(keep_confident(F.col("ner"), policy), policy)
             spans = F.concat(spans, F.coalesce(sure, F.array().cast(ENTITIES)))
@@ -322,14 +322,17 @@ def preview_policies(
 ) -> DataFrame:
     """``preview_report`` under several candidate policies: one row per record and candidate.
 
-    The text is searched once; each candidate filters and resolves the same
-    spans inside the row, so nothing is joined and nothing shuffled.
+    The text is searched once for all candidates with the same detectors; each
+    filters and resolves the same spans inside the row, so nothing is joined and
+    nothing shuffled.
     """
-    structured = remembered(("structured",), lambda: detect_structured("text"))
-    raw = fence(texts, "_raw", structured)
+    raw, searched = texts, {}
+    for rules in dict.fromkeys(p.detectors for p in policies.values()):
+        searched[rules] = f"_raw{len(searched)}"
+        raw = fence(raw, searched[rules], remembered(("structured", rules), lambda rules=rules: detect_structured("text", rules)))
 
     def candidate(name: str, p: Policy) -> Column:
-        es = drop_allowed_inline(F.col("_raw"), p)
+        es = drop_allowed_inline(F.col(searched[p.detectors]), p)
         if ner:
             es = F.concat(es, drop_allowed_inline(keep_confident(F.col("ner"), p), p))
         return F.struct(
@@ -339,7 +342,7 @@ def preview_policies(
         )
 
     df = raw.select(
-        *[c for c in raw.columns if c not in ("_raw", "ner")],
+        *[c for c in raw.columns if c not in (*searched.values(), "ner")],
         F.inline(F.array(*[candidate(n, p) for n, p in policies.items()])),
     )
     actions = F.lit(None).cast("struct<blocked:%s,warned:%s,redacted:%s>" % ((ENTITIES,) * 3))

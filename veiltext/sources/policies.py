@@ -12,6 +12,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import SparkSession
 
+from ..functions.detect import Detector
 from ..functions.labels import canonical
 from ..functions.redact import STRATEGIES
 
@@ -44,6 +45,8 @@ class Policy:
     allow_entities: dict[str, tuple[str, ...]] = field(default_factory=dict)
     audit_enabled: bool = True
     max_pending: int = 50
+    #: Rules of the user's, see ``sources.detectors``; the JSON form holds none.
+    detectors: tuple[Detector, ...] = ()
 
     @property
     def blocks(self) -> bool:
@@ -152,7 +155,7 @@ def faults(config: dict, compiles: Callable[[str], bool]) -> Iterator[tuple[str,
             yield rule.path, fault, value
 
 
-def _compiles_on_jvm(pattern: str) -> bool:
+def compiles_on_jvm(pattern: str) -> bool:
     """Whether the JVM, where patterns run, takes a pattern; without a session the first job says so."""
     spark = SparkSession.getActiveSession()
     if spark is None:
@@ -174,7 +177,7 @@ def policy_from(config: dict) -> Policy:
 
     Of keys that are one label the last counts.  A null ``confidence_threshold`` keeps every span.
     """
-    for path, rule, value in faults(config, _compiles_on_jvm):
+    for path, rule, value in faults(config, compiles_on_jvm):
         shown = json.dumps(value, ensure_ascii=False, default=str)
         raise PolicyError(f"policy field {path}: {rule} ({shown[:200]})")
     allow = config.get("allowlist") or {}
