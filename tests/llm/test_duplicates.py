@@ -14,7 +14,7 @@ from veiltext.llm.banding import bands_for
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
 from veiltext.llm.near_copies import drop_near_copies
-from veiltext.llm.op6_lines import EQUAL, RECALL, _signed, line_dedup, may_be_similar
+from veiltext.llm.op6_lines import RECALL, band_keys, jaccard, line_dedup, minima, shingles
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
 from veiltext.llm.queries import QUERIES
@@ -248,54 +248,45 @@ def test_overlapping_shingles_link_lines_with_a_changed_character(spark, tmp_pat
     assert [got[d] for d in range(300, 305)] == ["\U0001f600b", "", "ab", "abcde", "a" * 3000]
 
 
-def test_line_bands_meet_at_the_least_similarity(spark):
+def test_line_bands_meet_at_the_least_similarity():
     """Pairs of Jaccard 0.8 in the runs that the query compares: of n runs all but the last n/9 are shared."""
-    rng, sizes, each = random.Random(50), (9, 18, 27, 54, 135), 4000
-    pairs = []
-    for n in sizes:
+    rng, each = random.Random(50), 4000
+    for n in (9, 18, 27, 54, 135):
+        sides = [], []
         for _ in range(each):
             shared, a, b = (f"{rng.getrandbits(4 * k):0{k}x}" for k in (n + 4 - n // 9, n // 9, n // 9))
-            pairs.append((n, shared + a, shared + b))
-    docs = spark.createDataFrame([(k, k, f"{a}\n{b}") for k, (_, a, b) in enumerate(pairs)], "row_key long, doc_id long, text string")
-    signed = _signed(docs, 0.8).select("h1", "bands", "mark")
-    left = spark.createDataFrame(pairs, "n int, a string, b string").select("n", F.xxhash64("a").alias("h1"), F.xxhash64("b").alias("h2"))
-    both = left.join(signed, "h1").join(signed.select(F.col("h1").alias("h2"), F.col("bands").alias("b"), F.col("mark").alias("m")), "h2")
-    found = both.where(F.arrays_overlap("bands", "b") & may_be_similar(F.col("mark"), F.col("m"), 2, int(EQUAL * 24)))
-    recall = {r.n: r["count"] / each for r in found.groupBy("n").count().collect()}
-    assert all(recall[n] >= RECALL - 0.002 for n in sizes), recall
-
-
-def test_signatures_against_a_walk(spark):
-    """The least hash of each range, and of the next filled one where a range is empty, for lines around a stretch's length."""
+            sides[0].append((shared + a).encode())
+            sides[1].append((shared + b).encode())
+        keys = [band_keys(minima(*shingles(x), 24)) for x in sides]
+        assert keys[0].shape == (each, 8) and (keys[0] == keys[1]).any(axis=1).mean() >= RECALL - 0.002, n
+
+
+def test_shingles_and_minima_against_a_walk():
     rng = random.Random(7)
-    lines = ["".join(rng.choice("abcé\U0001f600") for _ in range(n)) for n in (1, 4, 5, 6, 63, 64, 65, 67, 68, 69, 128, 132, 1000)]
-    docs = spark.createDataFrame([(1, 1, "\n".join(lines))], "row_key long, doc_id long, text string")
-    got = {r.h1: r for r in _signed(docs, 0.8).collect()}
-    runs = {x: {x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in lines}
-    every = sorted(set().union(*runs.values()) | set(lines))
-    hashed = {r.s: r.h for r in spark.createDataFrame([(x,) for x in every], "s string").select("s", F.xxhash64("s").alias("h")).collect()}
-    for x in lines:
+    lines = ["".join(rng.choice("abcé\U0001f600") for _ in range(n)) for n in (1, 4, 5, 6, 0, 64, 1000, 2)]
+    hashes, count = shingles([x.encode() for x in lines])
+    runs = [[x[i : i + 5] for i in range(max(1, len(x) - 4))] if x else [] for x in lines]
+    assert count.tolist() == [len(r) for r in runs] and len(hashes) == count.sum()
+    named = dict(zip((r for own in runs for r in own), hashes.tolist(), strict=True))
+    assert len(set(named.values())) == len(named) and [named[r] for own in runs for r in own] == hashes.tolist()
+    got = minima(hashes, count, 24)
+    for row, own in zip(got.tolist(), runs, strict=True):
         least = {}
-        for h in (hashed[r] for r in runs[x]):
-            k = (((h >> 40) + (1 << 23)) * 24) >> 24
+        for h in (named[r] for r in own):
+            k = (h >> 40) * 24 >> 24
             least[k] = min(h & 0xFFFFFFFF, least.get(k, 1 << 32))
-        minima = [next(least[(k + j) % 24] for j in range(24) if (k + j) % 24 in least) for k in range(24)]
-        row = got[hashed[x]]
-        assert [row.mark.w0 >> 5 * k & 31 for k in range(12)] + [row.mark.w1 >> 5 * k & 31 for k in range(12)] == [m & 31 for m in minima]
-        bands = spark.createDataFrame([(b, *minima[3 * b : 3 * b + 3]) for b in range(8)], "b int, x long, y long, z long")
-        assert row.bands == [r.h for r in bands.orderBy("b").select(F.xxhash64("b", "x", "y", "z").alias("h")).collect()]
-
-
-def test_marks_count_equal_minima(spark):
-    rng = random.Random(12)
-    rows = []
-    for _ in range(300):
-        a = [rng.randrange(32) for _ in range(24)]
-        b = [x if rng.random() < 0.5 else rng.randrange(32) for x in a]
-        rows.append(tuple((*(sum(v << 5 * k for k, v in enumerate(c[w : w + 12])) for w in (0, 12)),) for c in (a, b)) + (sum(x == y for x, y in zip(a, b, strict=True)),))
-    df = spark.createDataFrame(rows, "a struct<w0:long,w1:long>, b struct<w0:long,w1:long>, n int")
-    got = df.select("n", *(may_be_similar(F.col("a"), F.col("b"), 2, t).alias(f"t{t}") for t in (8, 12, 16))).collect()
-    assert all(r[f"t{t}"] == (r.n >= t) for r in got for t in (8, 12, 16))
+        assert not own or row == [next(least[(k + j) % 24] for j in range(24) if (k + j) % 24 in least) for k in range(24)]
+    assert shingles([])[1].tolist() == []
+
+
+def test_jaccard_of_pairs():
+    rng = random.Random(13)
+    pairs = [["".join(rng.choice("ab ") for _ in range(rng.randrange(1, 30))) for _ in range(2)] for _ in range(300)]
+    pairs += [["same", "same"], ["abc", "abd"], ["x" * 5000, "x" * 7], ["é" * 9, "é" * 8 + "x"]]
+    got = jaccard(*([x.encode() for x in side] for side in zip(*pairs, strict=True)))
+    for (a, b), j in zip(pairs, got, strict=True):
+        own, other = line_shingles(a), line_shingles(b)
+        assert j == pytest.approx(len(own & other) / len(own | other))
 
 
 @pytest.mark.parametrize("n", [18, 27])

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiltext.functions.arrays import let
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
 
@@ -20,35 +19,22 @@ def bands_for(similarity: float, rows: int, recall: float) -> int:
     return bands
 
 
-def meetings(items: DataFrame, work: Work, near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
-    """band, node, head of the items (node, bands) in bands of two and more; head is the band's smallest node.
-
-    near: says of the marks (column mark of the items) of two nodes whether they may be similar at all; the rows then have
-    mark and head_mark too, and bands of two nodes that may not are left out.
-    """
-    own = ["node"] + (["mark"] if near else [])
-    bands = items.select(*own, F.explode("bands").alias("band")).repartition("band")  # one shuffle for both sides
-    heads = bands.groupBy("band").agg(F.min(F.struct(*own)).alias("head"), F.count("*").alias("n")).where("n > 1")
-    met = bands.join(heads, "band").withColumn("head_mark", F.col("head.mark") if near else F.lit(None))
-    met = met.withColumn("head", F.col("head.node"))
-    if near is None:
-        return work.save(met.select("band", "node", "head"))
-    pair = F.max((F.col("node") != F.col("head")) & near(F.col("mark"), F.col("head_mark")))
-    hopeful = met.where("n = 2").groupBy("band").agg(pair.alias("may")).where("may").select("band")
-    return work.save(met.where("n > 2").union(met.where("n = 2").join(hopeful, "band")).select("band", *own, "head", "head_mark"))
+def meetings(items: DataFrame, work: Work) -> DataFrame:
+    """band, node, head of the items (node, bands) in bands of two and more; head is the band's smallest node."""
+    bands = items.select("node", F.explode("bands").alias("band")).repartition("band")  # one shuffle for both sides
+    heads = bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last").select("band", "head")
+    return work.save(bands.join(heads, "band").select("band", "node", "head"))
 
 
-def _close(a: str, b: str, similarity: float, as_set: Callable[[Column], Column] | None = None) -> Column:
-    """Whether two sets are similar; the sizes are looked at first. as_set: makes the sets from what the columns hold."""
+def _close(a: str, b: str, similarity: float) -> Column:
+    """Whether two sets are similar; the sizes are looked at first."""
+    n, m = F.size(a), F.size(b)
+    shared = F.size(F.array_intersect(a, b))
+    return (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
 
-    def near(a: Column, b: Column) -> Column:
-        n, m = F.size(a), F.size(b)
-        shared = F.size(F.array_intersect(a, b))
-        return (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
 
-    if as_set is None:
-        return near(F.col(a), F.col(b))
-    return let(F.struct(as_set(F.col(a)).alias("a"), as_set(F.col(b)).alias("b")), lambda x: near(x["a"], x["b"]))
+def _kept_close(similarity: float) -> Callable[[DataFrame, str, str], DataFrame]:
+    return lambda rows, a, b: rows.where(_close(a, b, similarity))
 
 
 def _relabelled(rows: DataFrame, links: DataFrame, work: Work) -> DataFrame:
@@ -63,55 +49,38 @@ def _undecided(rows: DataFrame) -> DataFrame:
     return rows.join(several, "band")
 
 
-def similar(
-    met: DataFrame,
-    sets: DataFrame,
-    work: Work,
-    similarity: float,
-    as_set: Callable[[Column], Column] | None = None,
-    near: Callable[[Column, Column], Column] | None = None,
-    rounds: int = 2,
-) -> DataFrame:
+def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, rounds: int = 2, close: Callable[[DataFrame, str, str], DataFrame] | None = None) -> DataFrame:
     """node, label: the component of every item that has a similar other item.
 
-    met: from meetings(), with the same `near`. sets: node, set (an array of different hashes, or what as_set makes one of) of
-    its nodes. In a band all items are first compared with its smallest one, which is one row each; what then lies in one
-    component needs no more comparing. In the bands that still hold several components all items are compared with one
-    drawn by hash, `rounds` times, and at last all pairs of items of different components with each other, so that no pair is
-    left out. Pairs that may not be similar by their marks are not compared. Labels are kept without the sets, which are
-    joined for the comparisons alone and travel with the rows of a band, not with its pairs.
+    met: from meetings(). sets: node, set (an array of different hashes, or what `close` compares instead: it keeps the rows
+    of a table whose two columns are similar) of its nodes. In a band all items are first
+    compared with its smallest one, which is one row each; what then lies in one component needs no more comparing.
+    In the bands that still hold several components all items are compared with one drawn by hash, `rounds` times,
+    and at last all pairs of items of different components with each other, so that no pair is left out. Labels are
+    kept without the sets, which are joined for the comparisons alone and travel with the rows of a band, not with its pairs.
     """
-    may = (lambda a, b: near(F.col(a), F.col(b))) if near else (lambda a, b: F.lit(True))
-    mark = ["mark"] if near else []
+    close = close or _kept_close(similarity)
     own = sets.withColumnRenamed("set", "own")
     heads = sets.select(F.col("node").alias("head"), F.col("set").alias("other"))
-    pairs = met.where("node <> head").where(may("mark", "head_mark")).select("node", "head").distinct().join(own, "node").join(heads, "head")
-    first = work.save(pairs.where(_close("own", "other", similarity, as_set)).select(F.col("head").alias("a"), F.col("node").alias("b")))
+    pairs = met.where("node <> head").select("node", "head").distinct().join(own, "node").join(heads, "head")
+    first = work.save(close(pairs, "own", "other").select(F.col("head").alias("a"), F.col("node").alias("b")))
     start = met.select("node").distinct().withColumn("label", F.col("node"))
     labels = work.save(_relabelled(start, first, work))
-    rest = work.save(_undecided(met.select("band", "node", *mark).join(labels, "node")))
+    rest = work.save(_undecided(met.select("band", "node").join(labels, "node")))
     for turn in range(rounds + 1):
         if not rest.limit(1).count():
             break
         if turn < rounds:
-            by = F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", F.col("label").alias("other_label"), *mark)
-            drawn = rest.groupBy("band").agg(F.min(by).alias("h"))
-            drawn = drawn.select("band", F.col("h.node").alias("head"), "h.other_label", *([F.col("h.mark").alias("head_mark")] if near else []))
-            rows = rest.join(drawn, "band").where("label <> other_label").where(may("mark", "head_mark"))
-            rows = rows.select("node", "label", "head", "other_label").distinct()
-            close = rows.join(sets, "node").join(heads, "head").where(_close("set", "other", similarity, as_set))
-            links = close.select(F.least("label", "other_label").alias("a"), F.greatest("label", "other_label").alias("b"))
-        elif near:
-            left, right = (rest.select("band", F.col("label").alias(x), F.col("node").alias(f"node_{x}"), F.col("mark").alias(f"mark_{x}")) for x in "ab")
-            apart = (left.band == right.band) & (F.col("a") < F.col("b")) & may("mark_a", "mark_b")
-            rows = left.join(right, apart).select("a", "b", "node_a", "node_b").distinct()
-            close = rows.join(sets.withColumnRenamed("node", "node_a"), "node_a").join(sets.select(F.col("node").alias("node_b"), F.col("set").alias("other")), "node_b")
-            links = close.where(_close("set", "other", similarity, as_set)).select("a", "b")
+            drawn = rest.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", F.col("label").alias("other_label"))).alias("h"))
+            drawn = drawn.select("band", F.col("h.node").alias("head"), "h.other_label")
+            rows = rest.join(drawn, "band").where("label <> other_label").select("node", "label", "head", "other_label").distinct()
+            links = close(rows.join(sets, "node").join(heads, "head"), "set", "other").select(F.least("label", "other_label").alias("a"), F.greatest("label", "other_label").alias("b"))
         else:
             wide = rest.join(sets, "node")
             left, right = (wide.select("band", F.col("label").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
             apart = (left.band == right.band) & (F.col("a") < F.col("b"))
-            links = left.join(right, apart & _close("set_a", "set_b", similarity, as_set)).select("a", "b")
+            met_here = left.join(right, apart).select(left.band, "a", "b", "set_a", "set_b")
+            links = close(met_here, "set_a", "set_b").select("a", "b")
         links = work.save(links.distinct())
         if links.limit(1).count():
             labels = work.save(_relabelled(labels, links, work))
