@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from veiltext.operators import audit as G
 from veiltext.operators import lint as L
 from veiltext.operators import mapping as M
+from veiltext.operators import replies as S
 from veiltext.operators import requests as R
 from veiltext.operators.shared import written
 from veiltext.plans import channels as C
@@ -138,16 +139,21 @@ ASKED = """asked AS (
   UNION ALL SELECT session_id, seq, ts, 0, k % 9 + 1, action, message, TRUE FROM ev WHERE m = 3
   UNION ALL SELECT session_id, seq, ts, 1, k % 7 + 3, action, message, TRUE FROM ev WHERE m = 3)"""
 
+def _said(parts: tuple[str, ...], *values: str) -> str:
+    """A sentence of the library's around SQL values."""
+    return " || ".join([q(parts[0]), *(x for v, p in zip(values, parts[1:], strict=True) for x in (v, q(p)))])
+
+
 REQUESTS = """req AS (SELECT r.session_id, r.seq, r.ts, r.no, 'REQ-' || r.no AS request_id, r.placeholder, r.event_type AS reason,
     CASE WHEN r.k % 2 = 0 THEN r.props END AS context, arg_max(w.original, w.seq) AS original_text
   FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq) AS no FROM ev WHERE m = 1) r
   LEFT JOIN (SELECT * FROM ev WHERE m = 0) w ON w.session_id = r.session_id AND w.placeholder = r.placeholder AND w.seq < r.seq
   GROUP BY ALL)"""
 
-REPLIES = """known AS (SELECT a.*, r.original_text, coalesce(a.seq > r.seq, FALSE) AS known FROM asked a LEFT JOIN req r ON r.session_id = a.session_id AND r.no = a.no),
+REPLIES = f"""known AS (SELECT a.*, r.original_text, coalesce(a.seq > r.seq, FALSE) AS known FROM asked a LEFT JOIN req r ON r.session_id = a.session_id AND r.no = a.no),
 term AS (SELECT session_id, no, arg_min(action, seq * 2 + pos) AS term, min(seq * 2 + pos) AS term_at FROM known WHERE known AND action <> 'follow_up' GROUP BY 1, 2),
-rep AS (SELECT k.*, CASE WHEN NOT known THEN 'Request "REQ-' || k.no || '" not found.'
-    WHEN seq * 2 + pos > term_at THEN 'Request "REQ-' || k.no || '" is already ' || CASE term WHEN 'approve' THEN 'approved' ELSE 'denied' END || '. Cannot resolve again.' END AS error
+rep AS (SELECT k.*, CASE WHEN NOT known THEN {_said(S.NOT_FOUND, "'REQ-' || k.no")}
+    WHEN seq * 2 + pos > term_at THEN {_said(S.SETTLED, "'REQ-' || k.no", "CASE term WHEN 'approve' THEN 'approved' ELSE 'denied' END")} END AS error
   FROM known k LEFT JOIN term t ON t.session_id = k.session_id AND t.no = k.no)"""
 
 TABLE = """tab AS (SELECT r.*, coalesce(CASE s.act WHEN 'approve' THEN 'approved' WHEN 'deny' THEN 'denied' END, CASE WHEN f.n > 0 THEN 'follow_up' END, 'pending') AS status,
@@ -216,8 +222,8 @@ def mapping_size(spark, sf_dir):
 
 @query(
     "create_requests",
-    _TO_REQ + "SELECT session_id, seq, request_id, placeholder, reason, context, original_text, 'Access request ' || request_id || ' created for EMAIL entity \"' || placeholder || "
-    "'\". A user must review and approve this request before the original text is revealed.' AS reply FROM req",
+    _TO_REQ + "SELECT session_id, seq, request_id, placeholder, reason, context, original_text, "
+    + _said(S.CREATED, "request_id", "'EMAIL'", "placeholder") + " AS reply FROM req",
 )
 def create_requests(spark, sf_dir):
     return R.create_requests(X.backlog_events(spark, sf_dir)).select(
@@ -257,7 +263,7 @@ CAPPED_REQUESTS = """req AS (SELECT e.session_id, e.seq, e.ts, a.no, 'REQ-' || a
 @query(
     "create_requests_capped",
     f"WITH {EVENTS}, {ASKED}, {ADMITTED} SELECT session_id, seq, 'REQ-' || no AS request_id, CASE WHEN no IS NULL THEN "
-    "'Maximum pending requests reached (3). Resolve existing requests before submitting new ones.' END AS error FROM admitted",
+    + _said(S.REFUSED, "3") + " END AS error FROM admitted",
 )
 def create_requests_capped(spark, sf_dir):
     return R.create_requests(X.backlog_events(spark, sf_dir), cap=3).select("session_id", "seq", "request_id", "error")
@@ -272,8 +278,9 @@ def _replies(spark, sf_dir):
 @query(
     "resolve_requests",
     _TO_REP + "SELECT session_id, seq, pos, 'REQ-' || no AS request_id, CASE WHEN error IS NULL THEN CASE action WHEN 'approve' THEN 'approved' WHEN 'deny' THEN 'denied' ELSE action END END AS status, error, "
-    "CASE WHEN error IS NULL AND NOT batch THEN CASE action WHEN 'approve' THEN coalesce('Access approved. Original text: ' || original_text, 'Access approved, but original text was not captured during redaction.') "
-    "WHEN 'deny' THEN coalesce(message, 'Access denied.') ELSE 'Follow-up question sent to agent: \"' || coalesce(message, '') || '\"' END END AS reply FROM rep",
+    "CASE WHEN error IS NULL AND NOT batch THEN CASE action WHEN 'approve' THEN "
+    f"coalesce({q(S.APPROVED)} || original_text, {q(S.APPROVED_BLANK)}) WHEN 'deny' THEN coalesce(message, {q(S.DENIED)}) "
+    "ELSE " + _said(S.ASKED, "coalesce(message, '')") + " END END AS reply FROM rep",
 )
 def resolve_requests(spark, sf_dir):
     return _replies(spark, sf_dir)[1].select(

@@ -1,5 +1,8 @@
 """Streams give what the batch jobs give."""
 
+import os
+import time
+
 import model
 import pytest
 from pyspark.sql import functions as F
@@ -7,11 +10,12 @@ from test_requests import random_events
 
 from veiltext.functions.schema import TEXTS
 from veiltext.operators import audit as G
+from veiltext.operators import requests as R
 from veiltext.operators.requests import EVENTS
 from veiltext.plans import channels as C
 from veiltext.sources.policies import policy_from
 from veiltext.sources.sinks import read_sink, write_outputs
-from veiltext.streaming.backlog import backlog_stream
+from veiltext.streaming.backlog import backlog_stream, live_requests
 from veiltext.streaming.jobs import hourly_stream, redact_stream, rows_stream
 
 POLICY = policy_from({"entityActions": {"SSN": "block"}})
@@ -116,6 +120,66 @@ def test_backlog_stream_equals_model(spark, tmp_path, cap, max_mappings):
     } == replies
 
 
+def _backlog(spark, tmp_path, rows, cuts, until=None, **options):
+    """Runs the stream over the events in several micro-batches; its rows and its checkpoint."""
+    src, out, cp = (str(tmp_path / x) for x in ("ev", "out", "cp"))
+    df = spark.createDataFrame(rows, EVENTS)
+    for lo, hi in cuts:
+        df.filter((F.col("seq") >= lo) & (F.col("seq") < hi)).coalesce(1).write.mode("append").parquet(src)
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    stream = backlog_stream(_stream(spark, src, EVENTS), **options)
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", cp)
+    if until is None:
+        assert writer.trigger(availableNow=True).start().awaitTermination(300)
+    else:  # timers keep a stream at work, so it does not end by itself
+        q, end = writer.trigger(processingTime="1 second").start(), time.time() + 120
+        while time.time() < end and not (os.path.exists(f"{out}/_spark_metadata") and spark.read.schema(stream.schema).parquet(out).count() == until):
+            time.sleep(1)
+        q.stop()
+    return spark.read.schema(stream.schema).parquet(out), cp
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_backlog_stream_equals_batch_in_all_columns(spark, tmp_path):
+    """Replies, masks, counts and audit rows of the stream and of its state are those of the batch jobs; null is a session."""
+    rows = random_events(6, sessions=2, hot=60, cold=30)
+    lone = [{**e, "session_id": None} for e in rows if e["session_id"] == rows[0]["session_id"]]
+    events = spark.createDataFrame(rows + lone, EVENTS)
+    got, cp = _backlog(spark, tmp_path, rows + lone, ((0, 40), (40, 1000)), cap=5, max_mappings=4)
+    made = R.create_requests(events, cap=5, max_mappings=4)
+    replies = R.resolve_replies(events, made)
+    table = R.request_table(made, replies)
+    asked, settled = got.filter("kind = 'request'"), got.filter("kind = 'resolve'")
+    assert _rows(asked.select(made.columns)) == _rows(made) and _rows(settled.select(replies.columns)) == _rows(replies)
+    live = live_requests(spark, cp)
+    assert live.columns == table.columns and _rows(live) == _rows(table)
+    assert any(r.session_id is None for r in live.collect())
+    for status in (None, *R.STATUSES):
+        assert _rows(R.list_requests(live, status)) == _rows(R.list_requests(table, status))
+    assert _rows(R.request_counts(live)) == _rows(R.request_counts(table))
+    assert _rows(G.audit_request_created(asked, POLICY)) == _rows(G.audit_request_created(made, POLICY))
+    assert _rows(G.audit_request_resolved(settled, POLICY)) == _rows(G.audit_request_resolved(replies, POLICY))
+
+
+def test_idle_sessions_are_forgotten(spark, tmp_path):
+    """With a time to live of nothing, the first micro-batch's session is gone when the next one comes."""
+    event = dict(zip((f.split()[0] for f in EVENTS.split(", ")), [None] * 13, strict=True))
+    rows = [
+        {**event, "session_id": "a", "seq": 1, "kind": "mapping", "placeholder": "[EMAIL_1]", "original": "joe@x.org"},
+        {**event, "session_id": "a", "seq": 2, "kind": "request", "placeholder": "[EMAIL_1]", "entity_type": "EMAIL"},
+        {**event, "session_id": "b", "seq": 10, "kind": "request", "placeholder": "[EMAIL_1]", "entity_type": "EMAIL"},
+        {**event, "session_id": "a", "seq": 20, "kind": "request", "placeholder": "[EMAIL_1]", "entity_type": "EMAIL"},
+    ]
+    got, _ = _backlog(spark, tmp_path, rows, ((0, 10), (10, 20), (20, 30)), until=3, idle_ms=1)
+    assert [(r.seq, r.request_id, r.original_text) for r in got.orderBy("seq").collect()] == [(2, "REQ-1", "joe@x.org"), (10, "REQ-1", None), (20, "REQ-1", None)]
+
+
 def test_channels_share_a_path(spark, tmp_path):
     """Jobs of several channels write to one path; none replaces another's rows, and rewritten messages, payloads and notices arrive."""
     out = str(tmp_path / "sinks")

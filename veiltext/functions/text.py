@@ -26,9 +26,14 @@ def fold_case(value: Column) -> Column:
 _PYTHON_SPACE = re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), SPACE)
 
 
+def strip_value(value: str) -> str:
+    """``strip`` of a literal."""
+    return re.sub(rf"\A[{_PYTHON_SPACE}]+|[{_PYTHON_SPACE}]+\Z", "", value)
+
+
 def fold_value(value: str) -> str:
     """``fold_case`` of a literal: the same white space goes, then lower case."""
-    return re.sub(rf"\A[{_PYTHON_SPACE}]+|[{_PYTHON_SPACE}]+\Z", "", value).lower()
+    return strip_value(value).lower()
 
 
 def compiles(pattern: Column) -> Column:

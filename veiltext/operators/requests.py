@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import replies as S
 from .mapping import MAX_MAPPINGS, snapshot_originals
 from .running import BUCKET_SPAN, running_sum
 from .sessions import null_safe
@@ -31,6 +32,14 @@ EVENTS = (
 )
 
 
+def _around(parts: tuple[str, ...], *values: Column) -> Column:
+    """The parts of a sentence with the values between them."""
+    out = [F.lit(parts[0])]
+    for value, part in zip(values, parts[1:], strict=True):
+        out += [value, F.lit(part)]
+    return F.concat(*out)
+
+
 def mapping_events(events: DataFrame) -> DataFrame:
     """The writes among the events, one placeholder each."""
     return events.filter("kind = 'mapping'").select(
@@ -208,21 +217,8 @@ def create_requests(
     )
     ok = F.col("request_no").isNotNull()
     request_id = F.concat(F.lit("REQ-"), F.col("request_no").cast("string"))
-    refusal = (
-        f"Maximum pending requests reached ({cap}). "
-        "Resolve existing requests before submitting new ones."
-    )
-    reply = F.concat(
-        F.lit("Access request "),
-        request_id,
-        F.lit(" created for "),
-        F.col("entity_type"),
-        F.lit(' entity "'),
-        F.col("placeholder"),
-        F.lit(
-            '". A user must review and approve this request before the original text is revealed.'
-        ),
-    )
+    refusal = f"{S.REFUSED[0]}{cap}{S.REFUSED[1]}"
+    reply = _around(S.CREATED, request_id, F.col("entity_type"), F.col("placeholder"))
     return found.select(
         "session_id",
         "seq",
@@ -267,25 +263,14 @@ def resolve_replies(events: DataFrame, requests: DataFrame) -> DataFrame:
     df = known.join(terminal, ["session_id", "request_id"], "left")
     here = F.struct("seq", "pos")
     settled = F.col("term").isNotNull() & (here > F.struct("term.seq", "term.pos"))
-    name = F.concat(F.lit('Request "'), F.col("request_id"), F.lit('"'))
     past = F.when(F.col("term.action") == "approve", "approved").otherwise("denied")
+    named = F.col("request_id")
+    wrong = F.concat(F.coalesce("action", F.lit("undefined")), F.lit(S.BAD_ACTION[1] + ", ".join(RESOLUTIONS)))
     error = (
-        F.when(
-            ~F.coalesce(valid, F.lit(False)),
-            F.concat(
-                F.lit('Invalid action "'),
-                F.coalesce("action", F.lit("undefined")),
-                F.lit(f'". Must be one of: {", ".join(RESOLUTIONS)}'),
-            ),
-        )
-        .when(
-            F.coalesce(F.col("request_id"), F.lit("")) == "",
-            F.lit("Either request_id or request_ids must be provided."),
-        )
-        .when(~F.col("known"), F.concat(name, F.lit(" not found.")))
-        .when(
-            settled, F.concat(name, F.lit(" is already "), past, F.lit(". Cannot resolve again."))
-        )
+        F.when(~F.coalesce(valid, F.lit(False)), F.concat(F.lit(S.BAD_ACTION[0]), wrong))
+        .when(F.coalesce(named, F.lit("")) == "", F.lit(S.NO_ID))
+        .when(~F.col("known"), _around(S.NOT_FOUND, named))
+        .when(settled, _around(S.SETTLED, named, past))
     )
     df = df.withColumn("error", error)
     ok = F.col("error").isNull()
@@ -298,18 +283,10 @@ def resolve_replies(events: DataFrame, requests: DataFrame) -> DataFrame:
     reply = (
         F.when(
             F.col("action") == "approve",
-            F.when(
-                has_text, F.concat(F.lit("Access approved. Original text: "), F.col("original_text"))
-            ).otherwise("Access approved, but original text was not captured during redaction."),
-        )
-        .when(F.col("action") == "deny", F.coalesce(F.col("message"), F.lit("Access denied.")))
-        .otherwise(
-            F.concat(
-                F.lit('Follow-up question sent to agent: "'),
-                F.coalesce(F.col("message"), F.lit("")),
-                F.lit('"'),
-            )
+            F.when(has_text, F.concat(F.lit(S.APPROVED), F.col("original_text"))).otherwise(S.APPROVED_BLANK),
         )
+        .when(F.col("action") == "deny", F.coalesce(F.col("message"), F.lit(S.DENIED)))
+        .otherwise(_around(S.ASKED, F.coalesce(F.col("message"), F.lit(""))))
     )
     return df.select(
         "session_id",
@@ -369,7 +346,7 @@ def list_requests(table: DataFrame, status: str | None = None) -> DataFrame:
     A status that does not exist gives one row with the error.
     """
     if status and status not in STATUSES:
-        text = f'Invalid status filter "{status}". Must be one of: {", ".join(STATUSES)}'
+        text = f"{S.BAD_STATUS[0]}{status}{S.BAD_STATUS[1]}{', '.join(STATUSES)}"
         return table.sparkSession.createDataFrame([(text,)], "error string")
     rows = table.filter(F.col("status") == status) if status else table
     is_ = lambda *names: F.col("status").isin(*names)

@@ -24,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
     if context.applicationId not in _LOCAL:
-        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="veiltext-")
     return _LOCAL[context.applicationId]
 
 

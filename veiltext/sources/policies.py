@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from ..functions.detect import Detector
 from ..functions.labels import canonical
 from ..functions.redact import STRATEGIES
+from ..functions.text import strip_value
 
 # --- fixed values
 ACTIONS = ("redact", "block", "warn")
@@ -121,7 +122,7 @@ def _list_faults(path: str, value, fault_of: Callable[[str], str | None]) -> Ite
         yield path, "not_array", value
         return
     for entry in value:
-        fault = fault_of(entry.strip()) if isinstance(entry, str) else "not_string"
+        fault = fault_of(strip_value(entry)) if isinstance(entry, str) else "not_string"
         if fault:
             yield path, fault, entry
 
@@ -169,7 +170,7 @@ def compiles_on_jvm(pattern: str) -> bool:
 
 def _texts(values) -> tuple[str, ...]:
     """Entries of a list, trimmed, without blanks, each once."""
-    return tuple(dict.fromkeys(v.strip() for v in values or () if v.strip()))
+    return tuple(dict.fromkeys(x for v in values or () if (x := strip_value(v))))
 
 
 def policy_from(config: dict) -> Policy:
