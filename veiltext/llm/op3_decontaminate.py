@@ -1,4 +1,4 @@
-"""Benchmark passages in documents: item-sized windows that share enough shingles, found by postings, exact similarity of bags."""
+"""Benchmark passages in documents: SimHash of item-sized windows, Hamming blocks, exact similarity of bags of shingles."""
 
 from __future__ import annotations
 
@@ -31,12 +31,22 @@ def weighted_jaccard(a: Counter, b: Counter, weight: dict) -> float:
     return sum(weight.get(s, 1.0) * min(a[s], b[s]) for s in a.keys() & b.keys()) / joint if joint else 0.0
 
 
-def _fingerprints(hashes: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of every window of `size` shingles: sign of the weighted sum of each bit."""
+def _sums(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weighted signs of each bit, summed up to each place."""
     signs = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float64) * 2 - 1
     sums = np.zeros((len(hashes) + 1, 64))
     np.cumsum(signs * weights[:, None], axis=0, out=sums[1:])
-    return np.packbits(sums[size:] - sums[:-size] > 1e-9, axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return sums
+
+
+def _prints(sums: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of the windows of `size` shingles from these places: the sign of each bit's sum."""
+    return np.packbits(sums[begin + size] - sums[begin] > 1e-9, axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
+def _fingerprints(hashes: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of every window of `size` shingles."""
+    return _prints(_sums(hashes, weights), np.arange(len(hashes) - size + 1), size)
 
 
 class Items:
@@ -121,8 +131,29 @@ class Items:
         out[at], hit[at] = self.hashed[k][1][key], True
         return out, hit
 
-    def candidates(self, every: np.ndarray, k: int, similarity: float) -> Iterator[tuple[int, int, int]]:
-        """item, first place and number of the shingles of each window that can be similar to an item: all of them.
+    def candidates(self, every: np.ndarray, k: int, similarity: float) -> set[tuple[int, int, int]]:
+        """item, first place and number of the shingles of each window that can be similar to an item.
+
+        The windows whose fingerprints are within RADIUS of an item's, all of which the blocks find; and, as a similar
+        window's may lie further off, those that the postings say share enough.
+        """
+        return {*self.near_windows(every, k), *self.sharing(every, k, similarity)}
+
+    def near_windows(self, every: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
+        """item, first place and number of the shingles of each window within RADIUS of an item of its size that shares a shingle."""
+        weights, hit = self.weights(every, k)
+        sums, hits = _sums(every, weights), np.concatenate([[0], np.cumsum(hit)])
+        for size in self.by_size:
+            n = min(size[1] - k + 1, len(every))  # a shorter text is one window
+            if size[0] != k or n < 1:
+                continue
+            begin = np.flatnonzero(hits[n:] > hits[:-n])
+            if len(begin):
+                at, item = self.near(size, _prints(sums, begin, n))
+                yield from zip(item.tolist(), begin[at].tolist(), [n] * len(at), strict=True)
+
+    def sharing(self, every: np.ndarray, k: int, similarity: float) -> Iterator[tuple[int, int, int]]:
+        """item, first place and number of the shingles of each window that shares enough to be similar: all of them.
 
         Similar bags share `similarity` of the weight of the larger one at least, hence of the item's.
         """
@@ -173,7 +204,7 @@ def _search(words: list[bytes], hashes: dict[int, np.ndarray], items: Items, sim
     """item, start_word, n_words, similarity: the best window of the text for each item that one matches."""
     best: dict[int, tuple[float, int, int]] = {}
     for k, every in hashes.items():
-        for item, at, n in items.candidates(every, k, similarity):
+        for item, at, n in sorted(items.candidates(every, k, similarity)):
             n_words = n + k - 1
             value = weighted_jaccard(Counter(_shingles(words[at : at + n_words], k)), items.bags[item], items.weight)
             if value >= similarity and (item not in best or value > best[item][0]):
@@ -226,9 +257,10 @@ def contaminated(
 ) -> DataFrame:
     """doc_id, item_id, start_word, n_words, similarity: each document's best window for each item it holds.
 
-    Texts are lower-cased (A-Z) words. For each item all windows of its number of words that share enough of its 5-word
-    shingles (all words of a shorter item) to be similar are found by postings of the shingles, none is left out, and
-    compared by the Jaccard similarity of the bags of shingles. With `rarity` a shingle of items weighs one over the
+    Texts are lower-cased (A-Z) words. For each item the windows of its number of words whose SimHash of 5-word shingles
+    (all words of a shorter item) is within RADIUS bits of the item's are found by blocks of the fingerprints, and
+    compared by the Jaccard similarity of the bags of shingles. Of windows of similarity 0.8 one or two in a hundred lie
+    beyond that radius: postings of the shingles name all that share enough to be similar, so that none is left out. With `rarity` a shingle of items weighs one over the
     number of items of the whole benchmark that hold it, and one of the document alone 1, so that a changed copy of an item like many
     others falls behind; without it, as in the query and the pipeline, all weigh the same. Documents are read where they
     lie; items go to the tasks in groups of about `pass_bytes` of text, one pass over the documents for each group,
