@@ -14,7 +14,7 @@ from veiltext.llm.banding import bands_for
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
 from veiltext.llm.near_copies import drop_near_copies
-from veiltext.llm.op6_lines import RECALL, band_keys, jaccard, line_dedup, minima, shingles
+from veiltext.llm.op6_lines import RECALL, ROWS, band_keys, jaccard, line_dedup, minima, shingles
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
 from veiltext.llm.queries import QUERIES
@@ -250,15 +250,15 @@ def test_overlapping_shingles_link_lines_with_a_changed_character(spark, tmp_pat
 
 def test_line_bands_meet_at_the_least_similarity():
     """Pairs of Jaccard 0.8 in the runs that the query compares: of n runs all but the last n/9 are shared."""
-    rng, each = random.Random(50), 4000
+    rng, each, bands = random.Random(50), 4000, bands_for(0.8, ROWS, RECALL)
     for n in (9, 18, 27, 54, 135):
         sides = [], []
         for _ in range(each):
             shared, a, b = (f"{rng.getrandbits(4 * k):0{k}x}" for k in (n + 4 - n // 9, n // 9, n // 9))
             sides[0].append((shared + a).encode())
             sides[1].append((shared + b).encode())
-        keys = [band_keys(minima(*shingles(x), 24)) for x in sides]
-        assert keys[0].shape == (each, 8) and (keys[0] == keys[1]).any(axis=1).mean() >= RECALL - 0.002, n
+        keys = [band_keys(minima(*shingles(x), bands * ROWS)) for x in sides]
+        assert keys[0].shape == (each, bands) and (keys[0] == keys[1]).any(axis=1).mean() >= RECALL - 0.002, n
 
 
 def test_shingles_and_minima_against_a_walk():
