@@ -19,9 +19,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One line of each group of similar lines stays; n_chars is counted anew."""
-    kept = line_dedup(docs)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """One line of each group of similar lines stays; n_chars is counted anew, all other columns stay as they are."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own = dict(zip(docs.columns, names, strict=True))
+    kept = line_dedup(docs.toDF(*names), own["doc_id"], own["text"]).select(*names).toDF(*docs.columns)
+    return kept.withColumns({c: F.char_length("text").cast("long") for c in ("n_chars",) if c in docs.columns})
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
