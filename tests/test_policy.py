@@ -252,3 +252,23 @@ def test_registered_detector_plans(spark):
         assert "Exchange" not in plan and "Python" not in plan, name
         searches = plan.count("regexp_replace(text") / max(plan.count("FileScan"), 1)
         assert searches <= (8 if name.startswith("allow") or name in ("detect_structured", "apply_allowlist") else 1), (name, searches)
+
+
+def test_a_model_is_asked_per_row(spark):
+    """Rows that ask alike share a call; no list means the default labels and the policy's own, an empty one nothing."""
+    import json
+
+    def load():
+        return lambda texts, labels, floor: [[{"text": json.dumps([len(texts), labels]), "label": "x", "score": 1.0, "start": 0, "end": 1}] for _ in texts]
+
+    rows = [(1, "a", ["p"]), (2, "b", ["q", "r"]), (3, "c", ["p"]), (4, "d", None), (5, "e", []), (6, None, ["p"])]
+    df = spark.createDataFrame(rows, "id int, text string, ask array<string>").coalesce(1)
+    policy = policy_from({"custom_entities": ["badge", "person"]})
+    assert policy.custom_entities == ("badge", "person")
+    out = N.run_ner(df, load, F.col("ask"), policy)
+    assert out.columns == ["id", "text", "ask", "ner_error", "ner"]
+    got = {r.id: [json.loads(e.text) for e in r.ner] for r in out.collect()}
+    assert got[1] == got[3] == [[2, ["p"]]] and got[2] == [[1, ["q", "r"]]] and got[5] == got[6] == []
+    assert got[4][0][1][-1] == "badge" and got[4][0][1][0] == "person" and len(got[4][0][1]) == 9
+    plain = {r.id: [json.loads(e.text) for e in r.ner] for r in N.run_ner(df, load, None, policy).collect()}
+    assert plain[1] == plain[5] and plain[1][0][0] == 5 and plain[1][0][1] == got[4][0][1]

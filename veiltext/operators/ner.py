@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.labels import canonical_label
+from ..functions.labels import canonical_label, ner_labels
 from ..functions.schema import ENTITIES, SOURCE_NER
 from ..sources.policies import Policy
 
@@ -52,14 +52,25 @@ def attach_ner(texts: DataFrame, spans: DataFrame, policy: Policy) -> DataFrame:
     )
 
 
+def asked_labels(policy: Policy, extra: Column | None = None) -> Column:
+    """What a model is asked for under a policy: the default labels, the policy's own, those of the call."""
+    custom = F.array(*[F.lit(x) for x in policy.custom_entities]).cast("array<string>")
+    return ner_labels(custom, extra)
+
+
 def run_ner(
     texts: DataFrame,
     load_model: Callable[[], Callable[[list[str], list[str], float], list[list[dict]]]],
-    labels: list[str],
+    labels: list[str] | Column | None,
     policy: Policy,
 ) -> DataFrame:
     """Add ``ner`` and ``ner_error`` by running a model over Arrow batches.
 
+    ``labels`` is what the model is asked for: a list, a column with one for each row (see
+    ``asked_labels``), or None for the default ones and the policy's own.  A row without a list is
+    asked for those too, one with an empty list for nothing.  Rows of a batch that ask alike go to the
+    model together, so that tenants with labels of their own need no job of their own.
+
     ``load_model()`` is called once per Python worker and returns
     ``model(texts, labels, floor)``, which gives one list of spans per text:
     dicts of ``text, label, score, start, end`` and maybe ``spanText``.  A model
@@ -67,6 +78,9 @@ def run_ner(
     tried again, down to the texts it fails on.  ``ner_error`` says why; the job never fails.
     Null texts are not shown to the model.
     """
+    if not isinstance(labels, list):
+        own = asked_labels(policy) if labels is None else F.coalesce(labels, asked_labels(policy))
+        texts = texts.withColumn("_labels", own)
     schema = T.StructType(
         list(texts.schema)
         + [
@@ -75,6 +89,7 @@ def run_ner(
         ]
     )
     floor = policy.ner_floor
+    fixed = labels if isinstance(labels, list) else None
 
     def _plain(s: dict) -> dict:
         return {
@@ -96,19 +111,22 @@ def run_ner(
         for pdf in batches:
             known = [i for i, t in enumerate(pdf["text"]) if t is not None]
             spans, error = ["[]"] * len(pdf), [problem] * len(pdf)
+            alike: dict[tuple[str, ...], list[int]] = {}
+            for i in known if model is not None else ():
+                alike.setdefault(tuple(pdf["_labels"].iat[i] if fixed is None else fixed), []).append(i)
             # Halves of what failed, down to the single text that does.
-            todo = [known] if model is not None and known else []
+            todo = [(list(asked), rows) for asked, rows in alike.items() if asked]
             while todo:
-                rows = todo.pop()
+                asked, rows = todo.pop()
                 try:
-                    found = model([pdf["text"].iat[i] for i in rows], labels, floor)
+                    found = model([pdf["text"].iat[i] for i in rows], asked, floor)
                     for i, row in zip(rows, found, strict=True):
                         spans[i] = json.dumps([_plain(s) for s in row])
                 except Exception as e:  # noqa: BLE001
                     if len(rows) == 1:
                         error[rows[0]] = f"model failed: {e}"
                     else:
-                        todo += [rows[: len(rows) // 2], rows[len(rows) // 2 :]]
+                        todo += [(asked, rows[: len(rows) // 2]), (asked, rows[len(rows) // 2 :])]
             yield pdf.assign(_spans=spans, ner_error=error)
 
     raw = F.from_json(
@@ -125,4 +143,4 @@ def run_ner(
             F.lit(SOURCE_NER).alias("source"),
         ),
     )
-    return texts.mapInPandas(infer, schema).withColumn("ner", entities).drop("_spans")
+    return texts.mapInPandas(infer, schema).withColumn("ner", entities).drop("_spans", "_labels")
