@@ -8,13 +8,11 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from tests.llm.helpers import CLASHING, awkward, corpus, prose, table
 from veiltext.llm.banding import bands_for
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
-from veiltext.llm.near_copies import drop_near_copies
-from veiltext.llm.op6_lines import RECALL, ROWS, band_keys, jaccard, line_dedup, minima, shingles
+from veiltext.llm.op6_lines import EQUAL, MARKS, RECALL, ROWS, _equal_marks, band_keys, jaccard, line_dedup, marks_of, minima, shingles
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
 from veiltext.llm.queries import QUERIES
@@ -257,8 +255,20 @@ def test_line_bands_meet_at_the_least_similarity():
             shared, a, b = (f"{rng.getrandbits(4 * k):0{k}x}" for k in (n + 4 - n // 9, n // 9, n // 9))
             sides[0].append((shared + a).encode())
             sides[1].append((shared + b).encode())
-        keys = [band_keys(minima(*shingles(x), bands * ROWS)) for x in sides]
-        assert keys[0].shape == (each, bands) and (keys[0] == keys[1]).any(axis=1).mean() >= RECALL - 0.002, n
+        dense = [minima(*shingles(x), bands * ROWS) for x in sides]
+        keys = [band_keys(d) for d in dense]
+        alike = ((dense[0] ^ dense[1])[:, :MARKS] & np.uint64(15) == 0).sum(axis=1) >= EQUAL
+        assert keys[0].shape == (each, bands) and ((keys[0] == keys[1]).any(axis=1) & alike).mean() >= RECALL - 0.002, n
+
+
+def test_marks_count_equal_minima(spark):
+    rng = np.random.default_rng(12)
+    a = rng.integers(0, 1 << 32, size=(200, 70), dtype=np.uint64)
+    b = np.where(rng.random(a.shape) < 0.5, a, rng.integers(0, 1 << 32, size=a.shape, dtype=np.uint64))
+    rows = [tuple(r) for r in np.concatenate([marks_of(a), marks_of(b)], axis=1).tolist()]
+    df = spark.createDataFrame(rows, ", ".join(f"c{k} long" for k in range(8)))
+    got = [r.n for r in df.select(_equal_marks([F.col(f"c{k}") for k in range(4)], [F.col(f"c{k}") for k in range(4, 8)]).alias("n")).collect()]
+    assert sorted(got) == sorted(((a ^ b)[:, :MARKS] & np.uint64(15) == 0).sum(axis=1).tolist())
 
 
 def test_shingles_and_minima_against_a_walk():
@@ -298,31 +308,3 @@ def test_passage_bands_meet_at_the_least_similarity(n):
     got.c1, got.bounds = np.zeros(2 * pairs, np.uint64), np.arange(2 * pairs + 1) * n
     bands = got.bands(bands_for(0.8, 2, 0.995))
     assert (bands[:pairs] == bands[pairs:]).any(axis=1).mean() >= 0.996
-
-
-def plain_near_copies(rows, similarity=0.8):
-    sets, shingles = Sets(), {d: set(shingle_words(t, 5)) for d, t in rows}
-    for a in shingles:
-        for b in shingles:
-            if a < b and len(shingles[a] & shingles[b]) >= similarity * len(shingles[a] | shingles[b]):
-                sets.join(a, b)
-    return {d for d in shingles if sets.root(d) == d}
-
-
-def test_near_copies_beyond_three_bits(spark):
-    rng = random.Random(70)
-    rows = corpus(71, 60)
-    for i in range(40):
-        words = prose(rng, 120).split(" ")
-        rows += [(1000 + 2 * i, " ".join(words)), (1001 + 2 * i, " ".join([*words[:50], "changed", *words[51:]]))]
-    far = sum((plain_fingerprint(rows[k][1]) ^ plain_fingerprint(rows[k + 1][1])).bit_count() > 3 for k in range(60, 140, 2))
-    want = plain_near_copies(rows)
-    assert far > 5 and not {1001 + 2 * i for i in range(40)} & want
-    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()} == want
-
-
-def test_near_copies_awkward(spark):
-    docs = awkward(spark)
-    kept = drop_near_copies(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 7, 8, 9]
-    assert drop_near_copies(table(spark, [])).collect() == []

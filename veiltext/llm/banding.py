@@ -49,11 +49,11 @@ def _undecided(rows: DataFrame) -> DataFrame:
     return rows.join(several, "band")
 
 
-def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, rounds: int = 2, close: Callable[[DataFrame, str, str], DataFrame] | None = None) -> DataFrame:
+def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, rounds: int = 2, close: Callable[[DataFrame, str, str], DataFrame] | None = None, may: Callable[[DataFrame, str, str], DataFrame] | None = None) -> DataFrame:
     """node, label: the component of every item that has a similar other item.
 
     met: from meetings(). sets: node, set (an array of different hashes, or what `close` compares instead: it keeps the rows
-    of a table whose two columns are similar) of its nodes. In a band all items are first
+    of a table whose two columns are similar) of its nodes; `may` keeps those whose two nodes may be, before sets are joined. In a band all items are first
     compared with its smallest one, which is one row each; what then lies in one component needs no more comparing.
     In the bands that still hold several components all items are compared with one drawn by hash, `rounds` times,
     and at last all pairs of items of different components with each other, so that no pair is left out. Labels are
@@ -62,7 +62,8 @@ def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, roun
     close = close or _kept_close(similarity)
     own = sets.withColumnRenamed("set", "own")
     heads = sets.select(F.col("node").alias("head"), F.col("set").alias("other"))
-    pairs = met.where("node <> head").select("node", "head").distinct().join(own, "node").join(heads, "head")
+    pairs = met.where("node <> head").select("node", "head").distinct()
+    pairs = (may(pairs, "node", "head") if may else pairs).join(own, "node").join(heads, "head")
     first = work.save(close(pairs, "own", "other").select(F.col("head").alias("a"), F.col("node").alias("b")))
     start = met.select("node").distinct().withColumn("label", F.col("node"))
     labels = work.save(_relabelled(start, first, work))
@@ -74,13 +75,19 @@ def similar(met: DataFrame, sets: DataFrame, work: Work, similarity: float, roun
             drawn = rest.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", F.col("label").alias("other_label"))).alias("h"))
             drawn = drawn.select("band", F.col("h.node").alias("head"), "h.other_label")
             rows = rest.join(drawn, "band").where("label <> other_label").select("node", "label", "head", "other_label").distinct()
+            rows = may(rows, "node", "head") if may else rows
             links = close(rows.join(sets, "node").join(heads, "head"), "set", "other").select(F.least("label", "other_label").alias("a"), F.greatest("label", "other_label").alias("b"))
+        elif may:
+            left, right = (rest.select("band", F.col("label").alias(x), F.col("node").alias(f"node_{x}")) for x in "ab")
+            rows = left.join(right, (left.band == right.band) & (F.col("a") < F.col("b"))).select("a", "b", "node_a", "node_b").distinct()
+            first, second = (sets.select(F.col("node").alias(f"node_{x}"), F.col("set").alias(f"set_{x}")) for x in "ab")
+            rows = may(rows, "node_a", "node_b").join(first, "node_a").join(second, "node_b")
+            links = close(rows, "set_a", "set_b").select("a", "b")
         else:
             wide = rest.join(sets, "node")
             left, right = (wide.select("band", F.col("label").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
             apart = (left.band == right.band) & (F.col("a") < F.col("b"))
-            met_here = left.join(right, apart).select(left.band, "a", "b", "set_a", "set_b")
-            links = close(met_here, "set_a", "set_b").select("a", "b")
+            links = close(left.join(right, apart).select(left.band, "a", "b", "set_a", "set_b"), "set_a", "set_b").select("a", "b")
         links = work.save(links.distinct())
         if links.limit(1).count():
             labels = work.save(_relabelled(labels, links, work))
