@@ -13,6 +13,10 @@ from ..functions.schema import ENTITIES, SOURCE_NER
 from ..sources.policies import Policy
 
 
+#: What a model is given at once, at most; only so much is ever held as Python strings.
+PART_BYTES, PART_ROWS = 1 << 20, 1000
+
+
 def ner_spans(spans: DataFrame, policy: Policy) -> DataFrame:
     """A model's raw spans as entities, one row each.
 
@@ -58,6 +62,20 @@ def asked_labels(policy: Policy, extra: Column | None = None) -> Column:
     return ner_labels(custom, extra)
 
 
+def _parts(batch) -> Iterator:
+    """An Arrow batch in parts of at most ``PART_BYTES`` of text and ``PART_ROWS`` rows; a longer text is a part of its own."""
+    import pyarrow.compute as pc
+
+    start, held = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+        if i > start and (held + (n or 0) > PART_BYTES or i - start == PART_ROWS):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n or 0
+    if len(batch) > start:
+        yield batch.slice(start)
+
+
 def run_ner(
     texts: DataFrame,
     load_model: Callable[[], Callable[[list[str], list[str], float], list[list[dict]]]],
@@ -103,23 +121,27 @@ def run_ner(
     def infer(batches: Iterator) -> Iterator:
         import json
 
+        import pyarrow as pa
+
         model, problem = None, None
         try:
             model = load_model()
         except Exception as e:  # noqa: BLE001
             problem = f"model failed to load: {e}"
-        for pdf in batches:
-            known = [i for i, t in enumerate(pdf["text"]) if t is not None]
-            spans, error = ["[]"] * len(pdf), [problem] * len(pdf)
+        for batch in (part for whole in batches for part in _parts(whole)):
+            given = batch.column("text").to_pylist()
+            known = [i for i, t in enumerate(given) if t is not None]
+            spans, error = ["[]"] * len(given), [problem] * len(given)
+            asks = batch.column("_labels").to_pylist() if fixed is None else [fixed] * len(given)
             alike: dict[tuple[str, ...], list[int]] = {}
             for i in known if model is not None else ():
-                alike.setdefault(tuple(pdf["_labels"].iat[i] if fixed is None else fixed), []).append(i)
+                alike.setdefault(tuple(asks[i]), []).append(i)
             # Halves of what failed, down to the single text that does.
             todo = [(list(asked), rows) for asked, rows in alike.items() if asked]
             while todo:
                 asked, rows = todo.pop()
                 try:
-                    found = model([pdf["text"].iat[i] for i in rows], asked, floor)
+                    found = model([given[i] for i in rows], asked, floor)
                     for i, row in zip(rows, found, strict=True):
                         spans[i] = json.dumps([_plain(s) for s in row])
                 except Exception as e:  # noqa: BLE001
@@ -127,7 +149,8 @@ def run_ner(
                         error[rows[0]] = f"model failed: {e}"
                     else:
                         todo += [(asked, rows[: len(rows) // 2]), (asked, rows[len(rows) // 2 :])]
-            yield pdf.assign(_spans=spans, ner_error=error)
+            added = [pa.array(spans, pa.string()), pa.array(error, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "_spans", "ner_error"])
 
     raw = F.from_json(
         "_spans", "array<struct<text:string,label:string,score:double,start:int,end:int>>"
@@ -143,4 +166,4 @@ def run_ner(
             F.lit(SOURCE_NER).alias("source"),
         ),
     )
-    return texts.mapInPandas(infer, schema).withColumn("ner", entities).drop("_spans", "_labels")
+    return texts.mapInArrow(infer, schema).withColumn("ner", entities).drop("_spans", "_labels")
