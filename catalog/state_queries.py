@@ -64,7 +64,7 @@ def tenant_policies(spark, sf_dir) -> DataFrame:
         F.lit('],"entities":{"org":["x"," y "],"per":["p"],"PERSON":["q","q"]},"patterns":['), patterns, F.lit("]}}"),
     )
     config = F.when(c % 50 == 0, F.lit("{not json")).otherwise(config)
-    return X.table(spark, sf_dir, "customer").select(c.alias("policy_id"), config.alias("config"))
+    return X.spread(X.table(spark, sf_dir, "customer").select("c_custkey"), X.LONG_ROWS, "c_custkey").select(c.alias("policy_id"), config.alias("config"))
 
 
 _RULES = [
