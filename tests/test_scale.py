@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from catalog import corpus as X
 from catalog import state_queries as S
+from veiltext.functions import json_strings as J
 from veiltext.operators import allowing as W
 from veiltext.operators import ner as N
+from veiltext.plans import channels as C
 from veiltext.sources.policies import policy_from
 
 
@@ -56,3 +58,11 @@ def test_a_model_is_given_parts_of_a_batch(spark, monkeypatch):
     assert len(out) == 50 and all(r.ner_error is None for r in out.values())
     assert [i for i, r in sorted(out.items()) if r.ner] == [i for i in range(50) if i % 10 and i != 7]
     assert out[7].n is None and out[10].n == 300_000
+
+
+def test_a_message_is_taken_apart_once(spark):
+    rows = [('{"content":[{"type":"text","text":"joe@x.org"}],"a":1,"a":2}',), ('{"content":"x@y.org","content" : "call joe@x.org"}',), ("joe@x.org",), ("clean",), (None,)]
+    out = C.tool_result_redact(spark.createDataFrame(rows, "m string"), policy_from({}), message="m")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count(J._SOUND) == 1
+    want = ['{"content":[{"type":"text","text":"[EMAIL_1]"}],"a":1,"a":2}', '{"content":"","content" : "call [EMAIL_1]"}', "[EMAIL_1]"]
+    assert "_strings" not in out.columns and sorted(r.m for r in out.collect()) == sorted(want)

@@ -25,6 +25,10 @@ _NAMES = (CONTENT, TYPE, TEXT)
 # Which place of a string means what, at the end of the walk: a list of blocks, or no text at all.
 _BLOCKS, _NOTHING = -1, -2
 _ITEM = "struct<turn:int,place:int>"
+# A string in the skeleton of a message: a letter for what it reads as (another one, content, type, text) and its place.
+_MARKS = "ABCD"
+# What the walk stops at: a key of the three names with its string or the bracket that it opens, and single brackets.
+_TOKEN = r"[B-D][0-9]++:(?:[A-D][0-9]++|\[)?|[\[\]{}]"
 
 
 def _name_pattern(name: str) -> str:
@@ -56,58 +60,49 @@ def quoted(value: Column) -> Column:
     return listed.substr(F.lit(2), F.length(listed) - 2)
 
 
-def _walk(skeleton: Column, codes: Column) -> Column:
+def _walk(tokens: Column) -> Column:
     """``turn, place`` of the text of each block, in order, and at the end the last turn with the place of its text.
 
-    ``skeleton`` holds the brackets, colons and commas of a message with ``S`` for each string.  A turn begins with
-    each ``content`` of the message; the last one counts, as it does for readers of repeated keys.
+    ``tokens`` are those of ``_TOKEN`` in a message.  A turn begins with each ``content`` of the message; the last one
+    counts, as it does for readers of repeated keys.
     """
 
-    def over(chars: Column) -> Column:
-        def step(c: Column, i: Column) -> Column:
-            ch, at = F.get(chars, i), c["depth"]
-            string, colon = ch == "S", ch == ":"
-            last = F.coalesce(F.get(codes, c["seen"] - 1), F.lit(0))
-            value = c["before"] == ":"
+    def step(c: Column, i: Column) -> Column:
+        def taken(token: Column, value: Column) -> Column:
+            ch, at = F.left(token, F.lit(1)), c["depth"]
+            string = F.when(value.rlike("^[A-D]"), F.substr(value, F.lit(2)).cast("int"))
+            lists = token.endswith("[")
             in_block = c["block"] & (at == 3)
-            begins = colon & (at == 1) & c["object"] & (last == 1)
-            content = c["content"] & (at == 1) & value
-            key = F.when(colon & in_block, last).otherwise(c["key"])
+            begins = (ch == _MARKS[1]) & (at == 1) & c["object"]
             opens = (ch == "{") & (at == 2) & c["list"]
             closes = (ch == "}") & in_block
-            named_text = string & in_block & value & (c["key"] == 3)
-            named_type = string & in_block & value & (c["key"] == 2)
-            own = F.coalesce(F.get(codes, c["seen"]), F.lit(0))
-            again = colon & in_block & (last == 3)
-            turn = c["turn"] + begins.cast("int")
-            shadowed = F.when(begins & (c["place"] >= 0), F.struct((c["turn"]).alias("turn"), c["place"].alias("place")))
-            repeated = F.when(again & (c["text"] >= 0), F.struct(F.lit(-1).alias("turn"), c["text"].alias("place")))
-            block = F.when(closes & c["typed"] & (c["text"] >= 0), F.struct(c["turn"].alias("turn"), c["text"].alias("place")))
-            found = F.coalesce(block, shadowed, repeated)
-            down = ch.isin("{", "[").cast("int") - ch.isin("}", "]").cast("int")
+            again = (ch == _MARKS[3]) & in_block
+            typing = (ch == _MARKS[2]) & in_block
+            found = (
+                F.when(closes & c["typed"] & (c["text"] >= 0), F.struct(c["turn"].alias("turn"), c["text"].alias("place")))
+                .when(begins & (c["place"] >= 0), F.struct(c["turn"].alias("turn"), c["place"].alias("place")))
+                .when(again & (c["text"] >= 0), F.struct(F.lit(-1).alias("turn"), c["text"].alias("place")))
+            )
+            down = ((ch == "{") | lists).cast("int") - ch.isin("}", "]").cast("int")
             carry = F.struct(
                 (at + down).alias("depth"),
-                ch.alias("before"),
-                (c["seen"] + string.cast("int")).alias("seen"),
-                F.when((ch == "{") & (at == 0), F.lit(True)).otherwise(c["object"]).alias("object"),
-                F.when(colon & (at == 1), begins).otherwise(c["content"]).alias("content"),
-                F.when((ch == "[") & content, F.lit(True)).when((ch == "]") & (at == 2), F.lit(False)).otherwise(c["list"]).alias("list"),
-                F.when(opens, F.lit(True)).when(closes, F.lit(False)).otherwise(c["block"]).alias("block"),
-                F.when(opens, 0).otherwise(key).alias("key"),
-                F.when(opens | (colon & in_block & (last == 2)), F.lit(False)).when(named_type, own == 3).otherwise(c["typed"]).alias("typed"),
-                F.when(opens | again, -1).when(named_text, c["seen"]).otherwise(c["text"]).alias("text"),
-                turn.alias("turn"),
-                F.when(begins, _NOTHING).when(string & content, c["seen"]).when((ch == "[") & content, _BLOCKS).otherwise(c["place"]).alias("place"),
+                (c["object"] | ((ch == "{") & (at == 0))).alias("object"),
+                F.when(begins & lists, F.lit(True)).when((ch == "]") & (at == 2), F.lit(False)).otherwise(c["list"]).alias("list"),
+                ((c["block"] | opens) & ~closes).alias("block"),
+                F.when(opens, F.lit(False)).when(typing, value.startswith(_MARKS[3])).otherwise(c["typed"]).alias("typed"),
+                F.when(opens, -1).when(again, F.coalesce(string, F.lit(-1))).otherwise(c["text"]).alias("text"),
+                (c["turn"] + begins.cast("int")).alias("turn"),
+                F.when(begins, F.when(lists, _BLOCKS).otherwise(F.coalesce(string, F.lit(_NOTHING)))).otherwise(c["place"]).alias("place"),
             )
             none = F.array().cast(f"array<{_ITEM}>")
             return emit(F.when(found.isNotNull(), F.array(found.cast(_ITEM))).otherwise(none), carry)
 
-        zero = dict(depth=0, before="", seen=0, object=False, content=False, list=False, block=False, key=0, typed=False, text=-1, turn=0, place=_NOTHING)
-        start = F.struct(*(F.lit(v).alias(k) for k, v in zero.items()))
-        end = lambda c: F.array(F.struct(c["turn"].alias("turn"), c["place"].alias("place")).cast(_ITEM))
-        return fold_emit(F.size(chars), _ITEM, start, step, end)
+        return let(F.get(tokens, i), lambda token: let(F.split_part(token, F.lit(":"), F.lit(2)), lambda value: taken(token, value)))
 
-    return let(F.split(skeleton, ""), over)
+    zero = dict(depth=0, object=False, list=False, block=False, typed=False, text=-1, turn=0, place=_NOTHING)
+    start = F.struct(*(F.lit(v).alias(k) for k, v in zero.items()))
+    end = lambda c: F.array(F.struct(c["turn"].alias("turn"), c["place"].alias("place")).cast(_ITEM))
+    return fold_emit(F.size(tokens), _ITEM, start, step, end)
 
 
 def message_strings(message: Column) -> Column:
@@ -124,12 +119,17 @@ def message_strings(message: Column) -> Column:
         checked = F.try_parse_json(F.concat(F.lit("["), F.array_join(numbered, ""), F.lit(',"end"]')))
         single = F.coalesce(F.try_variant_get(checked, "$[1]", "string") == "end", F.lit(False))
         readable = single & F.forall(strings, lambda s: s.rlike(_SOUND))
-        skeleton = F.array_join(F.transform(gaps, lambda g: F.regexp_replace(g, r"[^\[\]{}:,]+", "")), "S")
         none = F.array().cast("array<int>")
 
+        def skeleton(codes: Column) -> Column:
+            mark = lambda i: F.concat(F.substr(F.lit(_MARKS), F.get(codes, i) + 1, F.lit(1)), i.cast("string"))
+            bones = F.transform(gaps, lambda g, i: F.concat(F.regexp_replace(g, r"[^\[\]{}:,]+", ""), F.when(i < F.size(strings), mark(i)).otherwise("")))
+            return F.array_join(bones, "")
+
         def found(codes: Column, bones: Column) -> Column:
-            single = bones == "S"
-            walked = F.when(F.array_contains(codes, 1) & ~single, _walk(bones, codes)).otherwise(F.array().cast(f"array<{_ITEM}>"))
+            single = bones.rlike(r"\A[A-D]0\z")
+            tokens = F.regexp_extract_all(bones, F.lit(_TOKEN), F.lit(0))
+            walked = F.when(F.array_contains(codes, 1) & ~single, let(tokens, _walk)).otherwise(F.array().cast(f"array<{_ITEM}>"))
 
             def settle(items: Column) -> Column:
                 end = F.element_at(items, -1)
@@ -152,7 +152,7 @@ def message_strings(message: Column) -> Column:
         unread = F.struct(
             gaps.alias("gaps"), strings.alias("strings"), F.lit(False).alias("readable"), F.lit(False).alias("blocks"), none.alias("texts"), none.alias("shadowed")
         )
-        known = let(F.transform(strings, _code), lambda codes: let(skeleton, lambda bones: found(codes, bones)))
+        known = let(F.transform(strings, _code), lambda codes: let(skeleton(codes), lambda bones: found(codes, bones)))
         return F.when(readable, known).otherwise(unread)
 
     pieces = F.struct(F.split(message, _STRING, -1).alias("g"), F.regexp_extract_all(message, F.lit(_STRING), F.lit(0)).alias("s"))

@@ -17,18 +17,26 @@ SEGMENT = "\u0000"
 # ---
 
 
+def text_in(message: Column, parts: Column) -> Column:
+    """``extract_text`` of a message whose ``message_strings`` are known."""
+    texts = F.transform(parts["texts"], lambda at: unquoted(F.get(parts["strings"], at)))
+    return F.coalesce(F.when(parts["readable"], F.array_join(texts, SEGMENT)).otherwise(unescaped(message)), F.lit(""))
+
+
+def text_replaced(message: Column, parts: Column, new: Column) -> Column:
+    """``replace_text`` of a message whose ``message_strings`` are known."""
+    segments = F.when(parts["blocks"], F.split(new, SEGMENT, -1)).otherwise(F.array(new))
+    rewritten = F.when(F.size(parts["texts"]) > 0, let(segments, lambda each: with_strings(parts, each))).otherwise(message)
+    return F.when(message.isNotNull(), F.when(parts["readable"], rewritten).otherwise(new))
+
+
 def extract_text(message: Column | str) -> Column:
     """The text of a message; several blocks are joined by NUL so that offsets span all of them.
 
     Of repeated keys the last one counts.  What is no JSON at all is taken as plain text, so that it is searched too.
     """
     col = F.col(message) if isinstance(message, str) else message
-
-    def read(parts: Column) -> Column:
-        texts = F.transform(parts["texts"], lambda at: unquoted(F.get(parts["strings"], at)))
-        return F.when(parts["readable"], F.array_join(texts, SEGMENT)).otherwise(unescaped(col))
-
-    return F.coalesce(let(message_strings(col), read), F.lit(""))
+    return let(message_strings(col), lambda parts: text_in(col, parts))
 
 
 def replace_text(message: Column | str, redacted: Column | str) -> Column:
@@ -38,10 +46,4 @@ def replace_text(message: Column | str, redacted: Column | str) -> Column:
     """
     col = F.col(message) if isinstance(message, str) else message
     new = F.col(redacted) if isinstance(redacted, str) else redacted
-
-    def write(parts: Column) -> Column:
-        segments = F.when(parts["blocks"], F.split(new, SEGMENT, -1)).otherwise(F.array(new))
-        rewritten = F.when(F.size(parts["texts"]) > 0, let(segments, lambda each: with_strings(parts, each))).otherwise(col)
-        return F.when(parts["readable"], rewritten).otherwise(new)
-
-    return F.when(col.isNotNull(), let(message_strings(col), write))
+    return F.when(col.isNotNull(), let(message_strings(col), lambda parts: text_replaced(col, parts, new)))
