@@ -9,10 +9,10 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import CLASHING, awkward, corpus, prose, table
-from veiltext.llm.banding import May, bands_for, similar
+from veiltext.llm.banding import CROWD, May, bands_for, meetings, similar
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
-from veiltext.llm.op6_lines import EQUAL, MARKS, RECALL, ROWS, _alike, _equal_marks, band_keys, jaccard, line_dedup, marks_of, minima, shingles
+from veiltext.llm.op6_lines import EQUAL, MARKS, RECALL, ROWS, _alike, _counted, _equal_marks, band_keys, jaccard, line_dedup, marks_of, minima, shingles
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
 from veiltext.llm.queries import QUERIES
@@ -342,3 +342,38 @@ def test_pairs_that_only_meet_are_no_rows(spark):
     assert sorted((r.node, r.label) for r in labels.collect()) == sorted((k, k - k % 2) for k in range(40))
     joins = [x for x in seen[-1]._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x and "band" in x]
     assert len(joins) == 1 and "mark" in joins[0] and seen[-1].count() <= 20
+
+
+def test_meetings_in_passes(spark):
+    rng, work = random.Random(14), Work(spark)
+    rows = [(n, [8 * rng.randrange(20) + k for k in range(5)]) for n in range(60)] + [(60, []), (61, None)]
+    items = spark.createDataFrame(rows, "node long, bands array<long>")
+    once, parts = (sorted(map(tuple, meetings(items, work, k).collect())) for k in (1, 2))
+    assert once == parts and len(once) > 100
+
+
+def test_crowded_band_makes_rows_of_similar_lines_alone(spark):
+    """Near copies of one line that are not like each other: their marks are alike, their shingles are not."""
+    rng, work, seen = random.Random(15), Work(spark), []
+    base, lines = prose(rng, 60).replace("\n", " ").split(" "), []
+    for _ in range(30):
+        words = list(base)
+        for i in rng.sample(range(60), 6):
+            words[i] = f"{rng.getrandbits(32):x}"
+        lines.append(" ".join(words))
+    lines += [x[:-1] + "#" for x in lines[:4]] + ["ab", "cd", "x" * 3000]
+    near = {(a, b) for b, y in enumerate(lines) for a in range(b) if len((s := line_shingles(lines[a])) & (t := line_shingles(y))) >= 0.8 * len(s | t)}
+    assert len(lines) > CROWD and 4 <= len(near) < 40
+    met = spark.range(len(lines)).select(F.lit(7).cast("long").alias("band"), F.col("id").alias("node"), F.lit(0).cast("long").alias("head"))
+    sets = spark.createDataFrame(list(enumerate(lines)), "node long, set string")
+    may = May(sets.select("node"), lambda a, b: F.lit(True))
+
+    def close(rows, a, b):
+        if "node_a" not in rows.columns:  # heads and rounds find nothing, so that all is left to the last comparison
+            return rows.where("false")
+        seen.append({(min(r.node_a, r.node_b), max(r.node_a, r.node_b)) for r in rows.collect()})
+        return rows
+
+    labels = {r.node: r.label for r in similar(met, sets, work, 0.8, close=close, may=may, crowded=_counted(sets, may, work, 0.8)).collect()}
+    assert near <= seen[0] and len(seen[0]) <= len(near) + 6
+    assert all(labels[a] == labels[b] for a, b in near)
