@@ -6,6 +6,7 @@ from catalog import corpus as X
 from catalog import state_queries as S
 from veiltext.functions import json_strings as J
 from veiltext.operators import allowing as W
+from veiltext.operators import audit as G
 from veiltext.operators import ner as N
 from veiltext.plans import channels as C
 from veiltext.sources.policies import policy_from
@@ -66,3 +67,55 @@ def test_a_message_is_taken_apart_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count(J._SOUND) == 1
     want = ['{"content":[{"type":"text","text":"[EMAIL_1]"}],"a":1,"a":2}', '{"content":"","content" : "call [EMAIL_1]"}', "[EMAIL_1]"]
     assert "_strings" not in out.columns and sorted(r.m for r in out.collect()) == sorted(want)
+
+
+FACTS = "channel string, label string, action string, record_id string, digest binary"
+
+
+def _shuffled(df) -> int:
+    """Rows that the exchanges of a run of df wrote."""
+
+    def rows(node) -> int:
+        own = node.metrics().get("shuffleRecordsWritten")
+        inner = [node.children().apply(i) for i in range(node.children().size())]
+        return (own.get().value() if own.isDefined() else 0) + sum(map(rows, inner))
+
+    df.collect()
+    return rows(df._jdf.queryExecution().executedPlan())
+
+
+def test_the_cube_expands_sets_and_not_records(spark):
+    """A record and a value are shuffled once per combination, and once more as a set; with the cube over them, 16 times."""
+    kind = F.col("id") % 3
+    facts = spark.range(3000).select(
+        F.element_at(F.array(F.lit("in"), F.lit("out"), F.lit("tool")), (kind + 1).cast("int")).alias("channel"),
+        F.lit("EMAIL").alias("label"), F.lit("redact").alias("action"), F.col("id").cast("string").alias("record_id"),
+        F.col("id").cast("string").cast("binary").alias("digest"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _shuffled(G.audit_rollup(facts)) <= 5 * 3000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_rollup_of_nulls_and_repeats(spark):
+    """Against counts in Python: null columns, null records and values, repeated rows, ids that are both a record and a value."""
+    rows = []
+    for i in range(300):
+        pick = lambda *xs, k: xs[(i * k + i // 7) % len(xs)]
+        record, value = pick(None, *(f"r{j}" for j in range(20)), k=5), pick(None, *(b"r%d" % j for j in range(12)), k=11)
+        rows.append((pick("in", "out", None, k=1), pick("A", None, "B", '"', k=3), pick("block", "warn", None, k=7), record, value))
+    want = {}
+    for level in range(8):
+        for row in rows:
+            cell = tuple(None if level & bit else x for x, bit in zip(row, (4, 2, 1)))
+            n, records, values = want.setdefault((*cell, level), ([], set(), set()))
+            n.append(1)
+            records.add(row[3])
+            values.add(row[4])
+    want = {k: (len(n), len(r - {None}), len(v - {None})) for k, (n, r, v) in want.items()}
+    got = G.audit_rollup(spark.createDataFrame(rows, FACTS))
+    found = {(r.channel, r.label, r.action, r.level): (r.entities, r.records, r.distinct_values) for r in got.collect()}
+    assert got.count() == len(found) and found == want
+    assert not G.audit_rollup(spark.createDataFrame([], FACTS)).collect()

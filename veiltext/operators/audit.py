@@ -145,22 +145,64 @@ def span_facts(scanned: DataFrame, policy: Policy) -> DataFrame:
 def audit_rollup(facts: DataFrame, approximate: bool = False) -> DataFrame:
     """Spans, records and distinct values over the cube of channel, label and action.
 
-    Facts are first counted per record and value, which no cube level can
-    undo, so that the cube expands distinct rows and not spans.  With
-    ``approximate`` records and values are counted by sketches, which merge
-    map-side and need no second shuffle.
+    Facts are first counted per record, per value and per combination of the
+    three columns, in one aggregate.  A record or a value is then the set of
+    the combinations it has; equal sets are counted, and the cube expands the
+    different sets, not records, values or spans.  What one task holds at once
+    is one such set.  With ``approximate`` records and values are counted by
+    sketches, which merge map-side and need no second shuffle.
     """
     keys = ["channel", "label", "action"]
-    base = facts.groupBy(*keys, "record_id", "digest").agg(F.count("*").alias("n"))
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return (
-        base.cube(*keys)
-        .agg(
+    if approximate:
+        base = facts.groupBy(*keys, "record_id", "digest").agg(F.count("*").alias("n"))
+        sketch = F.approx_count_distinct
+        return base.cube(*keys).agg(
             F.sum("n").alias("entities"),
-            distinct("record_id").alias("records"),
-            distinct("digest").alias("distinct_values"),
+            sketch("record_id").alias("records"),
+            sketch("digest").alias("distinct_values"),
             F.grouping_id().cast("int").alias("level"),
         )
+    # kind: 1 a record, 2 a value, 3 a combination, which alone keeps the number of its spans
+    sets = [[*keys, "record_id"], [*keys, "digest"], keys]
+    counted = facts.groupingSets(sets, *keys, "record_id", "digest").agg(
+        F.count("*").alias("n"), F.grouping_id().cast("int").alias("kind")
+    )
+    known = "kind = 3 or kind = 1 and record_id is not null or kind = 2 and digest is not null"
+    one = F.struct(*keys)
+    alone = F.when(F.col("kind") == 3, one).alias("alone")
+    owners = (
+        counted.filter(known)
+        .groupBy("kind", "record_id", "digest", alone)
+        .agg(F.array_sort(F.collect_list(one)).alias("cells"), F.sum("n").alias("n"))
+    )
+    equal = owners.groupBy("kind", "cells").agg(F.count("*").alias("owners"), F.sum("n").alias("n"))
+    number = F.when(F.col("kind") == 3, F.col("n")).otherwise(F.col("owners"))
+    cells = equal.select(
+        "kind",
+        F.sha2(F.to_json("cells"), 256).alias("set"),
+        number.alias("number"),
+        F.explode("cells").alias("cell"),
+    )
+    kinds = {k: facts.schema[k].dataType for k in keys}
+    # a bit of the level says that its column is summed over, as in grouping_id()
+    levels = [
+        F.struct(
+            F.lit(level).alias("level"),
+            *(
+                (F.lit(None).cast(kinds[k]) if level & bit else F.col("cell")[k]).alias(k)
+                for k, bit in zip(keys, (4, 2, 1), strict=True)
+            ),
+        )
+        for level in range(8)
+    ]
+    once = cells.select("kind", "set", "number", F.inline(F.array(*levels))).distinct()
+    total = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("number")).otherwise(0))
+    return (
+        once.groupBy("level", *keys)
+        .agg(
+            total(3).alias("entities"), total(1).alias("records"), total(2).alias("distinct_values")
+        )
+        .select(*keys, "entities", "records", "distinct_values", "level")
     )
 
 
