@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import CLASHING, awkward, corpus, prose, table
-from veiltext.llm.banding import CROWD, May, bands_for, meetings, similar
+from veiltext.llm.banding import CROWD, WORDS, May, _close, _near, bands_for, meetings, similar, sketches
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
 from veiltext.llm.op6_lines import EQUAL, MARKS, RECALL, ROWS, _alike, _counted, _equal_marks, band_keys, jaccard, line_dedup, marks_of, minima, shingles
@@ -377,3 +377,39 @@ def test_crowded_band_makes_rows_of_similar_lines_alone(spark):
     labels = {r.node: r.label for r in similar(met, sets, work, 0.8, close=close, may=may, crowded=_counted(sets, may, work, 0.8)).collect()}
     assert near <= seen[0] and len(seen[0]) <= len(near) + 6
     assert all(labels[a] == labels[b] for a, b in near)
+
+
+def _sketched(spark, sets, band=1):
+    own = [np.array(sorted(x), dtype=np.int64) for x in sets]
+    rows = [(band, i, x.tolist(), k.tolist()) for i, (x, k) in enumerate(zip(own, sketches(own), strict=True))]
+    return spark.createDataFrame(rows, "band long, label long, set array<long>, sketch array<long>")
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
+def test_sketches_lose_no_similar_pair(spark, similarity):
+    rng = random.Random(3)
+    pool = [signed(rng.getrandbits(64)) for _ in range(3000)]
+    sets = [set(pool[:9]), {*pool[:8]}, {*pool[:8], pool[20]}, {pool[0]}, {pool[0]}, set(pool[:2700]), set(pool[:2160])]
+    for n in (5, 18, 57, 276):
+        base = rng.sample(pool, n)
+        sets += [set(rng.sample(base, rng.randint(n // 2 + 1, n))) | set(rng.sample(pool, rng.randrange(n // 4 + 1))) for _ in range(12)]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])}
+    got = _near(_sketched(spark, sets), similarity)
+    assert {(r.a, r.b) for r in got.collect()} == want and want
+    plain = _sketched(spark, sets).alias("x").join(_sketched(spark, sets).alias("y"), F.col("x.label") < F.col("y.label"))
+    assert {(r[0], r[1]) for r in plain.where(_close("x.set", "y.set", similarity)).select("x.label", "y.label").collect()} == want
+
+
+def test_pairs_that_only_meet_are_told_by_their_sketches(spark):
+    """Of a thousand paragraphs of one band with a similarity of two thirds hardly a pair has its hashes compared, and those once."""
+    rng = random.Random(4)
+    common = [signed(rng.getrandbits(64)) for _ in range(80)]
+    sets = [{*common, *(signed(rng.getrandbits(64)) for _ in range(20))} for _ in range(1000)]
+    rows = _sketched(spark, sets)
+    plan = _near(rows, 0.8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("array_intersect(") == 1 and 0 <= plan.index("bit_count(") < plan.index("array_intersect(")
+    bits = np.unpackbits(sketches([np.array(sorted(x), dtype=np.int64) for x in sets]).view(np.uint8), axis=1).astype(np.int32)
+    assert bits.shape[1] == 64 * WORDS
+    differ = bits @ (1 - bits).T + (1 - bits) @ bits.T
+    assert (differ[np.triu_indices(1000, 1)] <= 200 / 9).mean() < 0.01
+    assert _near(rows, 0.8).count() == 0

@@ -6,12 +6,15 @@ from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veiltext.llm.common import Work
 from veiltext.llm.components import components
 
+#: 64-bit words of the sketch of a set.
+WORDS = 8
 #: Items of a band up to which its pairs are few: so many are compared by their sets if their marks are alike.
 CROWD = 8
 
@@ -58,11 +61,35 @@ def meetings(items: DataFrame, work: Work, passes: int = 1) -> DataFrame:
     return reduce(DataFrame.union, met)
 
 
-def _close(a: str, b: str, similarity: float) -> Column:
-    """Whether two sets are similar; the sizes are looked at first."""
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A sketch of WORDS longs for each set of different 64-bit hashes: whether it has an odd number of each class of them."""
+    size = 64 * WORDS
+    out = np.zeros((len(sets), WORDS), np.int64)
+    for begin in range(0, len(sets), 1024):
+        part = sets[begin : begin + 1024]
+        classes = np.concatenate(part).view(np.uint64) % np.uint64(size)
+        place = np.repeat(np.arange(len(part)) * size, [len(x) for x in part]) + classes.astype(np.int64)
+        odd = (np.bincount(place, minlength=len(part) * size) & 1).astype(np.uint8).reshape(len(part), size)
+        out[begin : begin + len(part)] = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
+    return out
+
+
+def _room(a: str, b: str, n: Column, m: Column, similarity: float) -> Column:
+    """Whether two sketches leave room for a similarity of the sets. Each bit in which they differ stands for a hash that one set
+    alone has, so no similar pair fails; the small number is for rounding."""
+    differ = reduce(Column.__add__, (F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(WORDS)))
+    return differ <= (n + m) * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+
+def _close(a: str, b: str, similarity: float, room: tuple[str, str] | None = None) -> Column:
+    """Whether two sets are similar; their sketches (columns `room`) and their sizes are looked at first, and the hashes once."""
     n, m = F.size(a), F.size(b)
+    least = F.floor((n + m) * (similarity / (1 + similarity)))
+    enough = lambda shared: shared >= similarity * (n + m - shared)
+    need = F.when(enough(least), least).when(enough(least + 1), least + 1).otherwise(least + 2)
     shared = F.size(F.array_intersect(a, b))
-    return (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
+    may = (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= need)
+    return _room(*room, n, m, similarity) & may if room else may
 
 
 def _kept_close(similarity: float) -> Callable[[DataFrame, str, str], DataFrame]:
@@ -89,6 +116,17 @@ def _alike(rows: DataFrame, may: May) -> DataFrame:
     return left.join(right, apart).select("a", "b", "node_a", "node_b")
 
 
+def _apart(rows: DataFrame, near: Callable[[str, str], Column] = lambda a, b: F.lit(True)) -> DataFrame:
+    """Two rows of a band with different labels a < b, their other columns named name_a and name_b, for which `near` holds inside the join."""
+    left, right = (rows.select(F.col("label").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "label")) for x in "ab")
+    return left.join(right, (F.col("band_a") == F.col("band_b")) & (F.col("a") < F.col("b")) & near("a", "b"))
+
+
+def _near(rows: DataFrame, similarity: float) -> DataFrame:
+    """a, b of the pairs of similar sets in a band (band, label, set, sketch); pairs that are not similar are never rows."""
+    return _apart(rows, lambda a, b: _close(f"set_{a}", f"set_{b}", similarity, (f"sketch_{a}", f"sketch_{b}"))).select("a", "b")
+
+
 def similar(
     met: DataFrame,
     sets: DataFrame,
@@ -102,14 +140,16 @@ def similar(
     """node, label: the component of every item that has a similar other item.
 
     met: from meetings(). sets: node, set (an array of different hashes, or what `close` compares instead: it keeps the rows
-    of a table whose two columns are similar) of its nodes; `may` keeps those whose two nodes may be, before sets are joined. In a band all items are first
-    compared with its smallest one, which is one row each; what then lies in one component needs no more comparing.
+    of a table whose two columns are similar) of its nodes, and perhaps sketch, from sketches(), which spares pairs that only meet the comparison of their
+    sets; `may` keeps those whose two nodes may be, before sets are joined. In a band all items are first compared with its smallest one, which is one row each; what then lies in one component needs no more comparing.
     In the bands that still hold several components all items are compared with one drawn by hash, `rounds` times,
     and at last all pairs of items of different components with each other, so that no pair is left out. In bands of more
     than CROWD items this is done by what `crowded` gives for their nodes, a sharper test of pairs than `may`. Labels are
     kept without the sets, which are joined for the comparisons alone and travel with the rows of a band, not with its pairs.
     """
     close = close or _kept_close(similarity)
+    sketched, wide_sets = "sketch" in sets.columns, sets
+    sets = sets.select("node", "set")
     own = sets.withColumnRenamed("set", "own")
     heads = sets.select(F.col("node").alias("head"), F.col("set").alias("other"))
     pairs = met.where("node <> head").select("node", "head").distinct()
@@ -139,10 +179,7 @@ def similar(
             rows = rows.join(first, "node_a").join(second, "node_b")
             links = close(rows, "set_a", "set_b").select("a", "b")
         else:
-            wide = rest.join(sets, "node")
-            left, right = (wide.select("band", F.col("label").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
-            apart = (left.band == right.band) & (F.col("a") < F.col("b"))
-            links = close(left.join(right, apart).select(left.band, "a", "b", "set_a", "set_b"), "set_a", "set_b").select("a", "b")
+            links = _near(rest.join(wide_sets, "node"), similarity) if sketched else close(_apart(rest.join(sets, "node")), "set_a", "set_b").select("a", "b")
         links = work.save(links.distinct())
         if links.limit(1).count():
             labels = work.save(_relabelled(labels, links, work))

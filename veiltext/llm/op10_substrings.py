@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veiltext.llm.banding import bands_for, meetings, similar
+from veiltext.llm.banding import WORDS, bands_for, meetings, similar, sketches
 from veiltext.llm.common import Work, batches, keyed, mixed, replayed, shingle_hashes, word_hashes
 
 SHINGLE, ROWS, RECALL = 5, 2, 0.995
@@ -32,7 +32,7 @@ class Paragraphs:
     passage has the same units wherever it stands, but for the first and the last.
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], units: bool = True):
         words, first, starts, ends = word_hashes(texts)
         whole = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         breaks = np.flatnonzero(whole == 10)
@@ -50,7 +50,8 @@ class Paragraphs:
         full[: max(len(words) - SHINGLE + 1, 0)] = shingle_hashes(words, SHINGLE)
         short = np.repeat(self.n_words < SHINGLE, self.n_words)
         self.c1, self.c2 = self._contents(words, at, self.n_words)
-        self._cut(words, first, line, lines_before, at)
+        if units:
+            self._cut(words, first, line, lines_before, at)
         keep = np.where(short, place == 0, rest >= SHINGLE)
         full[at[self.n_words < SHINGLE]] = self.c1[self.n_words < SHINGLE]
         self.shingles = full[keep]
@@ -115,16 +116,18 @@ def _paragraphs(columns, bands: int, min_words: int):
 
 
 def _sets(columns, bitmap, min_words: int):
-    """c1, c2 and the different shingle hashes of the paragraphs whose c1 is in the bitmap."""
+    """c1, c2, the different shingle hashes and their sketch, of the paragraphs whose c1 is in the bitmap."""
     bits = bitmap.value
     for batch, texts in batches(columns, most=2 << 20):
-        got = Paragraphs(texts)
+        got = Paragraphs(texts, units=False)
         at = got.c1 & np.uint64(BITMAP_BITS - 1)
         hit = np.flatnonzero((got.n_words >= min_words) & (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0))
         sets = [np.unique(got.shingles[got.bounds[i] : got.bounds[i + 1]]).view(np.int64) for i in hit.tolist()]
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([_signed(got.c1[hit]), _signed(got.c2[hit]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["c1", "c2", "set"])
+        words = pa.array(np.arange(0, (len(sets) + 1) * WORDS, WORDS, dtype=np.int32))
+        lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.ListArray.from_arrays(words, pa.array(sketches(sets).ravel()))]
+        yield pa.RecordBatch.from_arrays([_signed(got.c1[hit]), _signed(got.c2[hit]), *lists], names=["c1", "c2", "set", "sketch"])
 
 
 def _bitmap(wanted: DataFrame) -> np.ndarray:
@@ -163,12 +166,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     met = meetings(contents.select("node", "bands"), work)
     wanted = work.save(contents.select("node", "c1", "c2").join(met.select("node").distinct(), "node"))
     bits = spark.sparkContext.broadcast(_bitmap(wanted))
-    found = texts.mapInArrow(partial(_sets, bitmap=bits, min_words=min_words), "c1 long, c2 long, set array<long>")
-    sets = work.save(found.join(wanted, ["c1", "c2"]).dropDuplicates(["node"]).select("node", "set"))
+    found = texts.mapInArrow(partial(_sets, bitmap=bits, min_words=min_words), "c1 long, c2 long, set array<long>, sketch array<long>")
+    sets = work.save(found.join(wanted, ["c1", "c2"]).dropDuplicates(["node"]).select("node", "set", "sketch"))
     labels = similar(met, sets, work, similarity)
+    work.drop(sets, wanted, met)
     named = contents.join(labels, "node", "left").where("n > 1 or label is not null").select("c1", "c2", "place", F.coalesce("label", "node").alias("label"))
     keep = named.groupBy("label").agg(F.min("place").alias("keep"))
     groups = work.save(named.join(keep, "label").select("c1", "c2", "keep"))
+    work.drop(contents)
     met = table.drop("bands").join(groups, ["c1", "c2"])
     removed = met.where((F.col("row_key") != F.col("keep.row_key")) | (F.col("paragraph") != F.col("keep.paragraph")))
     removed = work.save(removed.select("row_key", "doc_id", "paragraph", "start_word", "n_words", "keep"))
