@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import CLASHING, awkward, corpus, prose, table
 from veiltext.llm.banding import CROWD, WORDS, May, _close, _near, bands_for, meetings, similar, sketches
-from veiltext.llm.common import Work
+from veiltext.llm.common import Work, keyed
 from veiltext.llm.components import components
-from veiltext.llm.op6_lines import EQUAL, MARKS, RECALL, ROWS, _alike, _counted, _equal_marks, band_keys, jaccard, line_dedup, marks_of, minima, shingles
+from veiltext.llm.op6_lines import EQUAL, MARKS, PASSES, RECALL, ROWS, _alike, _counted, _equal_marks, _signed, band_keys, jaccard, line_dedup, marks_of, minima, shingles
 from veiltext.llm.op7_simhash import drop_near_duplicates, links, near_duplicates
 from veiltext.llm.op10_substrings import Paragraphs, repeated_passages
 from veiltext.llm.queries import QUERIES
@@ -413,3 +414,27 @@ def test_pairs_that_only_meet_are_told_by_their_sketches(spark):
     differ = bits @ (1 - bits).T + (1 - bits) @ bits.T
     assert (differ[np.triu_indices(1000, 1)] <= 200 / 9).mean() < 0.01
     assert _near(rows, 0.8).count() == 0
+
+
+def test_lines_are_signed_in_parts(spark):
+    texts = ["one line of some words\nanother line of other words\n\nOne line of some words ", None, "x\ny\nx", "z\nanother line of other words"]
+    docs = keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    whole = {(r.h1, r.h2): r for r in _signed(docs, 0.8).collect()}
+    parts = [_signed(docs, 0.8, k, PASSES).collect() for k in range(PASSES)]
+    assert PASSES > 1 and all(parts) and {(r.h1, r.h2): r for part in parts for r in part} == whole and sum(map(len, parts)) == len(whole) == 5
+    assert sorted(r.repeated for r in whole.values()) == [False, False, True, True, True]
+
+
+def test_lines_leave_one_table(spark, tmp_path, monkeypatch):
+    """What the steps have written is dropped as soon as nothing reads it any more; the result reads the places of lines that go."""
+    from veiltext.llm import op6_lines
+
+    made, rng = [], random.Random(17)
+    monkeypatch.setattr(op6_lines, "Work", lambda spark: made.append(Work(spark)) or made[0])
+    lines = [prose(rng, 12).replace("\n", " ") for _ in range(60)]
+    rows = [(i, "\n".join(rng.choice(lines) + rng.choice(["", ".", " !"]) for _ in range(6))) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    out = line_dedup(spark.read.parquet(str(tmp_path / "docs")))
+    left = [d.name for d in Path(made[0].root.removeprefix("file://")).iterdir() if any(d.iterdir())]
+    assert made[0].count > 5 and left == [str(made[0].count)]
+    assert out.count() == 40 and out.agg(F.sum("n_dropped")).head()[0] > 100
